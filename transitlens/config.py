@@ -37,6 +37,7 @@ def build_session(master: str = "local[*]", app: str = "transitlens",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -56,3 +56,16 @@ def scale_coordinates(c, scale: float = GPS_SCALE) -> Column:
 def cast_delay(c) -> Column:
     """Delay string -> int; malformed values become null instead of failing."""
     return _c(c).try_cast("int")
+
+
+def round_sig(c, n: int = 9) -> Column:
+    """Round to ``n`` significant digits (half away from zero); 0 and null kept.
+
+    Used for floating summaries (means, deviations, correlations) whose last
+    bits depend on summation order.
+    """
+    x = _c(c).cast("double")
+    d = F.lit(n - 1) - F.floor(F.log10(F.abs(x)))
+    scale = F.pow(F.lit(10.0), d)
+    mag = F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+    return F.when(x == 0, F.lit(0.0)).when(x < 0, -mag).otherwise(mag)

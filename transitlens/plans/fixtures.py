@@ -70,3 +70,66 @@ def stops_from_pings(pings: DataFrame) -> DataFrame:
 def fixture_stops(pings: DataFrame) -> DataFrame:
     """silver_stops_routes for the fixture pings."""
     return stop_row_number(stops_from_pings(pings))
+
+
+CAPTURE_SECONDS = 60
+
+
+def events_to_snapshots(events: DataFrame, n_buses: int = 10) -> DataFrame:
+    """Landed-capture rows: one per route and poll minute, payload as JSON text.
+
+    Coordinates are written as fixed-point strings (x 1e7) and every field as
+    text, as the position feed delivers them; the capture time is the poll
+    minute in epoch seconds. Elements are ordered by event id, so payload
+    positions are deterministic. A capture holds one route's pings of one
+    minute (bounded by the buses of a route), the shape the feed produces.
+    """
+    p = events_to_pings(events, n_buses)
+    fixed = lambda c: F.floor(F.col(c) * F.lit(1e7) + F.lit(0.5)).cast("long").cast("string")
+    elem = F.struct(F.struct(
+        F.col("BUSNUMBER"), F.col("DELAY").cast("string").alias("DELAY"), fixed("GPSX").alias("GPSX"),
+        fixed("GPSY").alias("GPSY"), F.col("PARADA"), F.col("RUTA"), F.col("RUTERO"), F.col("STOPID"),
+        F.col("TASKID"), F.col("TELEGRAMDATE"), F.col("TRIPID")).alias("element"))
+    minute = (F.floor(F.unix_timestamp("timestamp") / F.lit(CAPTURE_SECONDS)) * CAPTURE_SECONDS)
+    g = (p.groupBy(F.col("RUTA").alias("ruta"), minute.alias("_minute"))
+         .agg(F.array_sort(F.collect_list(F.struct(F.col("ping_seq"), elem.alias("e")))).alias("_items")))
+    return g.select(
+        "ruta",
+        F.to_json(F.transform("_items", lambda x: x["e"])).alias("gps_data"),
+        F.col("_minute").cast("double").alias("timestamp"),
+        F.lit(True).alias("success"),
+        F.lit(None).cast("string").alias("error"))
+
+
+def events_to_fetch_results(events: DataFrame, n_buses: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(ok, err) fetch records: a poll whose events include an ``error`` event failed."""
+    e = events.withColumn("_minute", F.floor(F.unix_timestamp("ts") / F.lit(CAPTURE_SECONDS)) * CAPTURE_SECONDS)
+    e = e.withColumn("ruta", F.concat(F.lit("L"), (F.col("user_id") % 3).cast("string")))
+    polls = e.groupBy("ruta", "_minute").agg(F.count_if(F.col("event_type") == "error").alias("_errors"))
+    snaps = events_to_snapshots(events, n_buses)
+    ok = (snaps.join(polls.filter(F.col("_errors") == 0),
+                     (snaps["ruta"] == polls["ruta"]) & (snaps["timestamp"] == polls["_minute"].cast("double")),
+                     "left_semi").drop("error"))
+    err = polls.filter(F.col("_errors") > 0).select(
+        "ruta", F.lit("[]").alias("gps_data"),
+        F.concat(F.lit("fetch failed: "), F.col("_errors").cast("string"), F.lit(" error event(s)")).alias("error"),
+        F.col("_minute").cast("double").alias("timestamp"), F.lit(False).alias("success"))
+    return ok, err
+
+
+def route_stop_lists(stops_raw: DataFrame) -> DataFrame:
+    """Per route: the stop objects of both directions (the stops-feed shape).
+
+    One list per route, bounded by the stops of a route (a dimension).
+    """
+    s = stops_raw.select(
+        F.col("LINE").alias("ruta"),
+        F.struct(*[F.lit(None).cast("string").alias(c) for c in ("DECIMALLATITUDE", "DECIMALLONGITUDE",
+                                                                 "DESCRIPTION")],
+                 F.col("LINE"), F.lit(None).cast("string").alias("LINEID"),
+                 F.lit(None).cast("string").alias("LINEVA"), F.lit(None).cast("string").alias("LONGNAME"),
+                 F.col("ORIENTATION").cast("string").alias("ORIENTATION"),
+                 F.lit(None).cast("string").alias("RNK"), F.col("ROWNUM").cast("string").alias("ROWNUM"),
+                 F.lit(None).cast("string").alias("SENTIDO"), F.lit(None).cast("string").alias("SHORTNAME"),
+                 F.lit(None).cast("string").alias("STOPCHECK"), F.col("STOPID")).alias("stop"))
+    return s.groupBy("ruta").agg(F.collect_list("stop").alias("paradas"))
