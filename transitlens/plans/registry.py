@@ -307,9 +307,7 @@ def q_incremental(spark, sf):
     src = scratch_path(spark, "capture-src")
     write_snapshots(_snapshots(spark, sf), src)
     sink, ckpt = scratch_path(spark, "flat-sink"), scratch_path(spark, "flat-ckpt")
-    from transitlens.schemas import SNAPSHOT_SCHEMA
-    schema = SNAPSHOT_SCHEMA.add("capture_date", "date")
-    q = incremental_flatten(spark, src, sink, ckpt, schema=schema)
+    q = incremental_flatten(spark, src, sink, ckpt)
     q.awaitTermination()
     return spark.read.parquet(sink).select(
         "BUSNUMBER", "DELAY", "PARADA", "RUTA", "RUTERO", "STOPID", "TASKID", "TELEGRAMDATE", "TRIPID",

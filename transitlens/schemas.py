@@ -34,6 +34,10 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("error", T.StringType(), True),
 ])
 
+# landed captures carry the partition column of the landing layout
+LANDED_SNAPSHOT_SCHEMA = T.StructType(list(SNAPSHOT_SCHEMA.fields) + [
+    T.StructField("capture_date", T.DateType(), True)])
+
 # stops file: one route per object; paradas kept as raw JSON, parsed later
 STOPS_FILE_SCHEMA = T.StructType([
     T.StructField("ruta", T.StringType(), True),

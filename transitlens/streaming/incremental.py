@@ -4,6 +4,7 @@ Parsing and flattening are stateless per capture, so they run unchanged on a
 stream. The file source's checkpoint records which files were processed;
 ``availableNow`` processes the backlog in bounded micro-batches and stops,
 which gives daily-batch scheduling with exactly-once file sinks.
+The source layout is the landing layout (``capture_date=...`` folders).
 Enrichment needs ``lead`` (not supported on streams) and runs in batch over
 the dates a run touched.
 """
@@ -14,14 +15,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from transitlens.operators.payload import flatten_pings, parse_gps_payload
-from transitlens.schemas import SNAPSHOT_SCHEMA
+from transitlens.schemas import LANDED_SNAPSHOT_SCHEMA
 
 
 def incremental_flatten(spark: SparkSession, src: str, sink: str, checkpoint: str,
-                        max_files_per_trigger: int = 1000, schema=SNAPSHOT_SCHEMA) -> StreamingQuery:
+                        max_files_per_trigger: int = 1000, schema=LANDED_SNAPSHOT_SCHEMA) -> StreamingQuery:
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("recursiveFileLookup", "true")
               .parquet(src))
     flat = flatten_pings(parse_gps_payload(stream))
     return (flat.writeStream.format("parquet")
