@@ -47,7 +47,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         SPARK[name] = fn
         if sql is not None:
-            SQL[name] = sql
+            SQL[name] = O.bigint_counts(sql)
         return fn
     return deco
 
@@ -407,7 +407,7 @@ _NAV_SQL = r"""nav_rows AS (
 nav_items AS (
   SELECT page_id, url, unnest(r) AS row_html, unnest(generate_series(1, len(r))) AS pos FROM nav_rows),
 routes AS (
-  SELECT page_id, url, pos,
+  SELECT page_id, url, CAST(pos AS INTEGER) AS pos,
     trim(replace(regexp_replace(regexp_extract(row_html, '(?s)<a[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g'),
          chr(10) || repeat(chr(9), 6), '')) AS route
   FROM nav_items)"""
