@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from transitlens.operators import profile
-from transitlens.operators.quantiles import exact_quantiles
+from transitlens.operators.quantiles import exact_quantiles, exact_quantiles_multi
 
 
 @pytest.mark.parametrize("band_rows", [5, 50, 100000])

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from transitlens.functions.numeric import round_half_away, round_sig, safe_ratio
 from transitlens.functions.trip import delay_category, trip_efficiency
-from transitlens.operators.quantiles import exact_quantiles
+from transitlens.operators.quantiles import exact_quantiles_multi
 
 SIG = 9  # significant digits kept in floating summaries
 
@@ -56,9 +56,10 @@ def numeric_summary(df: DataFrame, cols) -> DataFrame:
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     row = df.agg(*aggs).first()
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
     out = []
     for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
+        q = qs[c]
         out.append((c, row[f"{c}__count"], row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],
                     q[0.25], q[0.5], q[0.75], row[f"{c}__max"]))
     schema = ("column_name string, count long, mean double, std double, min double, "
@@ -93,16 +94,17 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
-def _quartiles(df: DataFrame, c: str):
-    q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-    return q[0.25], q[0.5], q[0.75]
+def _quartiles(df: DataFrame, cols) -> dict:
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
+    return {c: (q[0.25], q[0.5], q[0.75]) for c, q in qs.items()}
 
 
 def iqr_outliers(df: DataFrame, cols) -> DataFrame:
     """column_name, q1, q3, lower, upper, outliers, outlier_percent (of all rows)."""
     bounds = {}
+    quart = _quartiles(df, cols)
     for c in cols:
-        q1, _, q3 = _quartiles(df, c)
+        q1, _, q3 = quart[c]
         iqr = None if q1 is None else q3 - q1
         bounds[c] = (q1, q3, None if iqr is None else q1 - 1.5 * iqr, None if iqr is None else q3 + 1.5 * iqr)
     aggs = [F.count(F.lit(1)).alias("_rows")]
@@ -151,7 +153,7 @@ def histogram_30(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, cols) -> DataFrame:
     """column_name, q1, median, q3, whisker_low, whisker_high (furthest values within 1.5 IQR)."""
-    qs = {c: _quartiles(df, c) for c in cols}
+    qs = _quartiles(df, cols)
     aggs = []
     for c in cols:
         q1, _, q3 = qs[c]

@@ -2,19 +2,20 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer, so on a
 whole large column it is unbounded. Here the k-th smallest value is found by
-narrowing a value band with distributed passes:
-
-1. one pass counts, per target rank, the rows below and inside the band, and
-   (for bands still large) computes ``percentile_approx`` inside the band;
-2. the band shrinks to the approximate neighbourhood of the rank (its width
-   in rows falls by ~``accuracy / 4`` per pass), or stops when it holds one
-   distinct value;
-3. once a band holds at most ``band_rows`` rows, those rows alone are sorted
-   and the rank is read off.
-
-Passes are O(log_{accuracy} n); only counts and at most ``band_rows`` values
-per rank reach the driver. Interpolated quantiles (linear, as pandas
-``quantile`` and SQL ``quantile_cont``) take ranks floor(p) and floor(p)+1 of
+narrowing a value band with distributed passes, for all (column, rank)
+targets at once:
+
+1. one pass takes count, min and max per column (a constant column is done);
+2. bands holding at most ``band_rows`` rows are numbered in one distributed
+   pass (row_number per band) and only the wanted rows reach the driver;
+3. larger bands get one ``percentile_approx`` sketch per (column, band) with
+   all wanted fractions (plus / minus a margin), and a counting pass confirms
+   each rank lies in its narrower band (rows per band fall by about
+   ``accuracy / 8`` per round); a band of one value answers directly.
+
+Rounds are O(log_{accuracy} n); only counts and at most ``band_rows`` values
+per target reach the driver. Interpolated quantiles (linear, as pandas
+``quantile`` and SQL ``quantile_cont``) use ranks floor(p), floor(p) + 1 of
 p = (n - 1) q.
 """
 
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 
 DEFAULT_BAND_ROWS = 10_000
 DEFAULT_ACCURACY = 10_000
-MAX_PASSES = 12
+MAX_ROUNDS = 12
 
 
 def _band(c, lo, hi):
-    cond = F.lit(True)
+    cond = c.isNotNull()
     if lo is not None:
         cond = cond & (c >= F.lit(lo))
     if hi is not None:
@@ -39,94 +40,131 @@ def _band(c, lo, hi):
     return cond
 
 
-def kth_smallest(df: DataFrame, col: str, ranks: list[int], band_rows: int = DEFAULT_BAND_ROWS,
-                 accuracy: int = DEFAULT_ACCURACY) -> dict[int, float]:
-    """Exact value at each 0-based rank among the non-null values of ``col``."""
+def _x(col: str):
     x = F.col(col).cast("double")
-    vals = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    c = F.col("x")
-    state = {r: [None, None, 0] for r in set(ranks)}  # rank -> [lo, hi, rows below lo]
-    out: dict[int, float] = {}
-    for _ in range(MAX_PASSES):
-        todo = [r for r in state if r not in out]
-        if not todo:
-            break
-        aggs = []
-        for i, r in enumerate(todo):
-            lo, hi, _below = state[r]
-            aggs += [F.count_if(_band(c, lo, hi)).alias(f"in{i}"),
-                     F.min(F.when(_band(c, lo, hi), c)).alias(f"mn{i}"),
-                     F.max(F.when(_band(c, lo, hi), c)).alias(f"mx{i}")]
-        row = vals.agg(*aggs).first()
-        small, narrow = [], []
-        for i, r in enumerate(todo):
-            m, mn, mx = row[f"in{i}"], row[f"mn{i}"], row[f"mx{i}"]
-            lo, hi, below = state[r]
-            state[r] = [mn, mx, below]
-            if m == 0:
-                out[r] = None
-            elif mn == mx:
-                out[r] = mn
-            elif m <= band_rows:
-                small.append(r)
-            else:
-                narrow.append((r, m))
-        for r in small:
-            lo, hi, below = state[r]
-            band = (vals.filter(_band(c, lo, hi)).orderBy("x")
-                    .limit(band_rows).collect())
-            out[r] = band[r - below][0]
+    return F.when(~F.isnan(x), x)
+
+
+def _pick_in_bands(vals: DataFrame, small, state, cidx) -> dict:
+    """One pass: rows of every small band, numbered within their band, keep the wanted rank."""
+    from pyspark.sql import Window
+    items = [F.when(_band(F.col(f"v{cidx[t[0]]}"), state[t][0], state[t][1]),
+                    F.struct(F.lit(i).alias("t"), F.col(f"v{cidx[t[0]]}").alias("v"))) for i, t in enumerate(small)]
+    e = vals.select(F.explode(F.array(*items)).alias("e")).filter(F.col("e").isNotNull()).select("e.t", "e.v")
+    want = F.create_map(*[x for i, t in enumerate(small) for x in (F.lit(i), F.lit(t[1] - state[t][2] + 1))])
+    rn = F.row_number().over(Window.partitionBy("t").orderBy("v"))
+    got = e.withColumn("rn", rn).filter(F.col("rn") == want[F.col("t")]).select("t", "v").collect()
+    return {small[r.t]: r.v for r in got}
+
+
+def kth_smallest_multi(df: DataFrame, targets: list[tuple[str, int]], band_rows: int = DEFAULT_BAND_ROWS,
+                       accuracy: int = DEFAULT_ACCURACY) -> dict[tuple[str, int], float | None]:
+    """Exact value at each 0-based rank among the non-null, non-NaN values of each column."""
+    cols = sorted({c for c, _ in targets})
+    vals = df.select(*[_x(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    cidx = {c: i for i, c in enumerate(cols)}
+    v = {c: F.col(f"v{cidx[c]}") for c in cols}
+    first = vals.agg(*[a for c in cols for a in (F.count(v[c]).alias(f"n{cidx[c]}"), F.min(v[c]).alias(f"mn{cidx[c]}"),
+                                                   F.max(v[c]).alias(f"mx{cidx[c]}"))]).first()
+    out: dict = {}
+    state = {}  # target -> [lo, hi, rows below lo, rows in band]
+    for t in set(targets):
+        i = cidx[t[0]]
+        n, mn, mx = first[f"n{i}"], first[f"mn{i}"], first[f"mx{i}"]
+        if n == 0 or t[1] >= n:
+            out[t] = None
+        elif mn == mx:
+            out[t] = mn
+        else:
+            state[t] = [mn, mx, 0, n]
+    for _ in range(MAX_ROUNDS):
+        todo = [t for t in state if t not in out]
+        small = [t for t in todo if state[t][3] <= band_rows]
+        if small:
+            out.update(_pick_in_bands(vals, small, state, cidx))
+        narrow = [t for t in todo if state[t][3] > band_rows]
         if not narrow:
-            continue
-        # percentile_approx inside each large band around the wanted fraction
-        aggs = []
-        for i, (r, m) in enumerate(narrow):
-            lo, hi, below = state[r]
-            f = (r - below) / max(m - 1, 1)
-            eps = 4.0 / accuracy
-            probs = [max(0.0, f - eps), min(1.0, f + eps)]
-            cond = _band(c, lo, hi)
-            aggs.append(F.percentile_approx(F.when(cond, c), probs, accuracy).alias(f"p{i}"))
-        prow = vals.agg(*aggs).first()
-        cnt = []
-        for i, (r, m) in enumerate(narrow):
-            lo, hi, below = state[r]
-            plo, phi = prow[f"p{i}"]
-            cnt += [F.count_if(_band(c, lo, hi) & (c < F.lit(plo))).alias(f"b{i}"),
-                    F.count_if(_band(c, plo, phi)).alias(f"w{i}")]
-        crow = vals.agg(*cnt).first()
-        for i, (r, m) in enumerate(narrow):
-            lo, hi, below = state[r]
-            plo, phi = prow[f"p{i}"]
-            nb = below + crow[f"b{i}"]
-            if nb <= r < nb + crow[f"w{i}"]:
-                state[r] = [plo, phi, nb]  # rank is inside the narrower band
-            # otherwise keep the band; the next pass retries with fresh bounds
-    for r in state:
-        if r not in out:  # pathological: fall back to sorting the remaining band
-            lo, hi, below = state[r]
-            band = vals.filter(_band(c, lo, hi)).orderBy("x").collect()
-            out[r] = band[r - below][0]
+            return out
+        # one sketch per (column, band), carrying every probability wanted in it
+        eps = 4.0 / accuracy
+        groups: dict = {}
+        for t in narrow:
+            lo, hi, below, m = state[t]
+            f = (t[1] - below) / max(m - 1, 1)
+            groups.setdefault((t[0], lo, hi), []).append((t, max(0.0, f - eps), min(1.0, f + eps)))
+        gkeys = list(groups)
+        paggs = []
+        for gi, (c, lo, hi) in enumerate(gkeys):
+            probs = sorted({p for _, a, b in groups[(c, lo, hi)] for p in (a, b)})
+            paggs.append(F.percentile_approx(F.when(_band(v[c], lo, hi), v[c]), probs, accuracy).alias(f"p{gi}"))
+        prow = vals.agg(*paggs).first()
+        bounds = {}
+        for gi, key in enumerate(gkeys):
+            probs = sorted({p for _, a, b in groups[key] for p in (a, b)})
+            at = dict(zip(probs, prow[f"p{gi}"]))
+            for t, a, b in groups[key]:
+                bounds[t] = (at[a], at[b])
+        caggs = []
+        for i, t in enumerate(narrow):
+            lo, hi, _b, _m = state[t]
+            plo, phi = bounds[t]
+            c = v[t[0]]
+            caggs += [F.count_if(_band(c, lo, hi) & (c < F.lit(plo))).alias(f"b{i}"),
+                      F.count_if(_band(c, plo, phi)).alias(f"w{i}")]
+        crow = vals.agg(*caggs).first()
+        for i, t in enumerate(narrow):
+            plo, phi = bounds[t]
+            nb, w = state[t][2] + crow[f"b{i}"], crow[f"w{i}"]
+            if nb <= t[1] < nb + w:  # the rank lies in the narrower band
+                if plo == phi:
+                    out[t] = plo
+                else:
+                    state[t] = [plo, phi, nb, w]
+            # else: the approximation missed; the band is kept and retried
+    for t in state:  # pathological inputs only: sort what is left of the band
+        if t not in out:
+            c = f"v{cidx[t[0]]}"
+            lo, hi, below, _m = state[t]
+            out[t] = vals.filter(_band(F.col(c), lo, hi)).select(c).orderBy(c).collect()[t[1] - below][0]
     return out
 
 
+def exact_quantiles_multi(df: DataFrame, cols, qs, band_rows: int = DEFAULT_BAND_ROWS,
+                          accuracy: int = DEFAULT_ACCURACY) -> dict[str, dict[float, float | None]]:
+    """Linear-interpolation quantiles (pandas / ``quantile_cont``) of several columns."""
+    cols = list(cols)
+    counts = df.agg(*[F.count(_x(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    # (the per-column counts are needed to place the ranks before the search starts)
+    targets, pos = [], {}
+    for i, c in enumerate(cols):
+        n = counts[f"n{i}"]
+        for q in qs:
+            if n == 0:
+                pos[(c, q)] = None
+                continue
+            p = (n - 1) * q
+            lo = int(math.floor(p))
+            hi = min(lo + 1, n - 1)
+            pos[(c, q)] = (lo, hi, p - lo)
+            targets += [(c, lo), (c, hi)]
+    v = kth_smallest_multi(df, targets, band_rows, accuracy) if targets else {}
+    res: dict[str, dict] = {c: {} for c in cols}
+    for (c, q), p in pos.items():
+        if p is None:
+            res[c][q] = None
+            continue
+        lo, hi, frac = p
+        a, b = v[(c, lo)], v[(c, hi)]
+        res[c][q] = a + (b - a) * frac if frac else a
+    return res
+
+
 def exact_quantiles(df: DataFrame, col: str, qs, band_rows: int = DEFAULT_BAND_ROWS,
                     accuracy: int = DEFAULT_ACCURACY) -> dict[float, float | None]:
-    """Linear-interpolation quantiles (pandas / ``quantile_cont``) of ``col``."""
-    n = df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).count()
-    if n == 0:
-        return {q: None for q in qs}
-    pos = {q: (n - 1) * q for q in qs}
-    ranks = set()
-    for p in pos.values():
-        ranks.add(int(math.floor(p)))
-        ranks.add(min(int(math.floor(p)) + 1, n - 1))
-    v = kth_smallest(df, col, sorted(ranks), band_rows, accuracy)
-    res = {}
-    for q, p in pos.items():
-        lo = int(math.floor(p))
-        hi = min(lo + 1, n - 1)
-        frac = p - lo
-        a, b = v[lo], v[hi]
-        res[q] = a + (b - a) * frac if frac else a
-    return res
+    return exact_quantiles_multi(df, [col], qs, band_rows, accuracy)[col]
+
+
+def kth_smallest(df: DataFrame, col: str, ranks, band_rows: int = DEFAULT_BAND_ROWS,
+                 accuracy: int = DEFAULT_ACCURACY) -> dict[int, float | None]:
+    got = kth_smallest_multi(df, [(col, r) for r in ranks], band_rows, accuracy)
+    return {r: got[(col, r)] for r in ranks}

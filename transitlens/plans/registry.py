@@ -390,8 +390,8 @@ def q_layers(spark, sf):
         ("silver_gps_enriched_core", lambda read: enrich_core(match_pings_to_stops(
             read("silver_gps_flat"), bounded_broadcast(read("silver_stops_routes"), already_materialized=True)[0]))),
         ("gold_trips_candidates", lambda read: trip_candidates(read("silver_gps_enriched_core"))),
-        ("gold_trips_final", lambda read: trips_final(read("gold_trips_candidates"),
-                                                      F.broadcast(read("silver_routes_meta")))),
+        ("gold_trips_final", lambda read: trips_final(
+            read("gold_trips_candidates"), bounded_broadcast(read("silver_routes_meta"), already_materialized=True)[0])),
     ]
     return materialize_layers(spark, layers, root)["gold_trips_final"]
 
