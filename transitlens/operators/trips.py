@@ -43,13 +43,24 @@ def pair_trip_endpoints(core: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     ordk = [F.col(ts).alias("t")] + [F.col(c).alias(f"b{i}") for i, c in enumerate(tb)]
     row_s = F.struct(*ordk, F.col("row_number").alias("rn"), F.col("_keep").alias("ok"),
                      F.col("prev_time").alias("pt"), F.col("next_time").alias("nt"))
-    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    g = (core.filter(nonnull)
-         .groupBy(*keys)
+    kcols = [f"_k{i}" for i in range(len(keys))]
+    if all(c in core.columns for c in kcols + ["_kn"]) and list(keys) == list(TRIP_KEYS):
+        # the enrichment core is clustered and sorted on its non-null key
+        # stand-ins: grouping on them needs no extra sort before the partial
+        # aggregation; a zero null mask selects keys without nulls
+        src = core.filter(F.col("_kn") == 0)
+        group = kcols
+        names = dict(zip(kcols, keys))
+    else:
+        src = core.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        group = list(keys)
+        names = {k: k for k in keys}
+    g = (src.groupBy(*group)
          .agg(F.min(row_s).alias("_s"), F.max(row_s).alias("_e"),
               F.sum("DELAY").alias("_dsum"), F.count("DELAY").alias("_dcnt"),
               F.sum("VELOCITY_CENTS").alias("_vsum"), F.count("VELOCITY_CENTS").alias("_vcnt")))
     g = g.filter(F.col("_s.ok") & F.col("_e.ok"))
+    g = g.select(*[F.col(c).alias(names[c]) for c in group], *[c for c in g.columns if c not in group])
     return g.select(
         "BUSNUMBER", F.col("RUTA").alias("LINE"), "TRIPID", "date", "ORIENTATION",
         F.col("_s.t").alias("STARTTIME"), F.col("_e.t").alias("ENDTIME"),
