@@ -276,6 +276,29 @@ def _snapshots(spark, sf) -> DataFrame:
     return fixtures.events_to_snapshots(_t(spark, sf, "events"), N_BUSES)
 
 
+def _capture_silver(spark, sf) -> gold.Silver:
+    pings = flatten_pings(parse_gps_payload(_snapshots(spark, sf)))
+    return gold.build_silver(pings, fixtures.fixture_stops(pings))
+
+
+@register("gold_trips_from_captures", O.pipeline("SELECT * FROM trips", N_BUSES, from_captures=True))
+def q_capture_trips(spark, sf):
+    """The whole medallion from raw captures: parse, flatten, enrich, pair, publish."""
+    return gold.gold_trips_final(_capture_silver(spark, sf))
+
+
+@register("segment_speed_from_captures", O.pipeline("SELECT * FROM segments", N_BUSES, segments=True,
+                                                    from_captures=True))
+def q_capture_segments(spark, sf):
+    return gold.gold_route_segment_speed(_capture_silver(spark, sf))
+
+
+@register("silver_enriched_from_captures", O.pipeline(f"SELECT {', '.join(ENRICHED_COLUMNS)} FROM enriched",
+                                                      N_BUSES, from_captures=True))
+def q_capture_enriched(spark, sf):
+    return gold.silver_gps_enriched(_capture_silver(spark, sf)).select(*ENRICHED_COLUMNS)
+
+
 @register("flatten_pings", _FLAT_SQL)
 def q_flatten(spark, sf):
     return flatten_pings(parse_gps_payload(_snapshots(spark, sf)))
