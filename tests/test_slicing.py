@@ -11,14 +11,14 @@ from transitlens.operators.segments import route_segment_speed
 from transitlens.operators.trips import trip_candidates
 
 
-def _random_pings(seed, n=600):
+def _random_pings(seed, n=600, bad=0.5):
     rnd = random.Random(seed)
     rows = []
     base = datetime(2024, 1, 1, 5)
     for i in range(n):
         bus = str(rnd.randint(0, 2))
         ts = base + timedelta(seconds=rnd.choice([0, 30, 60]) * rnd.randint(0, 400))  # many ties
-        y = rnd.choice([None, 0.5, 4.0 + rnd.random() / 100, 4.0 + rnd.random() / 100])
+        y = rnd.choice([None, 0.5]) if rnd.random() < bad else 4.0 + rnd.random() / 100
         rows.append((bus, rnd.randint(-300, 300) if rnd.random() > 0.1 else None, rnd.choice(["A", "B"]),
                      str(rnd.randint(0, 7)), str(rnd.randint(0, 1)), ts, -76.5 + rnd.random() / 100, y,
                      i, ts.date()))

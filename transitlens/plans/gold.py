@@ -54,5 +54,30 @@ def gold_route_segment_speed(s: Silver) -> DataFrame:
 
 
 def silver_gps_enriched(s: Silver, running_velocity: bool = True) -> DataFrame:
+    """The enriched table after the drop rule.
+
+    The running AVGVELOCITY column needs per-slice sums of a value that is
+    itself windowed, so the core is read twice (Spark re-runs its narrower
+    projection, a second shuffle of the pings). Trips and segments do not need
+    the column; ``running_velocity=False`` keeps the table at one shuffle.
+    """
     df = running_avg_velocity(s.core) if running_velocity else s.core
     return public_columns(expect_or_drop(df, "gpsy_positive", GPSY_POSITIVE))
+
+
+def pipeline_expectations(bronze: DataFrame, s: Silver, flat: DataFrame) -> DataFrame:
+    """Pass / fail counts of every expectation, each on the table it guards."""
+    from transitlens.operators.quality import (BRONZE_RULES, FLAT_INPUT_RULES, FLAT_RULES, TRIPS_DROP,
+                                               TRIPS_RULES, expect_warn)
+    from transitlens.operators.trips import attach_route_meta, terminal_stop_filter
+    pre_final = terminal_stop_filter(attach_route_meta(trip_candidates(s.core), s.meta))
+    final = gold_trips_final(s)
+    parts = [expect_warn(bronze, {**BRONZE_RULES, **FLAT_INPUT_RULES}),
+             expect_warn(flat, FLAT_RULES),
+             expect_warn(s.core, {"gpsy_positive": GPSY_POSITIVE}),
+             expect_warn(pre_final, {TRIPS_DROP[0]: TRIPS_DROP[1]}),
+             expect_warn(final, TRIPS_RULES)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

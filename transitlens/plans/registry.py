@@ -299,6 +299,28 @@ def q_capture_enriched(spark, sf):
     return gold.silver_gps_enriched(_capture_silver(spark, sf)).select(*ENRICHED_COLUMNS)
 
 
+_EXPECT_SQL = O.pipeline("""SELECT 'bronze_has_gps_data_parsed' AS expectation,
+    (SELECT count(DISTINCT (RUTA, floor(epoch_us(timestamp) / 60000000.0))) FROM raw_pings) AS passed, 0 AS failed
+  UNION ALL SELECT 'valid_gps_array',
+    (SELECT count(DISTINCT (RUTA, floor(epoch_us(timestamp) / 60000000.0))) FROM raw_pings), 0
+  UNION ALL SELECT 'gps_has_timestamp', count_if(timestamp IS NOT NULL), count_if(timestamp IS NULL) FROM pings
+  UNION ALL SELECT 'gpsy_positive', count_if(coalesce(GPSY IS NOT NULL AND GPSY > 1, false)),
+    count_if(NOT coalesce(GPSY IS NOT NULL AND GPSY > 1, false)) FROM joined
+  UNION ALL SELECT 'valid_trip_duration', count(*), 0 FROM final_raw
+  UNION ALL SELECT 'avgvelocity_reasonable',
+    count_if(coalesce(AVGVELOCITY IS NULL OR (AVGVELOCITY > 0.01 AND AVGVELOCITY < 100), false)),
+    count_if(NOT coalesce(AVGVELOCITY IS NULL OR (AVGVELOCITY > 0.01 AND AVGVELOCITY < 100), false)) FROM trips""",
+                         N_BUSES, from_captures=True)
+
+
+@register("pipeline_expectations", _EXPECT_SQL)
+def q_expectations(spark, sf):
+    bronze = parse_gps_payload(_snapshots(spark, sf))
+    flat = flatten_pings(bronze)
+    s = gold.build_silver(flat, fixtures.fixture_stops(flat))
+    return gold.pipeline_expectations(bronze, s, flat)
+
+
 @register("flatten_pings", _FLAT_SQL)
 def q_flatten(spark, sf):
     return flatten_pings(parse_gps_payload(_snapshots(spark, sf)))
