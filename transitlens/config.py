@@ -60,7 +60,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="transitlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some sessions reject runtime core settings
+            pass
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return spark.conf.get("spark.checkpoint.dir", None) or d

@@ -814,3 +814,59 @@ def q_top_k(spark, sf):
 def q_preview(spark, sf):
     return ordering.preview_rows(_trips(spark, sf), ["DATE", "LINE", "ORIENTATION", "TRIPDURATION", "AVGDELAY",
                                                      "AVGVELOCITY", "TIMEOFDAY"], 10)
+
+
+# ---------------------------------------------------------------------------
+# survey ids that the combined round-trip queries above also cover, registered
+# under their own names
+# ---------------------------------------------------------------------------
+
+
+@register("write_snapshots", _FLAT_SQL)
+def q_write_snapshots(spark, sf):
+    return q_landing(spark, sf)
+
+
+@register("read_gps_snapshots", O.with_ctes(O.pings_cte(N_BUSES), body=(
+    "SELECT RUTA AS ruta, CAST(floor(epoch_us(timestamp) / 60000000.0) * 60 AS DOUBLE) AS timestamp, "
+    "CAST(CAST(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(floor(epoch_us(timestamp) / 60000000.0) AS BIGINT) "
+    "* 60) - INTERVAL 5 HOUR AS TIMESTAMP) AS DATE) AS capture_date, count(*) AS n_pings FROM pings GROUP BY 1, 2, 3")))
+def q_read_snapshots(spark, sf):
+    path = scratch_path(spark, "landing-read")
+    write_snapshots(_snapshots(spark, sf), path)
+    snaps = read_gps_snapshots(spark, path)
+    return snaps.select("ruta", "timestamp", "capture_date",
+                        F.json_array_length("gps_data").cast("long").alias("n_pings"))
+
+
+@register("export_trips_csv", _p("SELECT * FROM trips WHERE strftime(DATE, '%Y-%m') = '2024-01'"))
+def q_export_csv(spark, sf):
+    return q_trips_csv(spark, sf)
+
+
+@register("read_trips_csv", _p("SELECT * FROM trips"))
+def q_read_csv(spark, sf):
+    root = scratch_path(spark, "trips-csv-all")
+    t = _trips(spark, sf)
+    t.write.mode("overwrite").option("header", True).csv(root)
+    return read_trips_csv(spark, root)
+
+
+@register("pick_timestamp_column", _FLAT_SQL)
+def q_pick_ts(spark, sf):
+    """Captures without ``timestamp``: flatten falls back to ``ingest_time`` (set to the poll time here)."""
+    snaps = _snapshots(spark, sf)
+    snaps = snaps.withColumn("ingest_time", F.timestamp_seconds(F.col("timestamp").cast("long"))).drop("timestamp")
+    return flatten_pings(parse_gps_payload(snaps))
+
+
+@register("local_date", "SELECT event_id, CAST(CAST(TIMESTAMP '1970-01-01 00:00:00' + "
+          "to_seconds(CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT)) - INTERVAL 5 HOUR AS TIMESTAMP) AS DATE) "
+          "AS local_date FROM events")
+def q_local_date(spark, sf):
+    return q_epoch(spark, sf).select("event_id", "local_date")
+
+
+@register("efficiency_by_group", _eff_group_sql("TIMEOFDAY"))
+def q_eff_group(spark, sf):
+    return profile.efficiency_by_group(_trips(spark, sf), "TIMEOFDAY")
