@@ -1,0 +1,10 @@
+from transitlens.config import cluster_settings
+
+
+def test_cluster_settings_scale_with_input():
+    small = cluster_settings(10 * 1024 ** 3)
+    big = cluster_settings(100 * 1024 ** 4)
+    assert int(big["spark.sql.shuffle.partitions"]) > 1000 * int(small["spark.sql.shuffle.partitions"]) / 100
+    assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) <= 256 * 1024 ** 2
+    # 100 TB at 256 MB per partition
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600

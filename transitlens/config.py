@@ -74,3 +74,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     import uuid
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_settings(input_bytes: int, executor_cores: int = 4, executor_memory_gb: float = 16.0,
+                     target_partition_mb: int = 256) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes``.
+
+    * file splits of ``target_partition_mb`` (fewer, larger scan tasks);
+    * initial shuffle partitions so one post-shuffle partition is about the
+      same size, capped so a task's share of executor memory holds a few of
+      them (the ping window sorts one partition at a time and spills beyond);
+    * AQE coalesces small partitions back to the advisory size and splits
+      skewed join partitions.
+    """
+    target = target_partition_mb * 1024 * 1024
+    per_task_mem = executor_memory_gb * 1024 ** 3 * 0.6 / max(executor_cores, 1)
+    part_bytes = int(min(target, per_task_mem / 3))
+    n_parts = max(8, -(-int(input_bytes) // max(part_bytes, 1)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(n_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * part_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
