@@ -18,6 +18,9 @@ def duck(sql: str, sf_dir: str) -> pd.DataFrame:
     return con.execute(sql).fetchdf()
 
 
+EXACT = False
+
+
 def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT:
         return None
@@ -35,7 +38,7 @@ def _norm(v):
             return None
         if v == int(v) and abs(v) < 1e15:
             return int(v)
-        return float(f"{v:.12g}")
+        return v if EXACT else float(f"{v:.12g}")
     if isinstance(v, bool):
         return int(v)
     return v

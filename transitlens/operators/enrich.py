@@ -39,6 +39,7 @@ from transitlens.functions.numeric import cents_to_units
 GPSY_POSITIVE = "GPSY IS NOT NULL AND GPSY > 1"
 DEFAULT_TIEBREAK = ("row_number", "ping_seq")
 _NULL_SLICE = -(2 ** 62)
+DIST_DIGITS = 6
 
 _SENTINEL = {T.StringType: "", T.IntegerType: 0, T.LongType: 0, T.ShortType: 0, T.ByteType: 0,
              T.DateType: "1970-01-01", T.DoubleType: 0.0, T.BooleanType: False,
@@ -160,7 +161,9 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
         F.coalesce(F.col("_lead_kept.rn"), F.when(F.col("_lead_kept").isNull(), F.col("_next_kept.rn")))
         .alias("next_kept_row"),
     )
-    j = j.withColumn("haversine_dist", haversine_distance("LASTLATITUDE", "LASTLONGITUDE", "GPSY", "GPSX"))
+    # metres to the micrometre: identical results whatever math library runs the trigonometry
+    j = j.withColumn("haversine_dist", round_half_away(
+        haversine_distance("LASTLATITUDE", "LASTLONGITUDE", "GPSY", "GPSX"), DIST_DIGITS))
     j = j.withColumn("time_s", F.unix_timestamp("next_time") - F.unix_timestamp("prev_time"))
     j = j.withColumn("VELOCITY_CENTS", ping_velocity_cents(F.col("haversine_dist"), F.col("time_s")))
     j = j.withColumn("VELOCITY", cents_to_units(F.col("VELOCITY_CENTS")))

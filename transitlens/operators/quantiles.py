@@ -121,11 +121,9 @@ def kth_smallest_multi(df: DataFrame, targets: list[tuple[str, int]], band_rows:
                 else:
                     state[t] = [plo, phi, nb, w]
             # else: the approximation missed; the band is kept and retried
-    for t in state:  # pathological inputs only: sort what is left of the band
-        if t not in out:
-            c = f"v{cidx[t[0]]}"
-            lo, hi, below, _m = state[t]
-            out[t] = vals.filter(_band(F.col(c), lo, hi)).select(c).orderBy(c).collect()[t[1] - below][0]
+    left = [t for t in state if t not in out]
+    if left:  # approximation kept missing: number the remaining bands in Spark
+        out.update(_pick_in_bands(vals, left, state, cidx))
     return out
 
 
