@@ -37,7 +37,7 @@ from transitlens.functions.trip import ping_velocity_cents
 from transitlens.functions.numeric import cents_to_units
 
 GPSY_POSITIVE = "GPSY IS NOT NULL AND GPSY > 1"
-DEFAULT_TIEBREAK = ("row_number", "ping_seq")
+DEFAULT_TIEBREAK = ("row_number", "ping_seq", "TASKID")
 _NULL_SLICE = -(2 ** 62)
 DIST_DIGITS = 6
 
@@ -92,9 +92,9 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     Internal columns ``_k*``, ``_kn``, ``_slice`` stay for later passes.
     Ordering is (ts, *tiebreak); the running delay average uses ts only, so
     pings with equal timestamps share one value (RANGE frame). The tie-break
-    columns must make the order total within a trip (payload position does:
-    pings sharing a capture time share a capture); without that, lag / lead
-    between exact ties are arbitrary, as in any window.
+    columns must make the order total within a trip (stop position, payload
+    position, then the feed's TASKID); without that, lag / lead between exact
+    ties are arbitrary, as in any window.
     """
     tb = [c for c in tiebreak if c in joined.columns]
     keep_col = F.expr(keep) if isinstance(keep, str) else keep

@@ -26,7 +26,7 @@ def drop_single_ping_trips(pairs: DataFrame) -> DataFrame:
 
 
 def pair_trip_endpoints(core: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
-                        tiebreak=("row_number", "ping_seq")) -> DataFrame:
+                        tiebreak=("row_number", "ping_seq", "TASKID")) -> DataFrame:
     """Pair each trip's first ping with its last ping, in one grouped pass.
 
     Equivalent to joining the first-ping rows with the last-ping rows on the

@@ -73,25 +73,29 @@ def fixture_stops(pings: DataFrame) -> DataFrame:
 
 
 CAPTURE_SECONDS = 60
+CAPTURE_BLOCK = 4096  # event ids per capture block: bounds every capture array
 
 
 def events_to_snapshots(events: DataFrame, n_buses: int = 10) -> DataFrame:
-    """Landed-capture rows: one per route and poll minute, payload as JSON text.
+    """Landed-capture rows: one per route, poll minute and block of event ids.
 
     Coordinates are written as fixed-point strings (x 1e7) and every field as
     text, as the position feed delivers them; the capture time is the poll
-    minute in epoch seconds. Elements are ordered by event id, so payload
-    positions are deterministic. A capture holds one route's pings of one
-    minute (bounded by the buses of a route), the shape the feed produces.
+    minute in epoch seconds. A capture holds the pings of one route and minute
+    whose event ids fall in one block of ``CAPTURE_BLOCK`` ids, so no capture
+    array grows with the data. Elements are ordered by event id (payload
+    positions are deterministic) and carry the event id as TASKID, the feed's
+    task identifier and the last tie-breaker of the ping order.
     """
     p = events_to_pings(events, n_buses)
     fixed = lambda c: F.floor(F.col(c) * F.lit(1e7) + F.lit(0.5)).cast("long").cast("string")
     elem = F.struct(F.struct(
         F.col("BUSNUMBER"), F.col("DELAY").cast("string").alias("DELAY"), fixed("GPSX").alias("GPSX"),
         fixed("GPSY").alias("GPSY"), F.col("PARADA"), F.col("RUTA"), F.col("RUTERO"), F.col("STOPID"),
-        F.col("TASKID"), F.col("TELEGRAMDATE"), F.col("TRIPID")).alias("element"))
+        F.col("ping_seq").cast("string").alias("TASKID"), F.col("TELEGRAMDATE"), F.col("TRIPID")).alias("element"))
     minute = (F.floor(F.unix_timestamp("timestamp") / F.lit(CAPTURE_SECONDS)) * CAPTURE_SECONDS)
-    g = (p.groupBy(F.col("RUTA").alias("ruta"), minute.alias("_minute"))
+    block = F.floor(F.col("ping_seq") / F.lit(CAPTURE_BLOCK))
+    g = (p.groupBy(F.col("RUTA").alias("ruta"), minute.alias("_minute"), block.alias("_block"))
          .agg(F.array_sort(F.collect_list(F.struct(F.col("ping_seq"), elem.alias("e")))).alias("_items")))
     return g.select(
         "ruta",

@@ -261,12 +261,13 @@ def q_expect_warn(spark, sf):
 # ---------------------------------------------------------------------------
 
 _FLAT_SQL = O.with_ctes(O.pings_cte(N_BUSES), body="""SELECT BUSNUMBER, DELAY, PARADA, RUTA, RUTERO, STOPID,
-  TASKID, TELEGRAMDATE, TRIPID,
+  CAST(ping_seq AS VARCHAR) AS TASKID, TELEGRAMDATE, TRIPID,
   CAST(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(floor(epoch_us(timestamp) / 60000000.0) AS BIGINT) * 60)
        - INTERVAL 5 HOUR AS TIMESTAMP) AS timestamp,
   CAST(CAST(floor(GPSX * 1e7 + 0.5) AS BIGINT) AS DOUBLE) / 1e7 AS GPSX,
   CAST(CAST(floor(GPSY * 1e7 + 0.5) AS BIGINT) AS DOUBLE) / 1e7 AS GPSY,
-  row_number() OVER (PARTITION BY RUTA, floor(epoch_us(timestamp) / 60000000.0) ORDER BY ping_seq) - 1 AS ping_seq,
+  row_number() OVER (PARTITION BY RUTA, floor(epoch_us(timestamp) / 60000000.0), floor(ping_seq / 4096)
+                     ORDER BY ping_seq) - 1 AS ping_seq,
   CAST(CAST(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(floor(epoch_us(timestamp) / 60000000.0) AS BIGINT) * 60)
        - INTERVAL 5 HOUR AS TIMESTAMP) AS DATE) AS date
 FROM pings""")
@@ -300,9 +301,10 @@ def q_capture_enriched(spark, sf):
 
 
 _EXPECT_SQL = O.pipeline("""SELECT 'bronze_has_gps_data_parsed' AS expectation,
-    (SELECT count(DISTINCT (RUTA, floor(epoch_us(timestamp) / 60000000.0))) FROM raw_pings) AS passed, 0 AS failed
+    (SELECT count(DISTINCT (RUTA, floor(epoch_us(timestamp) / 60000000.0), floor(ping_seq / 4096))) FROM raw_pings)
+      AS passed, 0 AS failed
   UNION ALL SELECT 'valid_gps_array',
-    (SELECT count(DISTINCT (RUTA, floor(epoch_us(timestamp) / 60000000.0))) FROM raw_pings), 0
+    (SELECT count(DISTINCT (RUTA, floor(epoch_us(timestamp) / 60000000.0), floor(ping_seq / 4096))) FROM raw_pings), 0
   UNION ALL SELECT 'gps_has_timestamp', count_if(timestamp IS NOT NULL), count_if(timestamp IS NULL) FROM pings
   UNION ALL SELECT 'gpsy_positive', count_if(coalesce(GPSY IS NOT NULL AND GPSY > 1, false)),
     count_if(NOT coalesce(GPSY IS NOT NULL AND GPSY > 1, false)) FROM joined
@@ -328,7 +330,7 @@ def q_flatten(spark, sf):
 
 @register("parse_gps_payload", O.with_ctes(O.pings_cte(N_BUSES), body=(
     "SELECT RUTA AS ruta, floor(epoch_us(timestamp) / 60000000.0) * 60 AS capture_time, count(*) AS n_pings "
-    "FROM pings GROUP BY 1, 2")))
+    "FROM pings GROUP BY RUTA, floor(epoch_us(timestamp) / 60000000.0), floor(ping_seq / 4096)")))
 def q_parse(spark, sf):
     p = parse_gps_payload(_snapshots(spark, sf))
     return p.select("ruta", F.col("timestamp").alias("capture_time"),
@@ -499,16 +501,22 @@ def q_dedupe(spark, sf):
     return crawl.dedupe_keep_first(_routes(spark, sf), "route", ["page_id", "pos"])
 
 
-_FETCH_SQL = O.with_ctes(O.pings_cte(N_BUSES), body="""SELECT * FROM (
-  SELECT RUTA AS ruta, floor(epoch_us(timestamp) / 60000000.0) * 60 AS timestamp,
-         count_if(e.event_type = 'error') AS n_err, count(*) AS n
-  FROM pings p JOIN events e ON p.ping_seq = e.event_id GROUP BY 1, 2)""")
+_FETCH_CTES = O.with_ctes(O.pings_cte(N_BUSES), """polls AS (
+  SELECT RUTA AS ruta, floor(epoch_us(p.timestamp) / 60000000.0) * 60 AS timestamp,
+         count_if(e.event_type = 'error') AS n_err
+  FROM pings p JOIN events e ON p.ping_seq = e.event_id GROUP BY 1, 2),
+caps AS (
+  SELECT RUTA AS ruta, floor(epoch_us(timestamp) / 60000000.0) * 60 AS timestamp, count(*) AS n
+  FROM pings GROUP BY RUTA, floor(epoch_us(timestamp) / 60000000.0), floor(ping_seq / 4096)),
+recs AS (
+  SELECT c.ruta, c.timestamp, true AS success, CAST(NULL AS VARCHAR) AS error, c.n AS n_pings
+  FROM caps c JOIN polls p ON c.ruta = p.ruta AND c.timestamp = p.timestamp WHERE p.n_err = 0
+  UNION ALL
+  SELECT ruta, timestamp, false, 'fetch failed: ' || CAST(n_err AS VARCHAR) || ' error event(s)', 0
+  FROM polls WHERE n_err > 0)""", body="{body}")
 
 
-@register("unify_fetch_results", _FETCH_SQL.replace("SELECT * FROM (", "SELECT ruta, timestamp, n_err = 0 AS success, "
-                                                    "CASE WHEN n_err = 0 THEN NULL ELSE 'fetch failed: ' || "
-                                                    "CAST(n_err AS VARCHAR) || ' error event(s)' END AS error, "
-                                                    "CASE WHEN n_err = 0 THEN n ELSE 0 END AS n_pings FROM ("))
+@register("unify_fetch_results", _FETCH_CTES.replace("{body}", "SELECT ruta, timestamp, success, error, n_pings FROM recs"))
 def q_unify(spark, sf):
     ok, err = fixtures.events_to_fetch_results(_t(spark, sf, "events"), N_BUSES)
     u = crawl.unify_fetch_results(ok, err)
@@ -516,9 +524,9 @@ def q_unify(spark, sf):
                     F.coalesce(F.json_array_length("gps_data"), F.lit(0)).cast("long").alias("n_pings"))
 
 
-@register("fetch_outcome_counts", _FETCH_SQL.replace(
-    "SELECT * FROM (", "SELECT count_if(n_err = 0) AS routes_with_gps, count_if(n_err > 0) AS routes_failed, "
-    "count(*) AS routes_total FROM ("))
+@register("fetch_outcome_counts", _FETCH_CTES.replace("{body}", (
+    "SELECT count_if(success AND n_pings > 0) AS routes_with_gps, count_if(NOT success) AS routes_failed, "
+    "count(*) AS routes_total FROM recs")))
 def q_fetch_counts(spark, sf):
     ok, err = fixtures.events_to_fetch_results(_t(spark, sf, "events"), N_BUSES)
     return crawl.fetch_outcome_counts(crawl.unify_fetch_results(ok, err))
@@ -830,7 +838,8 @@ def q_write_snapshots(spark, sf):
 @register("read_gps_snapshots", O.with_ctes(O.pings_cte(N_BUSES), body=(
     "SELECT RUTA AS ruta, CAST(floor(epoch_us(timestamp) / 60000000.0) * 60 AS DOUBLE) AS timestamp, "
     "CAST(CAST(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(CAST(floor(epoch_us(timestamp) / 60000000.0) AS BIGINT) "
-    "* 60) - INTERVAL 5 HOUR AS TIMESTAMP) AS DATE) AS capture_date, count(*) AS n_pings FROM pings GROUP BY 1, 2, 3")))
+    "* 60) - INTERVAL 5 HOUR AS TIMESTAMP) AS DATE) AS capture_date, count(*) AS n_pings FROM pings "
+    "GROUP BY 1, 2, 3, floor(ping_seq / 4096)")))
 def q_read_snapshots(spark, sf):
     path = scratch_path(spark, "landing-read")
     write_snapshots(_snapshots(spark, sf), path)
