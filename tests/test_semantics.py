@@ -163,3 +163,20 @@ def test_delay_bins_right_closed(spark):
 def test_single_ping_trip_has_no_candidate(spark):
     s = _silver(spark, _trip(n=1), line_stops(spark, "A", 3))
     assert gold.gold_trips_candidates(s).count() == 0
+
+
+def test_expect_or_drop_records_metrics(spark):
+    from pyspark.sql import Observation
+    from transitlens.operators.quality import expect_or_drop
+    obs = Observation("gpsy")
+    df = spark.createDataFrame([(0.5,), (None,), (4.0,), (5.0,)], "GPSY double")
+    kept = expect_or_drop(df, "gpsy_positive", "GPSY IS NOT NULL AND GPSY > 1", obs)
+    assert kept.count() == 2
+    assert obs.get == {"gpsy_positive_passed": 2, "gpsy_positive_failed": 2}
+
+
+def test_last_ping_dropped_means_no_trip(spark):
+    rows = _trip(n=4, step_min=10, gpsy={3: 0.9})
+    s = _silver(spark, rows, line_stops(spark, "A", 4))
+    assert gold.gold_trips_candidates(s).count() == 0
+    assert gold.silver_gps_enriched(s).count() == 3

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from transitlens.functions.numeric import round_half_away, round_sig, safe_ratio
 from transitlens.functions.trip import delay_category, trip_efficiency
