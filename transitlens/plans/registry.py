@@ -878,3 +878,16 @@ def q_local_date(spark, sf):
 @register("efficiency_by_group", _eff_group_sql("TIMEOFDAY"))
 def q_eff_group(spark, sf):
     return profile.efficiency_by_group(_trips(spark, sf), "TIMEOFDAY")
+
+
+@register("refresh_pipeline", O.pipeline("SELECT * FROM trips", N_BUSES, from_captures=True))
+def q_refresh(spark, sf):
+    """Daily refresh over landed captures and a stops file; the published trips table."""
+    from transitlens.plans.refresh import refresh
+    events = _t(spark, sf, "events")
+    caps, stops_file = scratch_path(spark, "refresh-captures"), scratch_path(spark, "refresh-stops")
+    write_snapshots(fixtures.events_to_snapshots(events, N_BUSES), caps)
+    write_stops_json(fixtures.route_stop_lists(fixtures.stops_from_pings(fixtures.events_to_pings(events, N_BUSES))),
+                     stops_file)
+    res = refresh(spark, caps, stops_file, scratch_path(spark, "refresh-out"), stops_multiline=False)
+    return spark.read.parquet(res["tables"]["gold_trips_final"])
