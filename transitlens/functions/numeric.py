@@ -20,13 +20,22 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# |x| * 10^d at or above 2^52: a double that large has no fractional digits
+WHOLE_DOUBLE = 4503599627370496.0
+
+
 def round_half_away(c, digits: int = 0) -> Column:
-    """Round half away from zero to ``digits`` decimals; returns double."""
-    x = _c(c)
+    """Round half away from zero to ``digits`` decimals; returns double.
+
+    Values already whole at that scale are returned unchanged (this also keeps
+    the integer intermediate far from overflow).
+    """
+    x = _c(c).cast("double")
     s = float(10 ** digits)
     mag = F.floor(F.abs(x) * F.lit(s) + F.lit(0.5))  # bigint, never -0
     signed = F.when(x < 0, -mag).otherwise(mag)
-    return signed.cast("double") / F.lit(s) if digits else signed.cast("double")
+    rounded = signed.cast("double") / F.lit(s) if digits else signed.cast("double")
+    return F.when(F.abs(x) * F.lit(s) >= F.lit(WHOLE_DOUBLE), x).otherwise(rounded)
 
 
 def to_cents(c) -> Column:
