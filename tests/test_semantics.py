@@ -180,3 +180,16 @@ def test_last_ping_dropped_means_no_trip(spark):
     s = _silver(spark, rows, line_stops(spark, "A", 4))
     assert gold.gold_trips_candidates(s).count() == 0
     assert gold.silver_gps_enriched(s).count() == 3
+
+
+def test_t3_two_sided_and_leg_speed(spark):
+    rows = [ping("1", "A", "1", "0", t(7, 0, 0), 4.0, -76.5, 0, 0), ping("1", "A", "2", "0", t(7, 0, 10), 4.001, -76.5, 0, 1),
+            ping("1", "A", "3", "0", t(7, 0, 40), 4.002, -76.5, 0, 2)]
+    pings = spark.createDataFrame(rows, PING_SCHEMA)
+    joined = match_pings_to_stops(pings, line_stops(spark, "A", 3))
+    two = {r.row_number: r for r in enrich_core(joined).collect()}
+    one = {r.row_number: r for r in enrich_core(joined, two_sided=False).collect()}
+    d = two[2].haversine_dist
+    assert two[2].time_s == 40 and two[2].VELOCITY == round(d / 40 + 1e-12, 2)
+    assert one[2].time_s == 10 and one[2].VELOCITY == round(d / 10 + 1e-12, 2)
+    assert two[3].VELOCITY is None and one[3].time_s == 30  # last ping: no next time, leg time still known

@@ -82,7 +82,7 @@ def _over(expr: str, part: list[str], order: list[str]) -> Column:
 
 def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
                 tiebreak=DEFAULT_TIEBREAK, keep: str | Column = GPSY_POSITIVE,
-                slice_seconds: int = DEFAULT_SLICE_SECONDS) -> DataFrame:
+                slice_seconds: int = DEFAULT_SLICE_SECONDS, two_sided: bool = True) -> DataFrame:
     """Per-ping neighbour columns over ordered trip partitions.
 
     Adds prev_rownum, prev_time, next_time, AVGDELAY, LASTLATITUDE,
@@ -90,6 +90,9 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     plus ``_keep`` (the drop-expectation verdict, evaluated on the ping) and
     ``next_kept_row`` (row_number of the next ping that passes ``keep``).
     Internal columns ``_k*``, ``_kn``, ``_slice`` stay for later passes.
+    Speed is the leg arriving at the ping divided by ``time_s``: by default
+    next minus previous ping time (the source's definition, about half the
+    leg speed); ``two_sided=False`` uses ping time minus previous ping time.
     Ordering is (ts, *tiebreak); the running delay average uses ts only, so
     pings with equal timestamps share one value (RANGE frame). The tie-break
     columns must make the order total within a trip (stop position, payload
@@ -164,7 +167,8 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     # metres to the micrometre: identical results whatever math library runs the trigonometry
     j = j.withColumn("haversine_dist", round_half_away(
         haversine_distance("LASTLATITUDE", "LASTLONGITUDE", "GPSY", "GPSX"), DIST_DIGITS))
-    j = j.withColumn("time_s", F.unix_timestamp("next_time") - F.unix_timestamp("prev_time"))
+    later = "next_time" if two_sided else ts
+    j = j.withColumn("time_s", F.unix_timestamp(later) - F.unix_timestamp("prev_time"))
     j = j.withColumn("VELOCITY_CENTS", ping_velocity_cents(F.col("haversine_dist"), F.col("time_s")))
     j = j.withColumn("VELOCITY", cents_to_units(F.col("VELOCITY_CENTS")))
     return j

@@ -26,13 +26,13 @@ class Silver:
 
 def build_silver(pings: DataFrame, stops: DataFrame, keys=TRIP_KEYS,
                  slice_seconds: int = DEFAULT_SLICE_SECONDS,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> Silver:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, two_sided: bool = True) -> Silver:
     stops_b, n = bounded_broadcast(stops, broadcast_rows)
     meta = route_first_last_stop(stops_b)
     # meta has at most as many rows as stops: the same bound applies
     meta_b = meta.hint("broadcast") if n <= broadcast_rows else meta
     joined = match_pings_to_stops(pings, stops_b)
-    core = enrich_core(joined, keys=keys, slice_seconds=slice_seconds)
+    core = enrich_core(joined, keys=keys, slice_seconds=slice_seconds, two_sided=two_sided)
     return Silver(stops_b, meta_b, core)
 
 
