@@ -1,18 +1,17 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from transitlens.config import build_session  # noqa: E402
+from transitlens.config import build_session, checkpoint_root  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="transitlens-test-ckpt-")
-    s = build_session("local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    s = build_session("local[*]", shuffle_partitions=8)
+    checkpoint_root(s)  # the configured spark.checkpoint.dir, or a temp folder where unset
     yield s
     s.stop()
 
