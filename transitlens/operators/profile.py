@@ -47,15 +47,18 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, cols) -> DataFrame:
-    """count, mean, std (sample), min, 25%, 50%, 75%, max per column."""
+    """count, mean, std (sample), min, 25%, 50%, 75%, max per column (NaN counts as missing)."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
     row = df.agg(*aggs).first()
-    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
+    # count / min / max here are those of the non-null values the quantiles rank
+    stats = {c: (row[f"{c}__count"], row[f"{c}__min"], row[f"{c}__max"]) for c in cols}
+    qs = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75], stats=stats)
     out = []
     for c in cols:
         q = qs[c]

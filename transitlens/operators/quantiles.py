@@ -57,20 +57,27 @@ def _pick_in_bands(vals: DataFrame, small, state, cidx) -> dict:
     return {small[r.t]: r.v for r in got}
 
 
+def column_stats(df: DataFrame, cols) -> dict[str, tuple]:
+    """(count, min, max) of the non-null, non-NaN values of each column, in one pass."""
+    cols = list(cols)
+    row = df.agg(*[a for i, c in enumerate(cols) for a in (
+        F.count(_x(c)).alias(f"n{i}"), F.min(_x(c)).alias(f"mn{i}"), F.max(_x(c)).alias(f"mx{i}"))]).first()
+    return {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
+
+
 def kth_smallest_multi(df: DataFrame, targets: list[tuple[str, int]], band_rows: int = DEFAULT_BAND_ROWS,
-                       accuracy: int = DEFAULT_ACCURACY) -> dict[tuple[str, int], float | None]:
+                       accuracy: int = DEFAULT_ACCURACY, stats: dict | None = None
+                       ) -> dict[tuple[str, int], float | None]:
     """Exact value at each 0-based rank among the non-null, non-NaN values of each column."""
     cols = sorted({c for c, _ in targets})
     vals = df.select(*[_x(c).alias(f"v{i}") for i, c in enumerate(cols)])
     cidx = {c: i for i, c in enumerate(cols)}
     v = {c: F.col(f"v{cidx[c]}") for c in cols}
-    first = vals.agg(*[a for c in cols for a in (F.count(v[c]).alias(f"n{cidx[c]}"), F.min(v[c]).alias(f"mn{cidx[c]}"),
-                                                   F.max(v[c]).alias(f"mx{cidx[c]}"))]).first()
+    stats = stats if stats is not None and all(c in stats for c in cols) else column_stats(df, cols)
     out: dict = {}
     state = {}  # target -> [lo, hi, rows below lo, rows in band]
     for t in set(targets):
-        i = cidx[t[0]]
-        n, mn, mx = first[f"n{i}"], first[f"mn{i}"], first[f"mx{i}"]
+        n, mn, mx = stats[t[0]]
         if n == 0 or t[1] >= n:
             out[t] = None
         elif mn == mx:
@@ -128,14 +135,18 @@ def kth_smallest_multi(df: DataFrame, targets: list[tuple[str, int]], band_rows:
 
 
 def exact_quantiles_multi(df: DataFrame, cols, qs, band_rows: int = DEFAULT_BAND_ROWS,
-                          accuracy: int = DEFAULT_ACCURACY) -> dict[str, dict[float, float | None]]:
-    """Linear-interpolation quantiles (pandas / ``quantile_cont``) of several columns."""
+                          accuracy: int = DEFAULT_ACCURACY, stats: dict | None = None
+                          ) -> dict[str, dict[float, float | None]]:
+    """Linear-interpolation quantiles (pandas / ``quantile_cont``) of several columns.
+
+    ``stats`` (from :func:`column_stats`) saves the counting pass when the
+    caller has already aggregated the columns.
+    """
     cols = list(cols)
-    counts = df.agg(*[F.count(_x(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    # (the per-column counts are needed to place the ranks before the search starts)
+    stats = stats if stats is not None and all(c in stats for c in cols) else column_stats(df, cols)
     targets, pos = [], {}
-    for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
+    for c in cols:
+        n = stats[c][0]
         for q in qs:
             if n == 0:
                 pos[(c, q)] = None
@@ -145,7 +156,7 @@ def exact_quantiles_multi(df: DataFrame, cols, qs, band_rows: int = DEFAULT_BAND
             hi = min(lo + 1, n - 1)
             pos[(c, q)] = (lo, hi, p - lo)
             targets += [(c, lo), (c, hi)]
-    v = kth_smallest_multi(df, targets, band_rows, accuracy) if targets else {}
+    v = kth_smallest_multi(df, targets, band_rows, accuracy, stats) if targets else {}
     res: dict[str, dict] = {c: {} for c in cols}
     for (c, q), p in pos.items():
         if p is None:
