@@ -87,3 +87,12 @@ def test_landing_round_trip_and_stream_equals_batch(spark, tmp_path):
     incremental_flatten(spark, src, sink, ck).awaitTermination()
     assert spark.read.parquet(sink).count() == n
     assert n == fixtures.table(spark, SF_SMALL, "events").count()
+
+
+def test_route_text_cleaning(spark):
+    html = ("<table class='list category'><tr><td><a>\t&nbsp;T&amp;31\n</a></td></tr>"
+            "<tr><td><a>x\n\t\t\t\t\t\ty</a></td></tr></table>"
+            '<table class="categoryx"><tr><td><a>no</a></td></tr></table>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [r.route for r in crawl.extract_route_names(pages).orderBy("pos").collect()]
+    assert got == ["T&31", "xy"]

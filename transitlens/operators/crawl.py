@@ -11,27 +11,34 @@ from pyspark.sql import functions as F
 
 from transitlens.operators.dimension import bounded_broadcast
 
-ROUTE_TABLE = r"(?s)<table[^>]*class=\"[^\"]*category[^\"]*\"[^>]*>(.*?)</table>"
+ROUTE_TABLE = r"(?s)<table[^>]*\bclass\s*=\s*[\"'][^\"']*\bcategory\b[^\"']*[\"'][^>]*>(.*?)</table>"
 ROUTE_TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
 NAV_CONTAINER = r"(?s)<nav[^>]*>(.*?)</nav>"
 NAV_ROW = r"(?s)<li[^>]*>(.*?)</li>"
 FIRST_LINK = r"(?s)<a[^>]*>(.*?)</a>"
 WRAP = "\n\t\t\t\t\t\t"
+EDGE_SPACE = r"^[ \t\n\x0B\f\r\u00a0]+|[ \t\n\x0B\f\r\u00a0]+$"  # spaces, controls, no-break space
+# named character references decoded in link text (&amp; last, so "&amp;lt;" stays "&lt;")
+ENTITIES = (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
 def extract_route_names(pages: DataFrame, container: str = ROUTE_TABLE, row: str = ROUTE_TABLE_ROW,
                         html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """(page id, pos, route): per row of the container, the first link's text.
 
-    Inner tags are removed, text trimmed, blanks dropped; ``pos`` is the
-    1-based row position in the container. A page without the container
-    yields no rows.
+    Inner tags are removed, common named entities decoded, surrounding
+    whitespace (including non-breaking spaces) stripped, the listing's wrap
+    sequence removed and blanks dropped; ``pos`` is the 1-based row position
+    in the container. A page without the container yields no rows.
     """
     body = F.regexp_extract(F.col(html_col), container, 1)
     rows = F.regexp_extract_all(body, F.lit(row), 1)
     ex = pages.select(F.col(id_col), F.posexplode(rows).alias("pos0", "row_html"))
     link = F.regexp_extract(F.col("row_html"), FIRST_LINK, 1)
-    text = F.trim(F.replace(F.regexp_replace(link, "<[^>]*>", ""), F.lit(WRAP), F.lit("")))
+    text = F.regexp_replace(link, "<[^>]*>", "")
+    for ent, ch in ENTITIES:
+        text = F.replace(text, F.lit(ent), F.lit(ch))
+    text = F.replace(F.regexp_replace(text, EDGE_SPACE, ""), F.lit(WRAP), F.lit(""))
     return (ex.select(F.col(id_col), (F.col("pos0") + 1).alias("pos"), text.alias("route"))
             .filter(F.length("route") > 0))
 

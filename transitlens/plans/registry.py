@@ -454,8 +454,12 @@ nav_items AS (
   SELECT page_id, url, unnest(r) AS row_html, unnest(generate_series(1, len(r))) AS pos FROM nav_rows),
 routes AS (
   SELECT page_id, url, CAST(pos AS INTEGER) AS pos,
-    trim(replace(regexp_replace(regexp_extract(row_html, '(?s)<a[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g'),
-         chr(10) || repeat(chr(9), 6), '')) AS route
+    replace(regexp_replace(
+      replace(replace(replace(replace(replace(replace(
+        regexp_replace(regexp_extract(row_html, '(?s)<a[^>]*>(.*?)</a>', 1), '<[^>]*>', '', 'g'),
+        '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+      '^[ \t\n\x0B\f\r\x{00a0}]+|[ \t\n\x0B\f\r\x{00a0}]+$', '', 'g'),
+      chr(10) || repeat(chr(9), 6), '') AS route
   FROM nav_items)"""
 
 
