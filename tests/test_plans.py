@@ -90,3 +90,17 @@ def test_landing_partition_pruning(spark, tmp_path):
     txt = _plan(df).toString()
     assert "PartitionFilters: [isnotnull(capture_date" in txt
     assert df.count() > 0
+
+
+def test_bucketed_core_needs_no_raw_shuffle(spark, large_plan_conf, tmp_path):
+    from transitlens.operators.enrich import running_avg_velocity
+    from transitlens.plans.refresh import _write_bucketed
+    s = gold.silver_from_sf(spark, SF_SMALL)
+    core, table = _write_bucketed(spark, str(tmp_path / "core"), s.core)
+    try:
+        df = running_avg_velocity(core)
+        plan = _plan(df)
+        assert _raw_exchanges(plan) == 0, plan.toString()  # only per-slice sums move
+        assert df.count() == s.core.count()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
