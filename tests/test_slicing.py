@@ -1,4 +1,5 @@
-"""The two-level (time-sliced) window equals one ordered window per trip."""
+"""The two-level (time-sliced) window equals one ordered window per trip,
+also when hot slices are split further by exact timestamp."""
 
 import random
 from datetime import datetime, timedelta
@@ -42,14 +43,31 @@ def test_sliced_equals_single_window(spark, seed):
     joined = match_pings_to_stops(pings, _stops(spark))
     cols = None
     results = []
-    for width in (60, 300, 10 ** 9):
-        core = enrich_core(joined, slice_seconds=width)
+    for width, hot in ((60, None), (300, 2), (900, 1), (10 ** 9, None)):
+        core = enrich_core(joined, slice_seconds=width, hot_rows=hot)
         full = public_columns(running_avg_velocity(core))
         cols = cols or sorted(full.columns)
         rows = sorted((tuple(r) for r in full.select(*cols).collect()), key=repr)
         trips = sorted((tuple(r) for r in trip_candidates(core).collect()), key=repr)
         seg = sorted((tuple(r) for r in route_segment_speed(core).collect()), key=repr)
         results.append((rows, trips, seg))
-    assert results[0] == results[2]
-    assert results[1] == results[2]
+    # plain slices, slices split by exact timestamp when hot, one window per trip: all equal
+    for r in results[:-1]:
+        assert r == results[-1]
     assert len(results[0][0]) > 500
+
+
+def test_hot_slice_marking_same_with_broadcast_or_shuffle(spark):
+    from pyspark.sql import functions as F
+    from transitlens.operators.enrich import _key_columns, _split_hot_slices
+    pings = spark.createDataFrame(_random_pings(9, 500), PING_SCHEMA)
+    base = pings.withColumn("_slice", F.floor(F.unix_timestamp("timestamp") / 300))
+    base, kcols = _key_columns(base, ["BUSNUMBER", "RUTA", "TRIPID", "date"])
+    small = _split_hot_slices(base, kcols, "timestamp", hot_rows=3, max_hot=10 ** 6)
+    large = _split_hot_slices(base, kcols, "timestamp", hot_rows=3, max_hot=1)
+    none = _split_hot_slices(base, kcols, "timestamp", hot_rows=10 ** 9)
+    cols = ["ping_seq", "_sub"]
+    a = sorted(tuple(r) for r in small.select(*cols).collect())
+    assert a == sorted(tuple(r) for r in large.select(*cols).collect())
+    assert sum(1 for r in a if r[1].year > 1) > 0  # some slices were split
+    assert all(r._sub.year == 1 for r in none.select("_sub").collect())

@@ -39,6 +39,9 @@ from transitlens.functions.numeric import cents_to_units
 GPSY_POSITIVE = "GPSY IS NOT NULL AND GPSY > 1"
 DEFAULT_TIEBREAK = ("row_number", "ping_seq", "TASKID")
 _NULL_SLICE = -(2 ** 62)
+SLICE_COLUMNS = ["_slice", "_sub"]
+# a (trip key, time slice) above this many pings is split by exact timestamp
+DEFAULT_HOT_SLICE_ROWS = 5_000_000
 DIST_DIGITS = 6
 
 _SENTINEL = {T.StringType: "", T.IntegerType: 0, T.LongType: 0, T.ShortType: 0, T.ByteType: 0,
@@ -80,16 +83,46 @@ def _over(expr: str, part: list[str], order: list[str]) -> Column:
     return F.expr(f"{expr} OVER (PARTITION BY {p} ORDER BY {o})")
 
 
+def _split_hot_slices(base: DataFrame, kcols: list[str], ts: str, hot_rows: int | None,
+                      max_hot: int = 100_000) -> DataFrame:
+    """Add ``_sub``: the exact timestamp inside slices holding more than ``hot_rows`` pings.
+
+    A slice is one (trip key, time slice); ordering by (``_slice``, ``_sub``)
+    is still the ping order, so every later step treats (slice, sub) as the
+    slice. The hot-slice list has at most rows / ``hot_rows`` entries; up to
+    ``max_hot`` of them are broadcast, more fall back to a shuffle join, and
+    none (the usual case) skips the join. Inside one trip, pings sharing a
+    timestamp come from one capture, so the refined groups stay small.
+    """
+    floor_ts = F.lit("0001-01-01 00:00:00").cast(base.schema[ts].dataType)
+    if not hot_rows:
+        return base.withColumn("_sub", floor_ts)
+    hot = (base.groupBy(*kcols, "_slice").count().filter(F.col("count") > F.lit(hot_rows))
+           .select(*kcols, "_slice", F.lit(True).alias("_hot")))
+    # one partial-aggregate pass; at most max_hot + 1 keys reach the driver
+    found = hot.limit(max_hot + 1).collect()
+    if not found:  # the usual case: nothing to split, no join
+        return base.withColumn("_sub", floor_ts)
+    if len(found) <= max_hot:
+        hot_b = F.broadcast(base.sparkSession.createDataFrame(found, hot.schema))
+    else:  # very many hot slices: shuffle join (AQE splits skewed partitions)
+        hot_b = hot
+    marked = base.join(hot_b, kcols + ["_slice"], "left")
+    sub = F.coalesce(F.when(F.col("_hot"), F.col(ts)), floor_ts)
+    return marked.withColumn("_sub", sub).drop("_hot")
+
+
 def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
                 tiebreak=DEFAULT_TIEBREAK, keep: str | Column = GPSY_POSITIVE,
-                slice_seconds: int = DEFAULT_SLICE_SECONDS, two_sided: bool = True) -> DataFrame:
+                slice_seconds: int = DEFAULT_SLICE_SECONDS, two_sided: bool = True,
+                hot_rows: int | None = DEFAULT_HOT_SLICE_ROWS) -> DataFrame:
     """Per-ping neighbour columns over ordered trip partitions.
 
     Adds prev_rownum, prev_time, next_time, AVGDELAY, LASTLATITUDE,
     LASTLONGITUDE, haversine_dist, time_s, VELOCITY (and integer VELOCITY_CENTS),
     plus ``_keep`` (the drop-expectation verdict, evaluated on the ping) and
     ``next_kept_row`` (row_number of the next ping that passes ``keep``).
-    Internal columns ``_k*``, ``_kn``, ``_slice`` stay for later passes.
+    Internal columns ``_k*``, ``_kn``, ``_slice``, ``_sub`` stay for later passes.
     Speed is the leg arriving at the ping divided by ``time_s``: by default
     next minus previous ping time (the source's definition, about half the
     leg speed); ``two_sided=False`` uses ping time minus previous ping time.
@@ -106,7 +139,9 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     base = base.withColumn("_slice", F.coalesce(
         F.floor(F.unix_timestamp(F.col(ts)) / F.lit(float(slice_seconds))), F.lit(_NULL_SLICE)))
     base, kcols = _key_columns(base, keys)
-    part = kcols + ["_slice"]
+    base = _split_hot_slices(base, kcols, ts, hot_rows)
+    slice_cols = ["_slice", "_sub"]
+    part = kcols + slice_cols
 
     ordk = [F.col(ts).alias("t")] + [F.col(c).alias(f"b{i}") for i, c in enumerate(tb)]
     row_s = F.struct(*ordk, F.col("row_number").alias("rn"), F.col("GPSY").alias("y"),
@@ -118,13 +153,13 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
         F.min(row_s).alias("_first"), F.max(row_s).alias("_last"),
         F.min(kept_s).alias("_first_kept"),
         F.sum("DELAY").alias("_dsum"), F.count("DELAY").alias("_dcnt"))
-    wk = Window.partitionBy(*kcols).orderBy("_slice")
+    wk = Window.partitionBy(*kcols).orderBy(*slice_cols)
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(
         *part,
         F.lag("_last").over(wk).alias("_prev_last"),
         F.lead("_first").over(wk).alias("_next_first"),
-        _over("lead(`_first_kept`) IGNORE NULLS", kcols, ["_slice"]).alias("_next_kept"),
+        _over("lead(`_first_kept`) IGNORE NULLS", kcols, slice_cols).alias("_next_kept"),
         F.coalesce(F.sum("_dsum").over(before), F.lit(0)).alias("_dsum_before"),
         F.coalesce(F.sum("_dcnt").over(before), F.lit(0)).alias("_dcnt_before"))
 
@@ -153,7 +188,7 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     first = F.col("_idx") == 1
     last = F.col("_is_last")
     j = j.select(
-        *[c for c in loc.columns if not c.startswith("_") or c in ("_keep", "_slice") or c in kcols],
+        *[c for c in loc.columns if not c.startswith("_") or c in ("_keep", "_slice", "_sub") or c in kcols],
         F.when(first, F.col("_prev_last.rn")).otherwise(F.col("_lag_rn")).alias("prev_rownum"),
         F.when(first, F.col("_prev_last.t")).otherwise(F.col("_lag_t")).alias("prev_time"),
         F.when(last, F.col("_next_first.t")).otherwise(F.col("_lead_t")).alias("next_time"),
@@ -181,10 +216,10 @@ def running_avg_velocity(core: DataFrame, ts: str = "timestamp") -> DataFrame:
     one trip key, local RANGE-frame sums inside the slice.
     """
     kcols = [c for c in core.columns if re.fullmatch(r"_k(\d+|n)", c)]
-    part = kcols + ["_slice"]
+    part = kcols + SLICE_COLUMNS
     summ = core.groupBy(*part).agg(F.sum("VELOCITY_CENTS").alias("_vsum"),
                                    F.count("VELOCITY_CENTS").alias("_vcnt"))
-    before = Window.partitionBy(*kcols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*kcols).orderBy(*SLICE_COLUMNS).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(*[F.col(c).alias("_s" + c) for c in part],
                        F.coalesce(F.sum("_vsum").over(before), F.lit(0)).alias("_vsum_before"),
                        F.coalesce(F.sum("_vcnt").over(before), F.lit(0)).alias("_vcnt_before"))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS, TRIP_KEYS
 from transitlens.operators.dimension import bounded_broadcast
-from transitlens.operators.enrich import (GPSY_POSITIVE, enrich_core, match_pings_to_stops,
-                                          public_columns, running_avg_velocity)
+from transitlens.operators.enrich import (DEFAULT_HOT_SLICE_ROWS, GPSY_POSITIVE, enrich_core,
+                                          match_pings_to_stops, public_columns, running_avg_velocity)
 from transitlens.operators.quality import expect_or_drop
 from transitlens.operators.segments import route_segment_speed
 from transitlens.operators.stops import route_first_last_stop
@@ -26,13 +26,14 @@ class Silver:
 
 def build_silver(pings: DataFrame, stops: DataFrame, keys=TRIP_KEYS,
                  slice_seconds: int = DEFAULT_SLICE_SECONDS,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, two_sided: bool = True) -> Silver:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS, two_sided: bool = True,
+                 hot_rows: int | None = DEFAULT_HOT_SLICE_ROWS) -> Silver:
     stops_b, n = bounded_broadcast(stops, broadcast_rows)
     meta = route_first_last_stop(stops_b)
     # meta has at most as many rows as stops: the same bound applies
     meta_b = meta.hint("broadcast") if n <= broadcast_rows else meta
     joined = match_pings_to_stops(pings, stops_b)
-    core = enrich_core(joined, keys=keys, slice_seconds=slice_seconds, two_sided=two_sided)
+    core = enrich_core(joined, keys=keys, slice_seconds=slice_seconds, two_sided=two_sided, hot_rows=hot_rows)
     return Silver(stops_b, meta_b, core)
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS
 from transitlens.operators.dimension import bounded_broadcast
-from transitlens.operators.enrich import (GPSY_POSITIVE, enrich_core, match_pings_to_stops, public_columns,
-                                          running_avg_velocity)
+from transitlens.operators.enrich import (GPSY_POSITIVE, SLICE_COLUMNS, enrich_core, match_pings_to_stops,
+                                          public_columns, running_avg_velocity)
 from transitlens.operators.payload import flatten_pings, parse_gps_payload, stamp_ingest_time
 from transitlens.operators.quality import (BRONZE_RULES, FLAT_INPUT_RULES, FLAT_RULES, TRIPS_DROP, TRIPS_RULES,
                                            expect_or_drop, observe_warn)
@@ -98,7 +98,7 @@ def _write_bucketed(spark: SparkSession, path: str, core: DataFrame) -> tuple[Da
     speed pass joins its per-slice sums to the core without shuffling the
     pings again (co-located join); only the small summaries move.
     """
-    part = [c for c in core.columns if re.fullmatch(r"_k(\d+|n)", c)] + ["_slice"]
+    part = [c for c in core.columns if re.fullmatch(r"_k(\d+|n)", c)] + SLICE_COLUMNS
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"transitlens_core_{uuid.uuid4().hex[:12]}"
     (core.write.mode("overwrite").option("path", path)
