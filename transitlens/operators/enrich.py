@@ -94,7 +94,9 @@ def _split_hot_slices(base: DataFrame, kcols: list[str], ts: str, hot_rows: int
     none (the usual case) skips the join. Inside one trip, pings sharing a
     timestamp come from one capture, so the refined groups stay small.
     """
-    floor_ts = F.lit("0001-01-01 00:00:00").cast(base.schema[ts].dataType)
+    # slices are wholly split or wholly not, and order by _slice first, so the
+    # stand-in value for unsplit slices is arbitrary
+    floor_ts = F.lit("1970-01-01 00:00:00").cast(base.schema[ts].dataType)
     if not hot_rows:
         return base.withColumn("_sub", floor_ts)
     hot = (base.groupBy(*kcols, "_slice").count().filter(F.col("count") > F.lit(hot_rows))
