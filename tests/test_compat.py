@@ -1,0 +1,38 @@
+"""The source project's tests, run through the compatibility names."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from transitlens import compat
+
+
+def test_compat_flow(spark):
+    el = {"element": {"BUSNUMBER": "1", "GPSX": "120000000", "GPSY": "50000000", "DELAY": "7", "RUTA": "A",
+                      "STOPID": "s"}}
+    flat = compat.flatten_gps(compat.parse_gps_raw(spark.createDataFrame([{"gps_data": [el],
+                                                                          "timestamp": 1693526400.0}])))
+    assert flat.first()["GPSX"] == 12.0
+    stops = spark.createDataFrame([("s", "A", "1", "3")], "STOPID string, LINE string, ORIENTATION string, ROWNUM string")
+    sr = compat.stops_routes(stops)
+    assert sr.first()["row_number"] == 1 and compat.routes_meta(sr).first()["LASTPARADA"] == 1
+    enriched = compat.enrich_gps(flat, sr)
+    assert {"haversine_dist", "VELOCITY", "AVGVELOCITY", "AVGDELAY"} <= set(enriched.columns)
+
+
+def test_compat_pairing_and_segments(spark):
+    keys = "BUSNUMBER string, RUTA string, TRIPID string, date string, ORIENTATION int"
+    news = spark.createDataFrame([("1", "A", "t1", "2025-09-01", 1, datetime(2025, 9, 1, 7), 1)],
+                                 keys + ", timestamp timestamp_ntz, row_number int")
+    olds = spark.createDataFrame([("1", "A", "t1", "2025-09-01", 1, datetime(2025, 9, 1, 8), 10, 10.0, 2.0)],
+                                 keys + ", timestamp timestamp_ntz, row_number int, AVGVELOCITY double, "
+                                        "AVGDELAY double")
+    c = compat.trips_candidates_from_news_olds(news, olds)
+    assert c.select("TRIPDURATION").first()[0] == 60.0
+    rows = spark.createDataFrame([("1", "t1", "2025-09-01", "A", 1, 1, 2, 2.5, 100.0),
+                                  ("1", "t1", "2025-09-01", "A", 1, 2, 3, 3.5, 150.0)],
+                                 "BUSNUMBER string, TRIPID string, date string, RUTA string, ORIENTATION int, "
+                                 "row_number int, next_row int, VELOCITY double, haversine_dist double")
+    agg = compat.route_segment_speed(rows)
+    assert agg.count() == 2 and "AVG_SPEED_M_S" in agg.columns
+    assert agg.filter(F.col("segment_start") == 1).first()["MEDIAN_SPEED_M_S"] == 2.5

@@ -245,3 +245,20 @@ def public_columns(df: DataFrame) -> DataFrame:
     """Drop internal helper columns (leading underscore, cents, next_kept_row)."""
     return df.select(*[c for c in df.columns
                        if not c.startswith("_") and c not in ("VELOCITY_CENTS", "next_kept_row")])
+
+
+def ping_neighbors(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp", tiebreak=DEFAULT_TIEBREAK,
+                   **kw) -> DataFrame:
+    """Input columns plus prev_rownum, prev_time, next_time, LASTLATITUDE, LASTLONGITUDE."""
+    core = enrich_core(joined, keys=keys, ts=ts, tiebreak=tiebreak, **kw)
+    return core.select(*joined.columns, "prev_rownum", "prev_time", "next_time", "LASTLATITUDE", "LASTLONGITUDE")
+
+
+def running_avg_delay(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp", **kw) -> DataFrame:
+    """Input columns plus AVGDELAY (running mean up to the ping, ties share, rounded)."""
+    return enrich_core(joined, keys=keys, ts=ts, **kw).select(*joined.columns, "AVGDELAY")
+
+
+def enrich_pings(pings: DataFrame, stops: DataFrame, **kw) -> DataFrame:
+    """Stop match + neighbours + distance + speed + running means, before the drop rule."""
+    return public_columns(running_avg_velocity(enrich_core(match_pings_to_stops(pings, stops), **kw)))

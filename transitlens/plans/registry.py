@@ -73,6 +73,14 @@ def _pings(spark, sf) -> DataFrame:
     return fixtures.events_to_pings(_t(spark, sf, "events"), N_BUSES)
 
 
+def _joined(spark, sf) -> DataFrame:
+    """Pings matched to the (size-checked, broadcast) fixture stops."""
+    from transitlens.operators.dimension import bounded_broadcast
+    from transitlens.operators.enrich import match_pings_to_stops
+    pings = _pings(spark, sf)
+    return match_pings_to_stops(pings, bounded_broadcast(fixtures.fixture_stops(pings))[0])
+
+
 def _p(body: str, segments: bool = False) -> str:
     return O.pipeline(body, N_BUSES, segments)
 
@@ -130,13 +138,15 @@ def q_route_meta(spark, sf):
 @register("ping_neighbors", _p(f"SELECT {_ID}, prev_rownum, prev_time, next_time, LASTLATITUDE, "
                                "LASTLONGITUDE FROM w1"))
 def q_neighbors(spark, sf):
-    return _silver(spark, sf).core.select(*PING_ID, "prev_rownum", "prev_time", "next_time",
-                                          "LASTLATITUDE", "LASTLONGITUDE")
+    from transitlens.operators.enrich import ping_neighbors
+    return ping_neighbors(_joined(spark, sf)).select(*PING_ID, "prev_rownum", "prev_time", "next_time",
+                                                     "LASTLATITUDE", "LASTLONGITUDE")
 
 
 @register("running_avg_delay", _p(f"SELECT {_ID}, AVGDELAY FROM w1"))
 def q_run_delay(spark, sf):
-    return _silver(spark, sf).core.select(*PING_ID, "AVGDELAY")
+    from transitlens.operators.enrich import running_avg_delay
+    return running_avg_delay(_joined(spark, sf)).select(*PING_ID, "AVGDELAY")
 
 
 @register("running_avg_velocity", _p(f"SELECT {_ID}, VELOCITY, AVGVELOCITY FROM w4"))
