@@ -66,7 +66,7 @@ def silver_gps_enriched(s: Silver, running_velocity: bool = True) -> DataFrame:
     return public_columns(expect_or_drop(df, "gpsy_positive", GPSY_POSITIVE))
 
 
-def pipeline_expectations(bronze: DataFrame, s: Silver, flat: DataFrame) -> DataFrame:
+def expectation_report(bronze: DataFrame, s: Silver, flat: DataFrame) -> DataFrame:
     """Pass / fail counts of every expectation, each on the table it guards."""
     from transitlens.operators.quality import (BRONZE_RULES, FLAT_INPUT_RULES, FLAT_RULES, TRIPS_DROP,
                                                TRIPS_RULES, expect_warn)

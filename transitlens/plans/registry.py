@@ -82,7 +82,7 @@ def _joined(spark, sf) -> DataFrame:
 
 
 def _p(body: str, segments: bool = False) -> str:
-    return O.pipeline(body, N_BUSES, segments)
+    return O.medallion(body, N_BUSES, segments)
 
 
 _ID = ", ".join(PING_ID)
@@ -291,25 +291,25 @@ def _capture_silver(spark, sf) -> gold.Silver:
     return gold.build_silver(pings, fixtures.fixture_stops(pings))
 
 
-@register("gold_trips_from_captures", O.pipeline("SELECT * FROM trips", N_BUSES, from_captures=True))
+@register("gold_trips_from_captures", O.medallion("SELECT * FROM trips", N_BUSES, from_captures=True))
 def q_capture_trips(spark, sf):
     """The whole medallion from raw captures: parse, flatten, enrich, pair, publish."""
     return gold.gold_trips_final(_capture_silver(spark, sf))
 
 
-@register("segment_speed_from_captures", O.pipeline("SELECT * FROM segments", N_BUSES, segments=True,
+@register("segment_speed_from_captures", O.medallion("SELECT * FROM segments", N_BUSES, segments=True,
                                                     from_captures=True))
 def q_capture_segments(spark, sf):
     return gold.gold_route_segment_speed(_capture_silver(spark, sf))
 
 
-@register("silver_enriched_from_captures", O.pipeline(f"SELECT {', '.join(ENRICHED_COLUMNS)} FROM enriched",
+@register("silver_enriched_from_captures", O.medallion(f"SELECT {', '.join(ENRICHED_COLUMNS)} FROM enriched",
                                                       N_BUSES, from_captures=True))
 def q_capture_enriched(spark, sf):
     return gold.silver_gps_enriched(_capture_silver(spark, sf)).select(*ENRICHED_COLUMNS)
 
 
-_EXPECT_SQL = O.pipeline("""SELECT 'bronze_has_gps_data_parsed' AS expectation,
+_EXPECT_SQL = O.medallion("""SELECT 'bronze_has_gps_data_parsed' AS expectation,
     (SELECT count(DISTINCT (RUTA, floor(epoch_us(timestamp) / 60000000.0), floor(ping_seq / 4096))) FROM raw_pings)
       AS passed, 0 AS failed
   UNION ALL SELECT 'valid_gps_array',
@@ -324,12 +324,12 @@ _EXPECT_SQL = O.pipeline("""SELECT 'bronze_has_gps_data_parsed' AS expectation,
                          N_BUSES, from_captures=True)
 
 
-@register("pipeline_expectations", _EXPECT_SQL)
+@register("expectation_report", _EXPECT_SQL)
 def q_expectations(spark, sf):
     bronze = parse_gps_payload(_snapshots(spark, sf))
     flat = flatten_pings(bronze)
     s = gold.build_silver(flat, fixtures.fixture_stops(flat))
-    return gold.pipeline_expectations(bronze, s, flat)
+    return gold.expectation_report(bronze, s, flat)
 
 
 @register("flatten_pings", _FLAT_SQL)
@@ -894,7 +894,7 @@ def q_eff_group(spark, sf):
     return profile.efficiency_by_group(_trips(spark, sf), "TIMEOFDAY")
 
 
-@register("refresh_pipeline", O.pipeline("SELECT * FROM trips", N_BUSES, from_captures=True))
+@register("daily_refresh", O.medallion("SELECT * FROM trips", N_BUSES, from_captures=True))
 def q_refresh(spark, sf):
     """Daily refresh over landed captures and a stops file; the published trips table."""
     from transitlens.plans.refresh import refresh
