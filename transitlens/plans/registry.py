@@ -653,15 +653,14 @@ def q_iqr_trips(spark, sf):
 
 def _hist_sql(table: str, col: str, bins: int = 30) -> str:
     x = f"CAST({col} AS DOUBLE)"
-    return (f"SELECT CAST(g.b AS INTEGER) AS bin, {O.rsig(f'r.lo + g.b * (r.hi - r.lo) / {bins}.0e0')} AS lower, "
-            f"{O.rsig(f'r.lo + (g.b + 1) * (r.hi - r.lo) / {bins}.0e0')} AS upper, "
+    lo = f"(SELECT CASE WHEN min({x}) < max({x}) THEN min({x}) ELSE min({x}) - 0.5 END FROM {table})"
+    hi = f"(SELECT CASE WHEN min({x}) < max({x}) THEN max({x}) ELSE max({x}) + 0.5 END FROM {table})"
+    return (f"SELECT CAST(g.b AS INTEGER) AS bin, {O.rsig(f'{lo} + g.b * ({hi} - {lo}) / {bins}.0e0')} AS lower, "
+            f"{O.rsig(f'{lo} + (g.b + 1) * ({hi} - {lo}) / {bins}.0e0')} AS upper, "
             f"CAST(coalesce(c.n, 0) AS BIGINT) AS count "
-            f"FROM range({bins}) g(b) CROSS JOIN (SELECT CASE WHEN min({x}) < max({x}) THEN min({x}) ELSE min({x}) - 0.5 END AS lo, "
-            f"CASE WHEN min({x}) < max({x}) THEN max({x}) ELSE max({x}) + 0.5 END AS hi FROM {table}) r "
-            f"LEFT JOIN (SELECT CAST(least(floor(({x} - r2.lo) * {bins}.0e0 / (r2.hi - r2.lo)), {bins - 1}) AS INTEGER) AS b, "
-            f"count(*) AS n FROM {table} CROSS JOIN (SELECT CASE WHEN min({x}) < max({x}) THEN min({x}) ELSE min({x}) - 0.5 END AS lo, "
-            f"CASE WHEN min({x}) < max({x}) THEN max({x}) ELSE max({x}) + 0.5 END AS hi FROM {table}) r2 "
-            f"WHERE {x} IS NOT NULL GROUP BY 1) c ON c.b = g.b")
+            f"FROM range({bins}) g(b) LEFT JOIN ("
+            f"SELECT CAST(least(floor(({x} - {lo}) * {bins}.0e0 / ({hi} - {lo})), {bins - 1}) AS INTEGER) AS b, "
+            f"count(*) AS n FROM {table} WHERE {x} IS NOT NULL GROUP BY 1) c ON c.b = g.b")
 
 
 @register("histogram_30", _hist_sql("lineitem", "l_extendedprice"))
