@@ -63,3 +63,16 @@ def test_best_worst_ties_take_smallest_key(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 0.5)], "g string, v double")
     r = profile.best_worst_group(df, "g", "v").first()
     assert (r.best, r.worst) == ("a", "c")
+
+
+def test_single_row_groups_have_null_std(spark):
+    trips = spark.createDataFrame([("L1", "morning", True, 30, 5, 2.5)],
+                                  "LINE string, TIMEOFDAY string, RUSHHOUR boolean, TRIPDURATION int, "
+                                  "AVGDELAY int, AVGVELOCITY double")
+    s = {r.column_name: r for r in profile.numeric_summary(trips, ["TRIPDURATION", "AVGVELOCITY"]).collect()}
+    assert s["TRIPDURATION"]["count"] == 1 and s["TRIPDURATION"].std is None
+    assert s["TRIPDURATION"].q25 == s["TRIPDURATION"].q75 == 30.0
+    lp = profile.line_performance(trips).first()
+    assert lp.TRIPDURATION_count == 1 and lp.TRIPDURATION_std is None and lp.AVGVELOCITY_mean == 2.5
+    eff = profile.efficiency_by_group(trips, "RUSHHOUR").first()
+    assert eff["count"] == 1 and eff["std"] is None and eff["mean"] == round(2.5 / 30, 4)
