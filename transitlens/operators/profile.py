@@ -263,3 +263,26 @@ def rush_vs_nonrush(trips: DataFrame) -> DataFrame:
     return t.agg(_r(a).alias("rush_efficiency"),
                  _r(b).alias("nonrush_efficiency"),
                  _r(F.abs(a - b)).alias("efficiency_difference"))
+
+
+def categorical_summary(df: DataFrame, cols, k: int = 10) -> DataFrame:
+    """Per column: distinct non-null values and the k most frequent values.
+
+    column_name, n_distinct, rank, value (as text), count. Each column is a
+    grouped count with its own top-k (TakeOrderedAndProject), so no task ever
+    ranks all distinct values of a column.
+    """
+    nd = distinct_counts(df, cols)
+    parts = []
+    for c in cols:
+        top = value_counts_topk(df, c, k).select(F.lit(c).alias("column_name"),
+                                                 F.col("value").cast("string").alias("value"), "count")
+        parts.append(top)
+    tops = parts[0]
+    for p in parts[1:]:
+        tops = tops.unionByName(p)
+    # rank inside each column's (at most k) top values
+    from pyspark.sql import Window
+    w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
+    tops = tops.withColumn("rank", F.row_number().over(w))
+    return tops.join(F.broadcast(nd), "column_name").select("column_name", "n_distinct", "rank", "value", "count")

@@ -904,3 +904,23 @@ def q_refresh(spark, sf):
                      stops_file)
     res = refresh(spark, caps, stops_file, scratch_path(spark, "refresh-out"), stops_multiline=False)
     return spark.read.parquet(res["tables"]["gold_trips_final"])
+
+
+_CAT_COLS = ["LINE", "TIMEOFDAY", "RUSHHOUR", "ORIENTATION"]
+
+
+def _cat_sql() -> str:
+    parts = []
+    for c in _CAT_COLS:
+        v = f"CASE WHEN {c} THEN 'true' ELSE 'false' END" if c == "RUSHHOUR" else f"CAST({c} AS VARCHAR)"
+        parts.append(
+            f"SELECT * FROM (SELECT '{c}' AS column_name, (SELECT count(DISTINCT {c}) FROM trips) AS n_distinct, "
+            f"CAST(row_number() OVER (ORDER BY count(*) DESC, {v}) AS INTEGER) AS rank, {v} AS value, "
+            f"count(*) AS count FROM trips WHERE {c} IS NOT NULL GROUP BY {c} "
+            f"ORDER BY count DESC, value LIMIT 10)")
+    return _p(" UNION ALL ".join(parts))
+
+
+@register("categorical_summary", _cat_sql())
+def q_categorical(spark, sf):
+    return profile.categorical_summary(_trips_table(spark, sf), _CAT_COLS, 10)
