@@ -924,3 +924,35 @@ def _cat_sql() -> str:
 @register("categorical_summary", _cat_sql())
 def q_categorical(spark, sf):
     return profile.categorical_summary(_trips_table(spark, sf), _CAT_COLS, 10)
+
+
+_TRIP_COLS = ["LINE", "DATE", "TIMEOFDAY", "RUSHHOUR", "ORIENTATION", "TRIPDURATION", "AVGDELAY", "AVGVELOCITY"]
+
+
+@register("missing_values_trips", _p("SELECT * FROM (" + _union(
+    [f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS missing_count, "
+     f"{O.rsig(f'count_if({c} IS NULL) * 100.0e0 / count(*)')} AS missing_percent FROM trips" for c in _TRIP_COLS]
+    + ["SELECT '*', " + " + ".join(f"count_if({c} IS NULL)" for c in _TRIP_COLS) + ", "
+       + O.rsig("(" + " + ".join(f"count_if({c} IS NULL)" for c in _TRIP_COLS) + ") * 100.0e0 / count(*)")
+       + " FROM trips"]) + ")"))
+def q_missing_trips(spark, sf):
+    return profile.missing_values(_trips(spark, sf))
+
+
+@register("duplicate_rows_trips", _p("SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicate_rows FROM "
+                                     f"(SELECT count(*) AS c FROM trips GROUP BY {', '.join(_TRIP_COLS)})"))
+def q_dups_trips(spark, sf):
+    return profile.duplicate_rows(_trips(spark, sf))
+
+
+@register("category_share_trips", _p(
+    f"SELECT TIMEOFDAY AS value, count(*) AS count, {O.rsig('count(*) * 100.0e0 / sum(count(*)) OVER ()')} "
+    "AS percent FROM trips WHERE TIMEOFDAY IS NOT NULL GROUP BY TIMEOFDAY"))
+def q_share_trips(spark, sf):
+    return profile.category_share(_trips_table(spark, sf), "TIMEOFDAY")
+
+
+@register("value_counts_topk_trips", _p("SELECT LINE AS value, count(*) AS count FROM trips WHERE LINE IS NOT NULL "
+                                        "GROUP BY LINE ORDER BY count DESC, value ASC LIMIT 10"))
+def q_topk_trips(spark, sf):
+    return profile.value_counts_topk(_trips(spark, sf), "LINE", 10)
