@@ -42,3 +42,9 @@ def test_every_survey_operator_is_registered():
     assert len(ids) >= 60
     assert [i for i in ids if i not in QUERIES] == []
     assert [i for i in ids if i not in SQL] == ["stamp_ingest_time"]
+
+
+def test_entry_schema_is_the_published_trips_schema(spark):
+    from transitlens.schemas import TRIPS_SCHEMA
+    got = [(f.name, f.dataType.simpleString()) for f in E.entry(spark).schema.fields]
+    assert got == [(f.name, f.dataType.simpleString()) for f in TRIPS_SCHEMA.fields]
