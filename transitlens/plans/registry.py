@@ -4,6 +4,11 @@ Every query reads the shared test tables (or data Spark derives from them),
 so its work grows with the tables. ``SPARK[name](spark, sf_dir)`` returns a
 DataFrame; ``SQL[name]`` is the same result in DuckDB SQL over the tables
 registered as views (omitted only where the result is not deterministic).
+
+Adding a query: decorate a ``(spark, sf_dir) -> DataFrame`` function with
+``@register(name, sql)``. Alias every computed column identically in both,
+keep column types aligned (``tools/check_types.py``), and check with
+``EXACT=1 python tools/check_queries.py name`` at sf0.01 and sf0.1.
 """
 
 from __future__ import annotations
