@@ -7,24 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from transitlens.llm import decontaminate as _decontaminate
+from transitlens.llm import packing as _packing
 from transitlens.llm import sharding as _sharding
+from transitlens.llm import simhash as _simhash
 from transitlens.llm.common import load
 
 N_SHARDS = 16
+SHINGLE = 4
+MAX_BITS = 4
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sharding.assign_shards(load(spark, sf_dir, "documents"), N_SHARDS)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack_documents(load(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return _decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _simhash.near_duplicates(load(spark, sf_dir, "documents"), SHINGLE, MAX_BITS)
+    return found.select("doc_id", _simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
+    "op4_packing": op4_packing,
     "op7_decontamination": op7_decontamination,
+    "op9_simhash": op9_simhash,
 }
 
 SQL: dict[str, str] = {}
