@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from transitlens.llm import decontaminate as _decontaminate
+from transitlens.llm import langid as _langid
 from transitlens.llm import packing as _packing
+from transitlens.llm import pii as _pii
 from transitlens.llm import sharding as _sharding
 from transitlens.llm import simhash as _simhash
-from transitlens.llm.common import load
+from transitlens.llm.common import id_bucket, load
 
 N_SHARDS = 16
 SHINGLE = 4
@@ -25,6 +28,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    held_out = id_bucket(F.col("doc_id"), 4) == 2
+    model = _langid.train(docs.where(~held_out))
+    return _langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return _decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark")).drop("text")
@@ -35,11 +45,18 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return _pii.find_pii(docs, _pii.train(docs)).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
+    "op6_language": op6_language,
     "op7_decontamination": op7_decontamination,
     "op9_simhash": op9_simhash,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {}
