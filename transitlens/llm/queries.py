@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.llm import decontaminate as _decontaminate
+from transitlens.llm import editprint as _editprint
 from transitlens.llm import langid as _langid
 from transitlens.llm import packing as _packing
 from transitlens.llm import pii as _pii
@@ -28,6 +29,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packing.pack_documents(load(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _editprint.edit_report(load(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     held_out = id_bucket(F.col("doc_id"), 4) == 2
@@ -53,6 +58,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
+    "op5_fingerprints": op5_fingerprints,
     "op6_language": op6_language,
     "op7_decontamination": op7_decontamination,
     "op9_simhash": op9_simhash,
