@@ -14,6 +14,7 @@ from transitlens.llm import packing as _packing
 from transitlens.llm import pii as _pii
 from transitlens.llm import sharding as _sharding
 from transitlens.llm import simhash as _simhash
+from transitlens.llm import styletree as _styletree
 from transitlens.llm.common import id_bucket, load
 
 N_SHARDS = 16
@@ -21,6 +22,10 @@ SHINGLE = 4
 MAX_BITS = 4
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _styletree.extract(load(spark, sf_dir, "pages"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sharding.assign_shards(load(spark, sf_dir, "documents"), N_SHARDS)
 
@@ -56,6 +61,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
     "op5_fingerprints": op5_fingerprints,
