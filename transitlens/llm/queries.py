@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from transitlens.llm import decontaminate as _decontaminate
 from transitlens.llm import editprint as _editprint
 from transitlens.llm import langid as _langid
+from transitlens.llm import maxent as _maxent
 from transitlens.llm import packing as _packing
 from transitlens.llm import pii as _pii
+from transitlens.llm import rollup as _rollup
 from transitlens.llm import sharding as _sharding
 from transitlens.llm import simhash as _simhash
 from transitlens.llm import styletree as _styletree
+from transitlens.config import scratch_path
 from transitlens.llm.common import id_bucket, load
 
 N_SHARDS = 16
@@ -26,6 +29,10 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _styletree.extract(load(spark, sf_dir, "pages"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _maxent.score(load(spark, sf_dir, "documents"), id_bucket(F.col("doc_id"), 10) == 0)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sharding.assign_shards(load(spark, sf_dir, "documents"), N_SHARDS)
 
@@ -50,6 +57,36 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after five commits: all documents by either tokenizer, a revision, a delete, and a repeat.
+
+    The revision strips the repeated lines from documents labelled low in quality (the first of equal
+    lines stays); the delete drops documents labelled toxic, with their revised counts.
+    """
+    docs = load(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    labels = (load(spark, sf_dir, "labels").groupBy("doc_id")
+              .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")))
+    judged = docs.join(labels, "doc_id")
+    low = judged.where("quality = 0")
+    once = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    revised = F.when(F.col("quality") == 0, once).otherwise(F.col("text"))
+    current = judged.where("toxic = 1").withColumn("text", revised)
+    store = _rollup.TokenRollup(spark, scratch_path(spark, "token-rollup"))
+    versions = sorted(_rollup.TOKENIZERS)
+
+    def all_versions(frame: DataFrame, sign: int) -> DataFrame:
+        out = [_rollup.counted(frame, v, sign) for v in versions]
+        return out[0].unionByName(out[1])
+
+    revision = all_versions(low, -1).unionByName(all_versions(low.withColumn("text", once), 1))
+    store.apply(1, _rollup.counted(docs, versions[0]))
+    store.apply(2, _rollup.counted(docs, versions[1]))
+    store.apply(3, revision)
+    store.apply(4, all_versions(current, -1))
+    store.apply(3, revision)  # a repeated batch changes nothing
+    return store.totals()
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _simhash.near_duplicates(load(spark, sf_dir, "documents"), SHINGLE, MAX_BITS)
     return found.select("doc_id", _simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
@@ -62,13 +99,41 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
+    "op2_language_model": op2_language_model,
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
     "op5_fingerprints": op5_fingerprints,
     "op6_language": op6_language,
     "op7_decontamination": op7_decontamination,
+    "op8_token_counts": op8_token_counts,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
 }
 
-SQL: dict[str, str] = {}
+_OP8_SQL = r"""
+WITH judged AS (
+  SELECT d.source, d.lang, d.text, l.quality, l.toxic
+  FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic
+                              FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id
+), kept AS (
+  SELECT source, lang, CASE WHEN quality = 0 THEN (
+      SELECT string_agg(line, chr(10) ORDER BY first)
+      FROM (SELECT line, min(at) AS first
+            FROM (SELECT unnest(string_split(j.text, chr(10))) AS line,
+                         generate_subscripts(string_split(j.text, chr(10)), 1) AS at)
+            GROUP BY line)) ELSE j.text END AS text
+  FROM judged j WHERE toxic IS NULL OR toxic <> 1
+), counts AS (
+  SELECT source, lang, 'words-1' AS tokenizer,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')) AS n FROM kept
+  UNION ALL
+  SELECT source, lang, 'words-2',
+         len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\x0b\f\r]')) FROM kept
+)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+FROM counts GROUP BY source, lang, tokenizer
+"""
+
+SQL: dict[str, str] = {
+    "op8_token_counts": _OP8_SQL,
+}
