@@ -116,13 +116,10 @@ WITH judged AS (
   FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic
                               FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id
 ), kept AS (
-  SELECT source, lang, CASE WHEN quality = 0 THEN (
-      SELECT string_agg(line, chr(10) ORDER BY first)
-      FROM (SELECT line, min(at) AS first
-            FROM (SELECT unnest(string_split(j.text, chr(10))) AS line,
-                         generate_subscripts(string_split(j.text, chr(10)), 1) AS at)
-            GROUP BY line)) ELSE j.text END AS text
-  FROM judged j WHERE toxic IS NULL OR toxic <> 1
+  -- no token spans lines, so the order of the distinct lines does not matter
+  SELECT source, lang, CASE WHEN quality = 0
+    THEN array_to_string(list_distinct(string_split(text, chr(10))), chr(10)) ELSE text END AS text
+  FROM judged WHERE toxic IS NULL OR toxic <> 1
 ), counts AS (
   SELECT source, lang, 'words-1' AS tokenizer,
          len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+')) AS n FROM kept

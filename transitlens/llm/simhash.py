@@ -153,19 +153,36 @@ def links(nodes: DataFrame, max_bits: int, segments: int = SEGMENTS, dense: int
 
 
 def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, doc_id: str = "doc_id", text: str = "text",
-                    segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
-    """Per row: the id, ``fp`` (bigint) and ``component_id``, the smallest id in its group."""
-    marked = written(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")),
+                    segments: int = SEGMENTS, dense: int = DENSE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: the id, columns in ``carry``, ``fp`` (bigint), ``root`` and ``component_id``, the smallest id of its group.
+
+    ``root`` names the group by its smallest fingerprint.
+    """
+    marked = written(docs.select(F.col(doc_id).alias("doc_id"), *carry, fingerprints(F.col(text), shingle).alias("fp")),
                      "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-nodes")
     linked = roots(links(nodes.select("fp"), max_bits, segments, dense)).withColumnRenamed("node", "fp")
     grouped = nodes.join(linked, "fp")
-    smallest = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
-    moved = grouped.join(smallest, "root").select("fp", "component_id")
+    smallest = grouped.groupBy("root").agg(F.min("rep").alias("_c"))
+    moved = grouped.join(smallest, "root").select("fp", "root", "_c", F.lit(True).alias("_linked"))
     # One row per fingerprint: a fingerprint with very many copies is split by the skew join.
-    named = nodes.join(moved.withColumnRenamed("component_id", "_c"), "fp", "left").select(
-        "fp", F.coalesce("_c", "rep").alias("component_id"))
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = nodes.join(moved, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("_linked"), F.col("_c")).otherwise(F.col("rep")).alias("component_id"))
+    return marked.join(named, "fp").select("doc_id", *carry, "fp", "root", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int, max_bits: int, doc_id: str = "doc_id",
+                      text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one row left of each group: the smallest id's, null ids last, then by position.
+
+    ``docs`` must be a stored table, whose row positions are the same each time it is read.
+    """
+    placed = docs.withColumn("_row", F.monotonically_increasing_id())
+    found = near_duplicates(placed, shingle, max_bits, doc_id, text, carry=("_row",))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id"), F.col("_row")))
+    winners = found.groupBy("root").agg(first.alias("w")).select(F.col("w._row").alias("_row"))
+    return placed.join(broadcast_if(written(winners, "winners"), 1_000_000), "_row", "left_semi").select(*docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:
