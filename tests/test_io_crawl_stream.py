@@ -10,7 +10,7 @@ from transitlens.operators.payload import flatten_pings, parse_gps_payload
 from transitlens.operators.stops import explode_stops, stop_row_number
 from transitlens.plans import fixtures
 from transitlens.sources.snapshots import read_gps_snapshots, write_snapshots
-from transitlens.sources.stops_json import read_bare_stops_json, read_stops_json
+from transitlens.sources.stops_json import read_stops_json
 from transitlens.streaming.incremental import incremental_flatten
 from tests.conftest import SF_SMALL
 
@@ -39,9 +39,29 @@ def test_read_stops_json_three_shapes(spark, tmp_path):
     assert counts == {"list.json": 2, "object_list.json": 2, "object_single.json": 1}
 
 
-def test_bare_stop_list_passes_through(spark, tmp_path):
-    df = read_bare_stops_json(spark, _write(str(tmp_path), "bare.json", [STOP]))
-    assert explode_stops(df).first().STOPID == "s1"
+def test_bare_stop_list_takes_the_same_path(spark, tmp_path):
+    df = explode_stops(read_stops_json(spark, _write(str(tmp_path), "bare.json", [STOP, dict(STOP, STOPID="s2", ROWNUM=4)])))
+    assert [(r.STOPID, r.row_number) for r in stop_row_number(df).orderBy("row_number").collect()] == [("s1", 1), ("s2", 2)]
+    mixed = [{"ruta": "L9", "paradas": [STOP]}, dict(STOP, STOPID="s2"), {"ruta": "L0", "error": "no answer"}]
+    assert explode_stops(read_stops_json(spark, _write(str(tmp_path), "mixed.json", mixed))).count() == 2
+
+
+def test_route_names_in_ordinary_html(spark):
+    def names(page):
+        return [r.route for r in crawl.extract_route_names(spark.createDataFrame([(1, page)], "page_id long, html string"))
+                .orderBy("pos").collect()]
+
+    def table(cls, cell="<a href='/x'>T31</a>"):
+        return f"<table{cls}><tr><td>{cell}</td></tr></table>"
+
+    assert names('<TABLE CLASS="category"><TR><TD><A HREF="/x">T31</A></TD></TR></TABLE>') == ["T31"]
+    assert names(table(" class=category")) == names(table(" id=r class='routes category big'")) == ["T31"]
+    assert names(table(' class="sub-category"')) == names(table(' class="categoryx"')) == names(table("")) == []
+    assert names(table(' data-class="category"')) == []
+    assert names(table(" class=category", "<abbr>Ruta</abbr> <a href='/x'>T31</a>")) == ["T31"]
+    assert names("<tableau class=category><tr><td><a>x</a></td></tr></tableau>") == []
+    assert names(table(" class=category", "<a>Jard&iacute;n &amp; R&#237;o &#xe9; &amp;lt; &bogus; A&B &#0;</a>")) == \
+        ["Jardín & Río é &lt; &bogus; A&B &#0;"]
 
 
 def test_extract_route_names_from_listing_table(spark):

@@ -92,15 +92,27 @@ def test_landing_partition_pruning(spark, tmp_path):
     assert df.count() > 0
 
 
-def test_bucketed_core_needs_no_raw_shuffle(spark, large_plan_conf, tmp_path):
+@pytest.mark.parametrize("partitions, limit, buckets", [("8", "100000", 8), ("400000", "16", 16)])
+def test_bucketed_core_needs_no_raw_shuffle(spark, large_plan_conf, tmp_path, partitions, limit, buckets):
+    """Also at settings whose shuffle partitions exceed Spark's bucket limit."""
     from transitlens.operators.enrich import running_avg_velocity
     from transitlens.plans.refresh import _write_bucketed
     s = gold.silver_from_sf(spark, SF_SMALL)
-    core, table = _write_bucketed(spark, str(tmp_path / "core"), s.core)
+    table = "core_plan_test"
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.sources.bucketing.maxBuckets")}
     try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", limit)
+        core = _write_bucketed(spark, str(tmp_path / "core"), table, lambda: s.core)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+        spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
+        described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        assert described["Num Buckets"] == str(buckets)
         df = running_avg_velocity(core)
         plan = _plan(df)
         assert _raw_exchanges(plan) == 0, plan.toString()  # only per-slice sums move
         assert df.count() == s.core.count()
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for k, v in old.items():
+            spark.conf.set(k, v)

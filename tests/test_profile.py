@@ -76,3 +76,35 @@ def test_single_row_groups_have_null_std(spark):
     assert lp.TRIPDURATION_count == 1 and lp.TRIPDURATION_std is None and lp.AVGVELOCITY_mean == 2.5
     eff = profile.efficiency_by_group(trips, "RUSHHOUR").first()
     assert eff["count"] == 1 and eff["std"] is None and eff["mean"] == round(2.5 / 30, 4)
+
+
+@pytest.mark.parametrize("values", [[0.0, 1.0], [0.0, 1.0, 2.0], [float(k) for k in range(40)]])
+def test_quantiles_of_few_heavy_values_end_by_counts(spark, values, monkeypatch):
+    """No band over ``band_rows`` is ever numbered, wherever the boundary between values lies."""
+    from transitlens.operators import quantiles
+    numbered = []
+    pick = quantiles._pick_in_bands
+    monkeypatch.setattr(quantiles, "_pick_in_bands", lambda vals, small, state, cidx: (
+        numbered.extend(state[t][3] for t in small), pick(vals, small, state, cidx))[1])
+    n = 4000
+    df = spark.range(n).selectExpr(f"element_at(array({', '.join(map(str, values))}), "
+                                   f"cast(id * {len(values)} div {n} as int) + 1) AS x")
+    arr = np.array([values[k * len(values) // n] for k in range(n)])
+    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75], band_rows=20, accuracy=50)
+    assert got == {q: float(np.quantile(arr, q)) for q in got}
+    assert all(m <= 20 for m in numbered)
+
+
+def test_observed_values_are_returned_whole_and_nan_is_missing(spark):
+    vals = [1693526400.0, 1693526411.0, 1693526477.0, float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    s = profile.numeric_summary(df, ["x"]).first()
+    assert (s["count"], s["min"], s["q50"], s["max"]) == (3, 1693526400.0, 1693526411.0, 1693526477.0)
+    h = profile.histogram_30(df, "x").collect()
+    assert sum(r["count"] for r in h) == 3 and (h[0]["lower"], h[-1]["upper"]) == (1693526400.0, 1693526477.0)
+    assert profile.iqr_outliers(df, ["x"]).first()["outliers"] == 0
+    b = profile.boxplot_stats(df, ["x"]).first()
+    assert (b["whisker_low"], b["median"], b["whisker_high"]) == (1693526400.0, 1693526411.0, 1693526477.0)
+    two = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (float("nan"), 9.0), (3.0, 6.0)], "a double, b double")
+    assert all(abs(r["corr"] - 1) < 1e-12 for r in profile.correlation_matrix(two, ["a", "b"]).collect())
+    assert profile.mean_by_group(two.selectExpr("'g' AS g", "a"), "g", "a").first()["mean_a"] == 2.0

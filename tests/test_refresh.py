@@ -3,6 +3,8 @@ tables as the in-memory composition."""
 
 import os
 
+import pytest
+
 from transitlens.operators.enrich import ENRICHED_COLUMNS
 from transitlens.operators.payload import flatten_pings, parse_gps_payload
 from transitlens.plans import fixtures, gold
@@ -25,11 +27,13 @@ def test_refresh_publishes_all_layers(spark, tmp_path):
 
     res = refresh(spark, caps, stops_file, out, stops_multiline=False)
     t = {n: spark.read.parquet(p) for n, p in res["tables"].items()}
+    assert sorted(os.listdir(out)) == sorted(res["tables"])  # no staging folder is left
 
     flat = flatten_pings(parse_gps_payload(fixtures.events_to_snapshots(events)))
     s = gold.build_silver(flat, fixtures.fixture_stops(flat))
-    assert _rows(t["gold_trips_final"]) == _rows(gold.gold_trips_final(s))
-    assert _rows(t["gold_route_segment_speed"]) == _rows(gold.gold_route_segment_speed(s))
+    for name, expected in (("gold_trips_final", gold.gold_trips_final(s)),
+                           ("gold_route_segment_speed", gold.gold_route_segment_speed(s))):
+        assert _rows(t[name].select(*expected.columns)) == _rows(expected)
     assert _rows(t["silver_gps_enriched"].select(*ENRICHED_COLUMNS)) == \
         _rows(gold.silver_gps_enriched(s).select(*ENRICHED_COLUMNS))
 
@@ -39,16 +43,56 @@ def test_refresh_publishes_all_layers(spark, tmp_path):
     assert m["gpsy_positive_passed"] + m["gpsy_positive_failed"] == t["silver_gps_enriched_core"].count()
     assert m["gpsy_positive_passed"] == t["silver_gps_enriched"].count()
     assert m["valid_trip_duration_failed"] == 0
-    assert m["bronze_has_gps_data_parsed_passed"] == t["bronze_gps_raw"].count()
+    assert m["bronze_has_gps_data_parsed_passed"] == m["bronze_rows"] == t["bronze_gps_raw"].count()
+    assert m["flat_rows"] == n_flat and m["trips_rows"] == t["gold_trips_final"].count()
+    assert m["gps_has_timestamp_failed"] == m["valid_gps_array_failed"] == 0
 
 
-def test_refresh_prunes_to_capture_dates(spark, tmp_path):
+def _inputs(spark, tmp_path):
     events = fixtures.table(spark, SF_SMALL, "events")
     caps, stops_file, out = (os.path.join(str(tmp_path), d) for d in ("captures", "stops", "out"))
     write_snapshots(fixtures.events_to_snapshots(events), caps)
     write_stops_json(fixtures.route_stop_lists(fixtures.stops_from_pings(fixtures.events_to_pings(events))),
                      stops_file)
-    res = refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05"], stops_multiline=False)
-    flat = spark.read.parquet(res["tables"]["silver_gps_flat"])
-    assert flat.count() > 0
-    assert {str(r.date) for r in flat.select("date").distinct().collect()} == {"2024-01-05"}
+    return caps, stops_file, out
+
+
+def _published(spark, tables):
+    filled = {n: p for n, p in tables.items() if any(not f.startswith((".", "_")) for f in os.listdir(p))}
+    frames = {n: spark.read.parquet(p).drop("ingest_time") for n, p in filled.items()}
+    return {n: sorted(map(repr, df.collect())) for n, df in frames.items()}
+
+
+def test_each_run_replaces_its_own_dates_only(spark, tmp_path):
+    caps, stops_file, out = _inputs(spark, tmp_path)
+
+    def run(*dates):
+        return refresh(spark, caps, stops_file, out, capture_dates=list(dates), stops_multiline=False)["tables"]
+
+    def dates(name, column="date"):
+        return {str(r[0]) for r in spark.read.parquet(tables[name]).select(column).distinct().collect()}
+
+    tables = run("2024-01-05")
+    first = _published(spark, tables)
+    assert dates("silver_gps_flat") == {"2024-01-05"}
+    run("2024-01-06")
+    assert dates("silver_gps_flat") == dates("bronze_gps_raw", "capture_date") == {"2024-01-05", "2024-01-06"}
+    both = _published(spark, tables)
+    for name in ("silver_gps_flat", "silver_gps_enriched", "gold_trips_candidates", "gold_route_segment_speed"):
+        assert set(first.get(name, [])) <= set(both[name]), name
+    run("2024-01-05")
+    assert _published(spark, tables) == both
+    run("1999-01-01")  # a date without captures changes nothing
+    assert _published(spark, tables) == both
+
+
+def test_a_failed_run_leaves_the_published_tables(spark, tmp_path):
+    caps, stops_file, out = _inputs(spark, tmp_path)
+    tables = refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05"], stops_multiline=False)["tables"]
+    before = _published(spark, tables)
+    empty = tmp_path / "empty.json"
+    empty.write_text("[]")
+    with pytest.raises(ValueError, match="no stops"):
+        refresh(spark, caps, str(empty), out)
+    assert _published(spark, tables) == before and sorted(os.listdir(out)) == sorted(tables)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("transitlens_core")]

@@ -11,8 +11,7 @@ Where to start:
     operators.profile, operators.quantiles   the profiling report (exact quartiles)
     operators.crawl                       route listings and fetch results as tables
     streaming.incremental.incremental_flatten
-    compat                                the source pipeline's helper names
-    config.build_session / cluster_settings
+    config.build_session
 """
 
 __version__ = "0.1.0"

@@ -9,8 +9,12 @@ Fixed values (must equal the source pipeline for identical results):
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +41,7 @@ def build_session(master: str = "local[*]", app: str = "transitlens",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
@@ -57,9 +62,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="transitlens-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - some sessions reject runtime core settings
@@ -70,34 +76,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    import uuid
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def cluster_settings(input_bytes: int, executor_cores: int = 4, executor_memory_gb: float = 16.0,
-                     target_partition_mb: int = 256) -> dict[str, str]:
-    """Session settings sized for an input of ``input_bytes``.
-
-    * file splits of ``target_partition_mb`` (fewer, larger scan tasks);
-    * initial shuffle partitions so one post-shuffle partition is about the
-      same size, capped so a task's share of executor memory holds a few of
-      them (the ping window sorts one partition at a time and spills beyond);
-    * AQE coalesces small partitions back to the advisory size and splits
-      skewed join partitions.
-    """
-    target = target_partition_mb * 1024 * 1024
-    per_task_mem = executor_memory_gb * 1024 ** 3 * 0.6 / max(executor_cores, 1)
-    part_bytes = int(min(target, per_task_mem / 3))
-    n_parts = max(8, -(-int(input_bytes) // max(part_bytes, 1)))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target),
-        "spark.sql.shuffle.partitions": str(n_parts),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n_parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * part_bytes),
-        "spark.sql.session.timeZone": "UTC",
-    }
+    """A fresh path in the session's own folder under the shared root; the folder goes with the session."""
+    own = os.path.join(checkpoint_root(spark), f"transitlens-{spark.sparkContext.applicationId}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(own)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return os.path.join(own, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -1,14 +1 @@
 """Column builders (pure Spark SQL expressions, whole-stage-codegen friendly)."""
-
-from transitlens.functions.numeric import (  # noqa: F401
-    round_half_away, to_cents, cents_to_units, avg_cents_rounded, scale_coordinates,
-    cast_delay, safe_ratio,
-)
-from transitlens.functions.timefn import (  # noqa: F401
-    epoch_to_local_time, local_date, trip_duration_minutes, time_of_day_bucket,
-    rush_hour_flag, epoch_seconds,
-)
-from transitlens.functions.geo import haversine_distance  # noqa: F401
-from transitlens.functions.trip import (  # noqa: F401
-    ping_velocity_cents, ping_velocity, trip_efficiency, delay_category,
-)

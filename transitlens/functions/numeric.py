@@ -47,6 +47,12 @@ def cents_to_units(c) -> Column:
     return _c(c).cast("double") / F.lit(100.0)
 
 
+def number(c) -> Column:
+    """Column as double with NaN as missing, as every profile operator counts it."""
+    x = _c(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def safe_ratio(num, den) -> Column:
     """num / den, null when den is 0 or null (never raises under ANSI)."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))

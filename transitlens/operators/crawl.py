@@ -6,29 +6,64 @@ newline-plus-six-tabs sequence the route listing pages wrap names in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.operators.dimension import bounded_broadcast
 
-ROUTE_TABLE = r"(?s)<table[^>]*\bclass\s*=\s*[\"'][^\"']*\bcategory\b[^\"']*[\"'][^>]*>(.*?)</table>"
-ROUTE_TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
-NAV_CONTAINER = r"(?s)<nav[^>]*>(.*?)</nav>"
-NAV_ROW = r"(?s)<li[^>]*>(.*?)</li>"
-FIRST_LINK = r"(?s)<a[^>]*>(.*?)</a>"
+def _element(tag: str, attrs: str = "") -> str:
+    """Pattern of an element's content: the name in any case, followed by a space, slash or the tag's end."""
+    return rf"(?is)<{tag}(?=[\s/>]){attrs}[^>]*>(.*?)</{tag}\s*>"
+
+
+# ``category`` as a whole class token, the attribute quoted either way or not at all
+_CATEGORY = (r"(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\">]*\s)?category(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?category(?:\s[^'>]*)?'"
+             r"|category(?=[\s>])))")
+ROUTE_TABLE = _element("table", _CATEGORY)
+ROUTE_TABLE_ROW = _element("tr")
+NAV_CONTAINER = _element("nav")
+NAV_ROW = _element("li")
+FIRST_LINK = _element("a")
 WRAP = "\n\t\t\t\t\t\t"
-EDGE_SPACE = r"^[ \t\n\x0B\f\r\u00a0]+|[ \t\n\x0B\f\r\u00a0]+$"  # spaces, controls, no-break space
-# named character references decoded in link text (&amp; last, so "&amp;lt;" stays "&lt;")
-ENTITIES = (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+EDGE_SPACE = r"^[ \t\n\x0B\f\r ]+|[ \t\n\x0B\f\r ]+$"  # spaces, controls, no-break space
+# The named character references of Latin-1 letters and common signs.
+REFERENCES = {
+    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&",
+    "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "ntilde": "ñ", "uuml": "ü",
+    "Aacute": "Á", "Eacute": "É", "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú", "Ntilde": "Ñ", "Uuml": "Ü",
+    "agrave": "à", "egrave": "è", "acirc": "â", "ecirc": "ê", "ccedil": "ç", "auml": "ä", "ouml": "ö", "szlig": "ß",
+    "iexcl": "¡", "iquest": "¿", "deg": "°", "ordm": "º", "ordf": "ª", "middot": "·", "copy": "©", "reg": "®",
+    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "hellip": "…", "bull": "•",
+    "laquo": "«", "raquo": "»", "euro": "€", "times": "×",
+}
+
+
+def decode_references(text: Column) -> Column:
+    """Named, decimal and hexadecimal character references decoded once; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for pair in REFERENCES.items() for x in pair])
+
+    def one(ref: Column) -> Column:
+        body = F.regexp_extract(ref, r"^&#?[xX]?([^;]*);$", 1)
+        code = (F.when(ref.rlike(r"^&#[0-9]{1,7};$"), body.try_cast("int"))
+                .when(ref.rlike(r"^&#[xX][0-9a-fA-F]{1,6};$"), F.conv(body, 16, 10).try_cast("int")))
+        # four bytes per code point, big-endian
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, char).otherwise(F.coalesce(F.try_element_at(names, body), ref))
+
+    # text between references and the references alternate: a split keeps both in order
+    parts = F.regexp_extract_all(text, F.lit(r"(?s)&#?[a-zA-Z0-9]{1,31};|[^&]+|&"), F.lit(0))
+    whole = F.transform(parts, lambda p: F.when(p.rlike("^&.+;$"), one(p)).otherwise(p))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(whole, "")).otherwise(text)
 
 
 def extract_route_names(pages: DataFrame, container: str = ROUTE_TABLE, row: str = ROUTE_TABLE_ROW,
                         html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """(page id, pos, route): per row of the container, the first link's text.
 
-    Inner tags are removed, common named entities decoded, surrounding
-    whitespace (including non-breaking spaces) stripped, the listing's wrap
-    sequence removed and blanks dropped; ``pos`` is the 1-based row position
+    Tags match in any case and by whole name. Inner tags are removed, character
+    references decoded, surrounding whitespace (including non-breaking spaces)
+    stripped, the listing's wrap sequence removed and blanks dropped; ``pos`` is the 1-based row position
     in the container. A page without the container yields no rows.
     """
     body = F.regexp_extract(F.col(html_col), container, 1)
@@ -36,8 +71,7 @@ def extract_route_names(pages: DataFrame, container: str = ROUTE_TABLE, row: str
     ex = pages.select(F.col(id_col), F.posexplode(rows).alias("pos0", "row_html"))
     link = F.regexp_extract(F.col("row_html"), FIRST_LINK, 1)
     text = F.regexp_replace(link, "<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        text = F.replace(text, F.lit(ent), F.lit(ch))
+    text = decode_references(text)
     text = F.replace(F.regexp_replace(text, EDGE_SPACE, ""), F.lit(WRAP), F.lit(""))
     return (ex.select(F.col(id_col), (F.col("pos0") + 1).alias("pos"), text.alias("route"))
             .filter(F.length("route") > 0))

@@ -2,8 +2,9 @@
 
 Every summary is one aggregate pass (partial aggregation before the shuffle)
 or a grouped count; exact quartiles come from :mod:`quantiles`. Outputs are
-long-form rows so wide tables do not need wide results. Floating results are
-rounded to ``SIG`` significant digits so they do not depend on summation order.
+long-form rows so wide tables do not need wide results. Values are returned
+as they are: observed values exactly, means and deviations to the last bit of
+their summation order. NaN counts as missing in every numeric operator.
 """
 
 from __future__ import annotations
@@ -11,15 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.functions.numeric import round_half_away, round_sig, safe_ratio
+from transitlens.functions.numeric import number, round_half_away, safe_ratio
 from transitlens.functions.trip import delay_category, trip_efficiency
+from transitlens.operators.dimension import materialize
 from transitlens.operators.quantiles import exact_quantiles_multi
 
-SIG = 9  # significant digits kept in floating summaries
-
-
-def _r(c):
-    return round_sig(c, SIG)
 DELAY_CATEGORIES = ("High Negative", "Negative", "Positive", "High Positive")
 
 
@@ -41,8 +38,8 @@ def missing_values(df: DataFrame) -> DataFrame:
     wide = wide.withColumn("*__missing_count", sum((F.col(f"`{c}__missing_count`") for c in cols), F.lit(0)))
     names = cols + ["*"]
     for n in names:
-        wide = wide.withColumn(f"{n}__missing_percent", _r(
-            safe_ratio(F.col(f"`{n}__missing_count`") * 100.0, F.col("_rows"))))
+        wide = wide.withColumn(f"{n}__missing_percent", safe_ratio(
+            F.col(f"`{n}__missing_count`") * 100.0, F.col("_rows")))
     return _stack(wide, names, ["missing_count", "missing_percent"])
 
 
@@ -50,8 +47,7 @@ def numeric_summary(df: DataFrame, cols) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max per column (NaN counts as missing)."""
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
-        x = F.when(~F.isnan(x), x)
+        x = number(c)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
@@ -66,9 +62,7 @@ def numeric_summary(df: DataFrame, cols) -> DataFrame:
                     q[0.25], q[0.5], q[0.75], row[f"{c}__max"]))
     schema = ("column_name string, count long, mean double, std double, min double, "
               "q25 double, q50 double, q75 double, max double")
-    res = df.sparkSession.createDataFrame(out, schema)
-    return res.select("column_name", "count", *[_r(c).alias(c) for c in
-                                                 ("mean", "std", "min", "q25", "q50", "q75", "max")])
+    return df.sparkSession.createDataFrame(out, schema)
 
 
 def distinct_counts(df: DataFrame, cols) -> DataFrame:
@@ -84,10 +78,13 @@ def value_counts_topk(df: DataFrame, col: str, k: int = 10) -> DataFrame:
 
 
 def category_share(df: DataFrame, col: str) -> DataFrame:
-    """value, count, percent of the non-null rows."""
-    total = df.filter(F.col(col).isNotNull()).count()
-    return (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).count()
-            .withColumn("percent", _r(safe_ratio(F.col("count") * 100.0, F.lit(total)))))
+    """value, count, percent of the non-null rows.
+
+    The input is read once: its grouped counts are written and summed there.
+    """
+    counts = materialize(df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).count())
+    total = counts.agg(F.sum("count")).first()[0]
+    return counts.withColumn("percent", safe_ratio(F.col("count") * 100.0, F.lit(total).cast("double")))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -112,7 +109,7 @@ def iqr_outliers(df: DataFrame, cols) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
         _, _, lo, hi = bounds[c]
-        x = F.col(c).cast("double")
+        x = number(c)
         out = (x < F.lit(lo)) | (x > F.lit(hi)) if lo is not None else F.lit(False)
         aggs.append(F.count_if(out).alias(f"{c}__outliers"))
     wide = df.agg(*aggs)
@@ -125,9 +122,12 @@ def iqr_outliers(df: DataFrame, cols) -> DataFrame:
                 .withColumn(f"{c}__outlier_percent",
                             safe_ratio(F.col(f"{c}__outliers") * 100.0, F.col("_rows"))))
     res = _stack(wide, list(cols), ["q1", "q3", "lower", "upper", "outliers", "outlier_percent"])
-    return res.select("column_name", "outliers",
-                      *[_r(c).alias(c) for c in
-                        ("q1", "q3", "lower", "upper", "outlier_percent")])
+    return res.select("column_name", "outliers", "q1", "q3", "lower", "upper", "outlier_percent")
+
+
+def total_outliers(df: DataFrame, cols) -> DataFrame:
+    """One row: outliers summed over the columns."""
+    return iqr_outliers(df, cols).agg(F.sum("outliers").alias("total_outliers"))
 
 
 def histogram_30(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -136,7 +136,7 @@ def histogram_30(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     Every bin is listed, empty ones with count 0. A constant column uses the
     range [v - 0.5, v + 0.5] as numpy does.
     """
-    x = F.col(col).cast("double")
+    x = number(col)
     r = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx")).first()
     spark = df.sparkSession
     if r["mn"] is None:
@@ -148,8 +148,9 @@ def histogram_30(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     width = (hi - lo) / bins
     return (grid.join(F.broadcast(counts), "bin", "left")  # at most `bins` rows
             .select("bin",
-                    _r(F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
-                    _r(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
+                    (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
+                    F.when(F.col("bin") == bins - 1, F.lit(hi))
+                    .otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
@@ -159,7 +160,7 @@ def boxplot_stats(df: DataFrame, cols) -> DataFrame:
     aggs = []
     for c in cols:
         q1, _, q3 = qs[c]
-        x = F.col(c).cast("double")
+        x = number(c)
         if q1 is None:
             aggs += [F.lit(None).cast("double").alias(f"{c}__whisker_low"),
                      F.lit(None).cast("double").alias(f"{c}__whisker_high")]
@@ -173,35 +174,38 @@ def boxplot_stats(df: DataFrame, cols) -> DataFrame:
         wide = (wide.withColumn(f"{c}__q1", F.lit(q1).cast("double"))
                 .withColumn(f"{c}__median", F.lit(q2).cast("double"))
                 .withColumn(f"{c}__q3", F.lit(q3).cast("double")))
-    res = _stack(wide, list(cols), ["q1", "median", "q3", "whisker_low", "whisker_high"])
-    return res.select("column_name", *[_r(c).alias(c) for c in
-                                       ("q1", "median", "q3", "whisker_low", "whisker_high")])
+    return _stack(wide, list(cols), ["q1", "median", "q3", "whisker_low", "whisker_high"])
 
 
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
-    """row_name, col_name, corr (Pearson, rows with a null in the pair skipped)."""
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}__corr")
-            for a in cols for b in cols]
-    wide = df.agg(*aggs)
+    """row_name, col_name, corr (Pearson, rows with a null in the pair skipped).
+
+    The matrix is symmetric, so each unordered pair is aggregated once.
+    """
+    cols = list(cols)
+    half = {(a, b): F.corr(number(a), number(b)) for i, a in enumerate(cols) for b in cols[i:]}
+    wide = df.agg(*[c.alias(f"{a}|{b}__corr") for (a, b), c in half.items()])
+    wide = wide.select("*", *[F.col(f"`{b}|{a}__corr`").alias(f"{a}|{b}__corr")
+                              for a in cols for b in cols if (a, b) not in half])
     names = [f"{a}|{b}" for a in cols for b in cols]
     res = _stack(wide, names, ["corr"], key="pair")
     return res.select(F.split("pair", r"\|").getItem(0).alias("row_name"),
                       F.split("pair", r"\|").getItem(1).alias("col_name"),
-                      _r("corr").alias("corr"))
+                      "corr")
 
 
 def mean_by_group(df: DataFrame, by: str, col: str) -> DataFrame:
     """by, mean_{col}; null group keys dropped; sorted by the mean, descending."""
     m = f"mean_{col}"
     return (df.filter(F.col(by).isNotNull()).groupBy(by)
-            .agg(_r(F.avg(F.col(col).cast("double"))).alias(m))
+            .agg(F.avg(number(col)).alias(m))
             .orderBy(F.desc(m), F.asc(by)))
 
 
 def best_worst_group(df: DataFrame, by: str, col: str) -> DataFrame:
     """One row: the group with the highest and with the lowest mean (ties: smallest key)."""
     g = (df.filter(F.col(by).isNotNull()).groupBy(by)
-         .agg(F.avg(F.col(col).cast("double")).alias("m")).filter(F.col("m").isNotNull()))
+         .agg(F.avg(number(col)).alias("m")).filter(F.col("m").isNotNull()))
     return g.agg(F.min(F.struct((-F.col("m")).alias("k"), F.col(by).alias("g"))).getField("g").alias("best"),
                  F.min(F.struct(F.col("m").alias("k"), F.col(by).alias("g"))).getField("g").alias("worst"))
 
@@ -220,7 +224,7 @@ def line_performance(trips: DataFrame, top: int = 15) -> DataFrame:
     aggs = []
     for c, fs in (("TRIPDURATION", ("mean", "std", "count")), ("AVGDELAY", ("mean", "std")),
                   ("AVGVELOCITY", ("mean", "std"))):
-        x = F.col(c).cast("double")
+        x = number(c)
         for f in fs:
             e = {"mean": F.avg(x), "std": F.stddev_samp(x), "count": F.count(x)}[f]
             aggs.append((e if f == "count" else round_half_away(e, 2)).alias(f"{c}_{f}"))
@@ -250,9 +254,9 @@ def dataset_overview(trips: DataFrame) -> DataFrame:
     return trips.agg(
         F.count(F.lit(1)).alias("rows"), F.min("DATE").alias("first_date"), F.max("DATE").alias("last_date"),
         F.count_distinct("LINE").alias("lines"),
-        _r(F.avg(F.col("TRIPDURATION").cast("double"))).alias("mean_tripduration"),
-        _r(F.avg(F.col("AVGDELAY").cast("double"))).alias("mean_avgdelay"),
-        _r(F.avg("AVGVELOCITY")).alias("mean_avgvelocity"))
+        F.avg(number("TRIPDURATION")).alias("mean_tripduration"),
+        F.avg(number("AVGDELAY")).alias("mean_avgdelay"),
+        F.avg(number("AVGVELOCITY")).alias("mean_avgvelocity"))
 
 
 def rush_vs_nonrush(trips: DataFrame) -> DataFrame:
@@ -260,9 +264,9 @@ def rush_vs_nonrush(trips: DataFrame) -> DataFrame:
     t = with_trip_features(trips)
     a = F.avg(F.when(F.col("RUSHHOUR") == F.lit(True), F.col("EFFICIENCY")))
     b = F.avg(F.when(F.col("RUSHHOUR") == F.lit(False), F.col("EFFICIENCY")))
-    return t.agg(_r(a).alias("rush_efficiency"),
-                 _r(b).alias("nonrush_efficiency"),
-                 _r(F.abs(a - b)).alias("efficiency_difference"))
+    return t.agg(a.alias("rush_efficiency"),
+                 b.alias("nonrush_efficiency"),
+                 F.abs(a - b).alias("efficiency_difference"))
 
 
 def categorical_summary(df: DataFrame, cols, k: int = 10) -> DataFrame:

@@ -40,10 +40,16 @@ def expect_warn(df: DataFrame, rules: dict) -> DataFrame:
     return wide.selectExpr(f"stack({len(rules)}, {stack}) AS (expectation, passed, failed)")
 
 
-def observe_warn(df: DataFrame, rules: dict, observation: Observation) -> DataFrame:
-    """Attach warn rules as observed metrics (no extra pass, rows unchanged)."""
-    aggs = [F.count_if(F.coalesce(_pred(p), F.lit(False))).alias(f"{n}_passed") for n, p in rules.items()]
-    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *aggs)
+def observe_warn(df: DataFrame, rules: dict, observation: Observation, table: str) -> DataFrame:
+    """Attach warn rules as observed metrics (no extra pass, rows unchanged).
+
+    Records ``{table}_rows`` and, per rule, ``{rule}_passed`` / ``{rule}_failed``.
+    """
+    aggs = []
+    for name, p in rules.items():
+        ok = F.coalesce(_pred(p), F.lit(False))
+        aggs += [F.count_if(ok).alias(f"{name}_passed"), F.count_if(~ok).alias(f"{name}_failed")]
+    return df.observe(observation, F.count(F.lit(1)).alias(f"{table}_rows"), *aggs)
 
 
 # The rule names and predicates of the source pipeline.

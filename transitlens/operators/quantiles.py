@@ -3,20 +3,21 @@
 ``percentile`` keeps every distinct value of a group in one buffer, so on a
 whole large column it is unbounded. Here the k-th smallest value is found by
 narrowing a value band with distributed passes, for all (column, rank)
-targets at once:
-
-1. one pass takes count, min and max per column (a constant column is done);
-2. bands holding at most ``band_rows`` rows are numbered in one distributed
-   pass (row_number per band) and only the wanted rows reach the driver;
-3. larger bands get one ``percentile_approx`` sketch per (column, band) with
-   all wanted fractions (plus / minus a margin), and a counting pass confirms
-   each rank lies in its narrower band (rows per band fall by about
-   ``accuracy / 8`` per round); a band of one value answers directly.
-
-Rounds are O(log_{accuracy} n); only counts and at most ``band_rows`` values
-per target reach the driver. Interpolated quantiles (linear, as pandas
-``quantile`` and SQL ``quantile_cont``) use ranks floor(p), floor(p) + 1 of
-p = (n - 1) q.
+targets at once. A band is an open interval that holds the wanted rank:
+
+1. a band of at most ``band_rows`` rows is numbered (row_number per band, all
+   bands in one pass) and only the wanted rows reach the driver;
+2. a larger band gets one ``percentile_approx`` sketch, which yields two observed
+   values around the rank, and a counting pass: rows below, at, between and
+   above them. If the rank falls on rows equal to either value, that value is
+   the answer; otherwise the next band lies strictly beside or between them.
+
+Heavy values end in step 2 by grouped counts, however many rows share them, so
+a numbered band never exceeds ``band_rows``. Each round drops at least one distinct
+value and, as the sketch is accurate, nearly all rows: rounds grow as
+``log_accuracy(n)``. Only counts and the answers reach the driver. Interpolated
+quantiles (linear, as pandas ``quantile`` and SQL ``quantile_cont``) use ranks
+floor(p), floor(p) + 1 of p = (n - 1) q. NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -26,32 +27,28 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from transitlens.functions.numeric import number
+
 DEFAULT_BAND_ROWS = 10_000
 DEFAULT_ACCURACY = 10_000
-MAX_ROUNDS = 12
 
 
 def _band(c, lo, hi):
     cond = c.isNotNull()
     if lo is not None:
-        cond = cond & (c >= F.lit(lo))
+        cond = cond & (c > F.lit(lo))
     if hi is not None:
-        cond = cond & (c <= F.lit(hi))
+        cond = cond & (c < F.lit(hi))
     return cond
 
 
-def _x(col: str):
-    x = F.col(col).cast("double")
-    return F.when(~F.isnan(x), x)
-
-
 def _pick_in_bands(vals: DataFrame, small, state, cidx) -> dict:
     """One pass: rows of every small band, numbered within their band, keep the wanted rank."""
     from pyspark.sql import Window
     items = [F.when(_band(F.col(f"v{cidx[t[0]]}"), state[t][0], state[t][1]),
                     F.struct(F.lit(i).alias("t"), F.col(f"v{cidx[t[0]]}").alias("v"))) for i, t in enumerate(small)]
     e = vals.select(F.explode(F.array(*items)).alias("e")).filter(F.col("e").isNotNull()).select("e.t", "e.v")
-    want = F.create_map(*[x for i, t in enumerate(small) for x in (F.lit(i), F.lit(t[1] - state[t][2] + 1))])
+    want = F.create_map(*[x for i, t in enumerate(small) for x in (F.lit(i), F.lit(state[t][2] + 1))])
     rn = F.row_number().over(Window.partitionBy("t").orderBy("v"))
     got = e.withColumn("rn", rn).filter(F.col("rn") == want[F.col("t")]).select("t", "v").collect()
     return {small[r.t]: r.v for r in got}
@@ -61,7 +58,7 @@ def column_stats(df: DataFrame, cols) -> dict[str, tuple]:
     """(count, min, max) of the non-null, non-NaN values of each column, in one pass."""
     cols = list(cols)
     row = df.agg(*[a for i, c in enumerate(cols) for a in (
-        F.count(_x(c)).alias(f"n{i}"), F.min(_x(c)).alias(f"mn{i}"), F.max(_x(c)).alias(f"mx{i}"))]).first()
+        F.count(number(c)).alias(f"n{i}"), F.min(number(c)).alias(f"mn{i}"), F.max(number(c)).alias(f"mx{i}"))]).first()
     return {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
 
 
@@ -70,12 +67,12 @@ def kth_smallest_multi(df: DataFrame, targets: list[tuple[str, int]], band_rows:
                        ) -> dict[tuple[str, int], float | None]:
     """Exact value at each 0-based rank among the non-null, non-NaN values of each column."""
     cols = sorted({c for c, _ in targets})
-    vals = df.select(*[_x(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    vals = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(cols)])
     cidx = {c: i for i, c in enumerate(cols)}
     v = {c: F.col(f"v{cidx[c]}") for c in cols}
     stats = stats if stats is not None and all(c in stats for c in cols) else column_stats(df, cols)
     out: dict = {}
-    state = {}  # target -> [lo, hi, rows below lo, rows in band]
+    state = {}  # target -> (lo, hi, rank within the open band, rows in the band)
     for t in set(targets):
         n, mn, mx = stats[t[0]]
         if n == 0 or t[1] >= n:
@@ -83,57 +80,68 @@ def kth_smallest_multi(df: DataFrame, targets: list[tuple[str, int]], band_rows:
         elif mn == mx:
             out[t] = mn
         else:
-            state[t] = [mn, mx, 0, n]
-    for _ in range(MAX_ROUNDS):
-        todo = [t for t in state if t not in out]
-        small = [t for t in todo if state[t][3] <= band_rows]
+            state[t] = (None, None, t[1], n)
+    while state:
+        small = [t for t in state if state[t][3] <= band_rows]
         if small:
             out.update(_pick_in_bands(vals, small, state, cidx))
-        narrow = [t for t in todo if state[t][3] > band_rows]
-        if not narrow:
-            return out
-        # one sketch per (column, band), carrying every probability wanted in it
-        eps = 4.0 / accuracy
-        groups: dict = {}
-        for t in narrow:
-            lo, hi, below, m = state[t]
-            f = (t[1] - below) / max(m - 1, 1)
-            groups.setdefault((t[0], lo, hi), []).append((t, max(0.0, f - eps), min(1.0, f + eps)))
-        gkeys = list(groups)
-        paggs = []
-        for gi, (c, lo, hi) in enumerate(gkeys):
-            probs = sorted({p for _, a, b in groups[(c, lo, hi)] for p in (a, b)})
-            paggs.append(F.percentile_approx(F.when(_band(v[c], lo, hi), v[c]), probs, accuracy).alias(f"p{gi}"))
-        prow = vals.agg(*paggs).first()
-        bounds = {}
-        for gi, key in enumerate(gkeys):
-            probs = sorted({p for _, a, b in groups[key] for p in (a, b)})
-            at = dict(zip(probs, prow[f"p{gi}"]))
-            for t, a, b in groups[key]:
-                bounds[t] = (at[a], at[b])
-        caggs = []
-        for i, t in enumerate(narrow):
-            lo, hi, _b, _m = state[t]
-            plo, phi = bounds[t]
-            c = v[t[0]]
-            caggs += [F.count_if(_band(c, lo, hi) & (c < F.lit(plo))).alias(f"b{i}"),
-                      F.count_if(_band(c, plo, phi)).alias(f"w{i}")]
-        crow = vals.agg(*caggs).first()
-        for i, t in enumerate(narrow):
-            plo, phi = bounds[t]
-            nb, w = state[t][2] + crow[f"b{i}"], crow[f"w{i}"]
-            if nb <= t[1] < nb + w:  # the rank lies in the narrower band
-                if plo == phi:
-                    out[t] = plo
-                else:
-                    state[t] = [plo, phi, nb, w]
-            # else: the approximation missed; the band is kept and retried
-    left = [t for t in state if t not in out]
-    if left:  # approximation kept missing: number the remaining bands in Spark
-        out.update(_pick_in_bands(vals, left, state, cidx))
+        state = {t: s for t, s in state.items() if t not in out}
+        if not state:
+            break
+        around = _sketched(vals, v, state, accuracy)
+        aggs = []
+        for i, t in enumerate(state):
+            c, (lo, hi, _, _), (a, b) = v[t[0]], state[t], around[t]
+            aggs += [F.count_if(_band(c, lo, a)).alias(f"below{i}"), F.count_if(c == F.lit(a)).alias(f"a{i}"),
+                     F.count_if(_band(c, a, b)).alias(f"mid{i}"), F.count_if(c == F.lit(b)).alias(f"b{i}")]
+        row = vals.agg(*aggs).first()
+        after = {}
+        for i, t in enumerate(state):
+            (lo, hi, rank, m), (a, b) = state[t], around[t]
+            found = _narrowed(lo, hi, rank, m, a, b, *(row[f"{x}{i}"] for x in ("below", "a", "mid", "b")))
+            if isinstance(found, tuple):
+                after[t] = found
+            else:
+                out[t] = found
+        state = after
+    return out
+
+
+def _sketched(vals: DataFrame, v: dict, state: dict, accuracy: int) -> dict:
+    """Two observed values around each target's rank: one sketch per (column, band) with all its fractions."""
+    eps = 4.0 / accuracy
+    groups: dict = {}
+    for t, (lo, hi, rank, m) in state.items():
+        f = rank / max(m - 1, 1)
+        groups.setdefault((t[0], lo, hi), []).append((t, max(0.0, f - eps), min(1.0, f + eps)))
+    probs = {g: sorted({p for _, a, b in members for p in (a, b)}) for g, members in groups.items()}
+    row = vals.agg(*[F.percentile_approx(F.when(_band(v[c], lo, hi), v[c]), probs[c, lo, hi], accuracy).alias(f"p{i}")
+                     for i, (c, lo, hi) in enumerate(groups)]).first()
+    out = {}
+    for i, (g, members) in enumerate(groups.items()):
+        at = dict(zip(probs[g], row[f"p{i}"], strict=True))
+        out.update({t: (at[a], at[b]) for t, a, b in members})
     return out
 
 
+def _narrowed(lo, hi, rank, m, a, b, below, at_a, mid, at_b):
+    """The answer, or the next (lo, hi, rank, rows), from the counts around ``a <= b`` in the band."""
+    if a == b:
+        mid, at_b = 0, 0
+    if rank < below:
+        return lo, a, rank, below
+    rank -= below
+    if rank < at_a:
+        return a
+    rank -= at_a
+    if rank < mid:
+        return a, b, rank, mid
+    rank -= mid
+    if rank < at_b:
+        return b
+    return b, hi, rank - at_b, m - below - at_a - mid - at_b
+
+
 def exact_quantiles_multi(df: DataFrame, cols, qs, band_rows: int = DEFAULT_BAND_ROWS,
                           accuracy: int = DEFAULT_ACCURACY, stats: dict | None = None
                           ) -> dict[str, dict[float, float | None]]:

@@ -20,6 +20,14 @@ def trip_boundary_filter(enriched: DataFrame, end: bool = False) -> DataFrame:
     return enriched.filter(F.col("next_time" if end else "prev_time").isNull())
 
 
+def trip_boundaries(enriched: DataFrame) -> DataFrame:
+    """First and last pings labelled ``boundary`` start / end, in one pass; a single ping is both."""
+    labels = F.filter(F.array(F.when(F.col("prev_time").isNull(), "start"), F.when(F.col("next_time").isNull(), "end")),
+                      lambda x: x.isNotNull())
+    ends = enriched.filter(F.col("prev_time").isNull() | F.col("next_time").isNull())
+    return ends.withColumn("boundary", F.explode(labels))
+
+
 def drop_single_ping_trips(pairs: DataFrame) -> DataFrame:
     """Keep pairs whose end has a predecessor and whose start has a successor."""
     return pairs.filter(F.col("END_prev_time").isNotNull() & F.col("START_next_time").isNotNull())

@@ -1,13 +1,18 @@
 """Daily refresh: landed captures + a stops file -> every published table.
 
-Each layer is written as Parquet under ``out_root`` (a shared folder) and the
-next layer reads it back by name, so the enrichment core is computed once and
-no later failure recomputes the chain from the raw captures. The core is
-written bucketed on its window keys, so the layers that read it join per-slice
-summaries to it without another shuffle of the pings. Expectation
-metrics are gathered with ``DataFrame.observe`` on the writes themselves (no
-extra pass). ``capture_dates`` limits the run to some landing partitions
-(partition pruning), e.g. the dates an incremental ingest touched.
+Each layer is written as Parquet and the next layer reads it back by name, so
+the enrichment core is computed once and no later failure recomputes the chain
+from the raw captures. The core is written bucketed on its window keys, so the
+layers that read it join per-slice summaries to it without another shuffle of
+the pings. Expectation metrics are gathered with ``DataFrame.observe`` on the
+writes themselves (no extra pass).
+
+A run writes all its layers to a staging folder of its own and publishes them
+only when every layer is complete. Layers with dates are partitioned by date:
+a run for some ``capture_dates`` replaces the partitions of these dates in every
+layer and leaves all others; a run without dates replaces the layers whole.
+Running a date again changes nothing but that date. A failed run leaves the
+published tables as they were, and its staging folder is deleted.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,69 +44,127 @@ LAYERS = ("bronze_gps_raw", "silver_gps_flat", "silver_paradas_exploded", "silve
           "gold_trips_final", "gold_route_segment_speed")
 
 
+# The date column that partitions a layer; layers not named here are published whole.
+DATED = {"bronze_gps_raw": PARTITION_COL, "silver_gps_flat": "date", "silver_gps_enriched_core": "date",
+         "silver_gps_enriched": "date", "gold_trips_candidates": "date", "gold_trips_final": "DATE",
+         "gold_route_segment_speed": "date"}
+#: buckets of the core; more would only make small files
+MAX_BUCKETS = 20_000
+
+
 def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root: str,
             capture_dates: list[str] | None = None, stops_multiline: bool = True,
             slice_seconds: int = DEFAULT_SLICE_SECONDS,
             broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict:
     """Run every layer; return ``{"tables": {name: path}, "expectations": {rule: counts}}``."""
-    paths = {n: os.path.join(out_root, n) for n in LAYERS}
+    staging = os.path.join(out_root, f"_staging-{uuid.uuid4().hex[:12]}")
+    staged = {n: os.path.join(staging, n) for n in LAYERS}
     obs: dict[str, Observation] = {}
+    core_table = f"transitlens_core_{uuid.uuid4().hex[:12]}"
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(paths[name])
-        return spark.read.parquet(paths[name])
-
-    raw = read_gps_snapshots(spark, captures_path)
-    if capture_dates:
-        raw = raw.filter(F.col(PARTITION_COL).isin([F.lit(d).cast("date") for d in capture_dates]))
-    obs["bronze"] = Observation("bronze")
-    bronze = stamp_ingest_time(parse_gps_payload(raw))
-    bronze = write("bronze_gps_raw", observe_warn(bronze, {**BRONZE_RULES, **FLAT_INPUT_RULES}, obs["bronze"]))
-
-    obs["flat"] = Observation("flat")
-    flat = write("silver_gps_flat", observe_warn(flatten_pings(bronze), FLAT_RULES, obs["flat"]))
-
-    stops_raw = write("silver_paradas_exploded", explode_stops(read_stops_json(spark, stops_path, stops_multiline)))
-    stops = write("silver_stops_routes", stop_row_number(stops_raw))
-    meta = write("silver_routes_meta", route_first_last_stop(stops))
-
-    stops_b, n_stops = bounded_broadcast(stops, broadcast_rows, already_materialized=True)
-    core, core_table = _write_bucketed(
-        spark, paths["silver_gps_enriched_core"],
-        enrich_core(match_pings_to_stops(flat, stops_b), slice_seconds=slice_seconds))
-
-    obs["enriched"] = Observation("enriched")
-    write("silver_gps_enriched", public_columns(
-        expect_or_drop(running_avg_velocity(core), "gpsy_positive", GPSY_POSITIVE, obs["enriched"])))
-
-    cands = write("gold_trips_candidates", trip_candidates(core))
-    meta_b = meta.hint("broadcast") if n_stops <= broadcast_rows else meta  # at most one row per stop
-    obs["trips_drop"] = Observation("trips_drop")
-    final = expect_or_drop(terminal_stop_filter(attach_route_meta(cands, meta_b)), TRIPS_DROP[0], TRIPS_DROP[1],
-                           obs["trips_drop"])
-    obs["trips"] = Observation("trips")
-    write("gold_trips_final", observe_warn(project_trips(final), TRIPS_RULES, obs["trips"]))
-    write("gold_route_segment_speed", route_segment_speed(core))
-
-    spark.sql(f"DROP TABLE IF EXISTS {core_table}")  # external table: the files stay under out_root
-    metrics = {}
-    for o in obs.values():
-        metrics.update(o.get)
-    return {"tables": paths, "expectations": metrics}
-
-
-def _write_bucketed(spark: SparkSession, path: str, core: DataFrame) -> tuple[DataFrame, str]:
-    """Write the enrichment core bucketed by (trip key stand-ins, slice).
+        out = df.write.mode("overwrite")
+        (out.partitionBy(DATED[name]) if name in DATED else out).parquet(staged[name])
+        return spark.read.schema(df.schema).parquet(staged[name]).select(*df.columns)
+
+    try:
+        raw = read_gps_snapshots(spark, captures_path)
+        if capture_dates is not None:
+            raw = raw.filter(F.col(PARTITION_COL).isin([F.lit(d).cast("date") for d in capture_dates]))
+        obs["bronze"] = Observation("bronze")
+        bronze = stamp_ingest_time(parse_gps_payload(raw))
+        bronze = write("bronze_gps_raw", observe_warn(bronze, {**BRONZE_RULES, **FLAT_INPUT_RULES}, obs["bronze"],
+                                                      "bronze"))
+        obs["flat"] = Observation("flat")
+        flat = write("silver_gps_flat", observe_warn(flatten_pings(bronze), FLAT_RULES, obs["flat"], "flat"))
+
+        stops_raw = write("silver_paradas_exploded", explode_stops(read_stops_json(spark, stops_path, stops_multiline)))
+        stops = write("silver_stops_routes", stop_row_number(stops_raw))
+        if stops.limit(1).count() == 0:
+            raise ValueError(f"no stops in {stops_path}: no ping could be matched")
+        meta = write("silver_routes_meta", route_first_last_stop(stops))
+
+        stops_b, n_stops = bounded_broadcast(stops, broadcast_rows, already_materialized=True)
+        core = _write_bucketed(spark, staged["silver_gps_enriched_core"], core_table,
+                               lambda: enrich_core(match_pings_to_stops(flat, stops_b), slice_seconds=slice_seconds))
+
+        obs["enriched"] = Observation("enriched")
+        write("silver_gps_enriched", public_columns(
+            expect_or_drop(running_avg_velocity(core), "gpsy_positive", GPSY_POSITIVE, obs["enriched"])))
+
+        cands = write("gold_trips_candidates", trip_candidates(core))
+        meta_b = meta.hint("broadcast") if n_stops <= broadcast_rows else meta  # at most one row per stop
+        obs["trips_drop"] = Observation("trips_drop")
+        final = expect_or_drop(terminal_stop_filter(attach_route_meta(cands, meta_b)), TRIPS_DROP[0], TRIPS_DROP[1],
+                               obs["trips_drop"])
+        obs["trips"] = Observation("trips")
+        write("gold_trips_final", observe_warn(project_trips(final), TRIPS_RULES, obs["trips"], "trips"))
+        write("gold_route_segment_speed", route_segment_speed(core))
+        metrics: dict = {}
+        for o in obs.values():
+            metrics.update(o.get)
+        paths = {n: os.path.join(out_root, n) for n in LAYERS}
+        for name in LAYERS:
+            _publish(spark, staged[name], paths[name], capture_dates if name in DATED else None, DATED.get(name))
+        return {"tables": paths, "expectations": metrics}
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {core_table}")  # external: the published files stay
+        _delete(spark, staging)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Replace ``target`` by ``source``, a rename on the shared file system."""
+    fs, p = _fs(spark, source)
+    _, t = _fs(spark, target)
+    fs.delete(t, True)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(p, t):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _publish(spark: SparkSession, staged: str, published: str, dates: list[str] | None, column: str | None) -> None:
+    """Replace a layer whole, or the partitions of ``dates``; a date without rows loses its partition."""
+    if dates is None:
+        _move(spark, staged, published)
+        return
+    fs, p = _fs(spark, published)
+    fs.mkdirs(p)
+    for date in dates:
+        part = f"{column}={date}"
+        if fs.exists(_fs(spark, os.path.join(staged, part))[1]):
+            _move(spark, os.path.join(staged, part), os.path.join(published, part))
+        else:
+            _delete(spark, os.path.join(published, part))
+
+
+def _write_bucketed(spark: SparkSession, path: str, table: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write the enrichment core bucketed by (trip key stand-ins, slice), partitioned by date.
 
     The core leaves its window exchange hash-partitioned on exactly these
-    columns, so with as many buckets as shuffle partitions each task writes
-    its own buckets (no shuffle). Read back as a bucketed table, the running
-    speed pass joins its per-slice sums to the core without shuffling the
-    pings again (co-located join); only the small summaries move.
+    columns. The exchange is planned with as many partitions as there are
+    buckets, so each task writes its own buckets (no second shuffle); the
+    number follows the session but stays within Spark's bucket limit. Read back
+    as a bucketed table, the running speed pass joins its per-slice sums to the
+    core without shuffling the pings again; only the small summaries move.
     """
-    part = [c for c in core.columns if re.fullmatch(r"_k(\d+|n)", c)] + SLICE_COLUMNS
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"transitlens_core_{uuid.uuid4().hex[:12]}"
-    (core.write.mode("overwrite").option("path", path)
-     .bucketBy(n, *part).sortBy(*part).saveAsTable(table))
-    return spark.table(table), table
+    wanted = spark.conf.get("spark.sql.shuffle.partitions")
+    n = min(int(wanted), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")), MAX_BUCKETS)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        core = build()
+        part = [c for c in core.columns if re.fullmatch(r"_k(\d+|n)", c)] + SLICE_COLUMNS
+        (core.write.mode("overwrite").option("path", path).partitionBy("date")
+         .bucketBy(n, *part).sortBy(*part).saveAsTable(table))
+        return spark.table(table).select(*core.columns)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
