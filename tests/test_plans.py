@@ -92,18 +92,27 @@ def test_landing_partition_pruning(spark, tmp_path):
     assert df.count() > 0
 
 
+def test_enriched_table_reads_its_core_without_a_raw_shuffle(spark, large_plan_conf):
+    s = gold.silver_from_sf(spark, SF_SMALL)
+    assert _raw_exchanges(_plan(s.core)) == 1
+    enriched = gold.silver_gps_enriched(s)
+    assert _raw_exchanges(_plan(enriched)) == 0  # the one raw exchange wrote the core
+    assert enriched.count() == gold.silver_gps_enriched(s, running_velocity=False).count()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("transitlens_core")]
+
+
 @pytest.mark.parametrize("partitions, limit, buckets", [("8", "100000", 8), ("400000", "16", 16)])
 def test_bucketed_core_needs_no_raw_shuffle(spark, large_plan_conf, tmp_path, partitions, limit, buckets):
     """Also at settings whose shuffle partitions exceed Spark's bucket limit."""
     from transitlens.operators.enrich import running_avg_velocity
-    from transitlens.plans.refresh import _write_bucketed
+    from transitlens.sources.bucketed import write_bucketed
     s = gold.silver_from_sf(spark, SF_SMALL)
     table = "core_plan_test"
     old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.sources.bucketing.maxBuckets")}
     try:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         spark.conf.set("spark.sql.sources.bucketing.maxBuckets", limit)
-        core = _write_bucketed(spark, str(tmp_path / "core"), table, lambda: s.core)
+        core = write_bucketed(spark, str(tmp_path / "core"), table, lambda: s.core)
         assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
         spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
         described = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}

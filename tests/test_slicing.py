@@ -71,3 +71,18 @@ def test_hot_slice_marking_same_with_broadcast_or_shuffle(spark):
     assert a == sorted(tuple(r) for r in large.select(*cols).collect())
     assert sum(1 for r in a if r[1].year > 1970) > 0  # some slices were split
     assert all(r._sub.year == 1970 for r in none.select("_sub").collect())
+
+
+def test_pings_without_a_time_are_split_by_position(spark):
+    rnd = random.Random(4)
+    rows = [(bus, delay, line, stop, trip, None if rnd.random() < 0.5 else ts, x, y, i, None if rnd.random() < 0.5 else d)
+            for bus, delay, line, stop, trip, ts, x, y, i, d in _random_pings(5, 300)]
+    rows = [r[:9] + (None,) if r[5] is None else r for r in rows]
+    joined = match_pings_to_stops(spark.createDataFrame(rows, PING_SCHEMA), _stops(spark))
+    whole = enrich_core(joined, slice_seconds=10 ** 9, hot_rows=None)
+    split = enrich_core(joined, slice_seconds=300, hot_rows=1)
+    frames = [public_columns(running_avg_velocity(c)) for c in (whole, split)]
+    a, b = (sorted((tuple(r) for r in f.select(*sorted(f.columns)).collect()), key=repr) for f in frames)
+    assert a == b
+    parts = split.where("timestamp IS NULL").groupBy("_k0", "_k1", "_k2", "_k3", "_k4", "_kn", "_slice", "_sub").count()
+    assert parts.agg({"count": "max"}).first()[0] <= 2

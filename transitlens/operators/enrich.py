@@ -68,7 +68,13 @@ def _key_columns(df: DataFrame, keys) -> tuple[DataFrame, list[str]]:
     names, mask = [], F.lit(0)
     for i, k in enumerate(keys):
         dt = type(df.schema[k].dataType)
-        sentinel = F.lit(_SENTINEL.get(dt, ""))
+        # a type without a stand-in is keyed by its text, which is as distinct as the value
+        if dt not in _SENTINEL:
+            df = df.withColumn(f"_k{i}", F.coalesce(F.col(k).cast("string"), F.lit("")))
+            mask = mask + F.when(F.col(k).isNull(), F.lit(1 << i)).otherwise(F.lit(0))
+            names.append(f"_k{i}")
+            continue
+        sentinel = F.lit(_SENTINEL[dt])
         kc = f"_k{i}"
         df = df.withColumn(kc, F.coalesce(F.col(k), sentinel.cast(df.schema[k].dataType)))
         mask = mask + F.when(F.col(k).isNull(), F.lit(1 << i)).otherwise(F.lit(0))
@@ -84,7 +90,7 @@ def _over(expr: str, part: list[str], order: list[str]) -> Column:
 
 
 def _split_hot_slices(base: DataFrame, kcols: list[str], ts: str, hot_rows: int | None,
-                      max_hot: int = 100_000) -> DataFrame:
+                      max_hot: int = 100_000, tiebreak: tuple[str, ...] = DEFAULT_TIEBREAK) -> DataFrame:
     """Add ``_sub``: the exact timestamp inside slices holding more than ``hot_rows`` pings.
 
     A slice is one (trip key, time slice); ordering by (``_slice``, ``_sub``)
@@ -92,7 +98,9 @@ def _split_hot_slices(base: DataFrame, kcols: list[str], ts: str, hot_rows: int
     slice. The hot-slice list has at most rows / ``hot_rows`` entries; up to
     ``max_hot`` of them are broadcast, more fall back to a shuffle join, and
     none (the usual case) skips the join. Inside one trip, pings sharing a
-    timestamp come from one capture, so the refined groups stay small.
+    timestamp come from one capture, so the refined groups stay small. Pings
+    without a time, all in one slice, are split by the leading tie-breaks, stop
+    and payload position, which is their order.
     """
     # slices are wholly split or wholly not, and order by _slice first, so the
     # stand-in value for unsplit slices is arbitrary
@@ -111,6 +119,11 @@ def _split_hot_slices(base: DataFrame, kcols: list[str], ts: str, hot_rows: int
         hot_b = hot
     marked = base.join(hot_b, kcols + ["_slice"], "left")
     sub = F.coalesce(F.when(F.col("_hot"), F.col(ts)), floor_ts)
+    if tiebreak[:2] == ("row_number", "ping_seq") and {"row_number", "ping_seq"} <= set(base.columns):
+        place = ((F.coalesce("row_number", F.lit(-1)) + 1).cast("bigint") * (1 << 32)
+                 + F.greatest(F.lit(0), F.least(F.coalesce("ping_seq", F.lit(-1)).cast("bigint") + 1, F.lit((1 << 32) - 1))))
+        untimed = F.timestamp_add("MICROSECOND", place, floor_ts)
+        sub = F.when(F.col("_hot") & F.col(ts).isNull(), untimed).otherwise(sub)
     return marked.withColumn("_sub", sub).drop("_hot")
 
 
@@ -141,7 +154,7 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     base = base.withColumn("_slice", F.coalesce(
         F.floor(F.unix_timestamp(F.col(ts)) / F.lit(float(slice_seconds))), F.lit(_NULL_SLICE)))
     base, kcols = _key_columns(base, keys)
-    base = _split_hot_slices(base, kcols, ts, hot_rows)
+    base = _split_hot_slices(base, kcols, ts, hot_rows, tiebreak=tuple(tb))
     slice_cols = ["_slice", "_sub"]
     part = kcols + slice_cols
 
@@ -157,13 +170,16 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
         F.sum("DELAY").alias("_dsum"), F.count("DELAY").alias("_dcnt"))
     wk = Window.partitionBy(*kcols).orderBy(*slice_cols)
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    ws = Window.partitionBy(*kcols, "_slice")
     summ = summ.select(
         *part,
         F.lag("_last").over(wk).alias("_prev_last"),
         F.lead("_first").over(wk).alias("_next_first"),
         _over("lead(`_first_kept`) IGNORE NULLS", kcols, slice_cols).alias("_next_kept"),
         F.coalesce(F.sum("_dsum").over(before), F.lit(0)).alias("_dsum_before"),
-        F.coalesce(F.sum("_dcnt").over(before), F.lit(0)).alias("_dcnt_before"))
+        F.coalesce(F.sum("_dcnt").over(before), F.lit(0)).alias("_dcnt_before"),
+        # pings without a time are ties of each other, across all parts of their slice
+        F.sum("_dsum").over(ws).alias("_dsum_slice"), F.sum("_dcnt").over(ws).alias("_dcnt_slice"))
 
     # --- level 1: ordered window per (trip key, slice) ----------------------
     wl = Window.partitionBy(*part).orderBy(F.col(ts), *[F.col(c) for c in tb])
@@ -194,8 +210,9 @@ def enrich_core(joined: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
         F.when(first, F.col("_prev_last.rn")).otherwise(F.col("_lag_rn")).alias("prev_rownum"),
         F.when(first, F.col("_prev_last.t")).otherwise(F.col("_lag_t")).alias("prev_time"),
         F.when(last, F.col("_next_first.t")).otherwise(F.col("_lead_t")).alias("next_time"),
-        round_half_away(safe_ratio(F.col("_dsum_before") + F.coalesce(F.col("_dsum_loc"), F.lit(0)),
-                                   F.col("_dcnt_before") + F.col("_dcnt_loc"))).alias("AVGDELAY"),
+        round_half_away(F.when(F.col(ts).isNull(), safe_ratio(F.col("_dsum_slice"), F.col("_dcnt_slice")))
+                        .otherwise(safe_ratio(F.col("_dsum_before") + F.coalesce(F.col("_dsum_loc"), F.lit(0)),
+                                              F.col("_dcnt_before") + F.col("_dcnt_loc")))).alias("AVGDELAY"),
         F.when(first, F.col("_prev_last.y")).otherwise(F.col("_lag_y")).alias("LASTLATITUDE"),
         F.when(first, F.col("_prev_last.x")).otherwise(F.col("_lag_x")).alias("LASTLONGITUDE"),
         F.coalesce(F.col("_lead_kept.rn"), F.when(F.col("_lead_kept").isNull(), F.col("_next_kept.rn")))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS, TRIP_KEYS
-from transitlens.operators.dimension import bounded_broadcast
+from transitlens.operators.dimension import bounded_broadcast, materialize
 from transitlens.operators.enrich import (DEFAULT_HOT_SLICE_ROWS, GPSY_POSITIVE, enrich_core,
                                           match_pings_to_stops, public_columns, running_avg_velocity)
 from transitlens.operators.quality import expect_or_drop
@@ -15,6 +15,7 @@ from transitlens.operators.segments import route_segment_speed
 from transitlens.operators.stops import route_first_last_stop
 from transitlens.operators.trips import trip_candidates, trips_final
 from transitlens.plans import fixtures
+from transitlens.sources.bucketed import stored_core
 
 
 @dataclass
@@ -58,11 +59,12 @@ def silver_gps_enriched(s: Silver, running_velocity: bool = True) -> DataFrame:
     """The enriched table after the drop rule.
 
     The running AVGVELOCITY column needs per-slice sums of a value that is
-    itself windowed, so the core is read twice (Spark re-runs its narrower
-    projection, a second shuffle of the pings). Trips and segments do not need
-    the column; ``running_velocity=False`` keeps the table at one shuffle.
+    itself windowed. The core is written once, bucketed on its window keys, so
+    the pings cross the network once and only per-slice sums move after that.
+    Trips and segments do not need the column: ``running_velocity=False``
+    writes nothing.
     """
-    df = running_avg_velocity(s.core) if running_velocity else s.core
+    df = running_avg_velocity(stored_core(s.core)) if running_velocity else s.core
     return public_columns(expect_or_drop(df, "gpsy_positive", GPSY_POSITIVE))
 
 
@@ -70,12 +72,13 @@ def expectation_report(bronze: DataFrame, s: Silver, flat: DataFrame) -> DataFra
     """Pass / fail counts of every expectation, each on the table it guards."""
     from transitlens.operators.quality import (BRONZE_RULES, FLAT_INPUT_RULES, FLAT_RULES, TRIPS_DROP,
                                                TRIPS_RULES, expect_warn)
-    from transitlens.operators.trips import attach_route_meta, terminal_stop_filter
-    pre_final = terminal_stop_filter(attach_route_meta(trip_candidates(s.core), s.meta))
-    final = gold_trips_final(s)
+    from transitlens.operators.trips import attach_route_meta, project_trips, terminal_stop_filter
+    core = stored_core(s.core)  # evaluated once for all rules
+    pre_final = materialize(terminal_stop_filter(attach_route_meta(trip_candidates(core), s.meta)))
+    final = project_trips(expect_or_drop(pre_final, *TRIPS_DROP))
     parts = [expect_warn(bronze, {**BRONZE_RULES, **FLAT_INPUT_RULES}),
              expect_warn(flat, FLAT_RULES),
-             expect_warn(s.core, {"gpsy_positive": GPSY_POSITIVE}),
+             expect_warn(core, {"gpsy_positive": GPSY_POSITIVE}),
              expect_warn(pre_final, {TRIPS_DROP[0]: TRIPS_DROP[1]}),
              expect_warn(final, TRIPS_RULES)]
     out = parts[0]

@@ -18,16 +18,14 @@ published tables as they were, and its staging folder is deleted.
 from __future__ import annotations
 
 import os
-import re
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS
 from transitlens.operators.dimension import bounded_broadcast
-from transitlens.operators.enrich import (GPSY_POSITIVE, SLICE_COLUMNS, enrich_core, match_pings_to_stops,
+from transitlens.operators.enrich import (GPSY_POSITIVE, enrich_core, match_pings_to_stops,
                                           public_columns, running_avg_velocity)
 from transitlens.operators.payload import flatten_pings, parse_gps_payload, stamp_ingest_time
 from transitlens.operators.quality import (BRONZE_RULES, FLAT_INPUT_RULES, FLAT_RULES, TRIPS_DROP, TRIPS_RULES,
@@ -36,6 +34,7 @@ from transitlens.operators.segments import route_segment_speed
 from transitlens.operators.stops import explode_stops, route_first_last_stop, stop_row_number
 from transitlens.operators.trips import (attach_route_meta, project_trips, terminal_stop_filter,
                                          trip_candidates)
+from transitlens.sources.bucketed import write_bucketed
 from transitlens.sources.snapshots import PARTITION_COL, read_gps_snapshots
 from transitlens.sources.stops_json import read_stops_json
 
@@ -48,8 +47,6 @@ LAYERS = ("bronze_gps_raw", "silver_gps_flat", "silver_paradas_exploded", "silve
 DATED = {"bronze_gps_raw": PARTITION_COL, "silver_gps_flat": "date", "silver_gps_enriched_core": "date",
          "silver_gps_enriched": "date", "gold_trips_candidates": "date", "gold_trips_final": "DATE",
          "gold_route_segment_speed": "date"}
-#: buckets of the core; more would only make small files
-MAX_BUCKETS = 20_000
 
 
 def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root: str,
@@ -85,8 +82,9 @@ def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root:
         meta = write("silver_routes_meta", route_first_last_stop(stops))
 
         stops_b, n_stops = bounded_broadcast(stops, broadcast_rows, already_materialized=True)
-        core = _write_bucketed(spark, staged["silver_gps_enriched_core"], core_table,
-                               lambda: enrich_core(match_pings_to_stops(flat, stops_b), slice_seconds=slice_seconds))
+        core = write_bucketed(spark, staged["silver_gps_enriched_core"], core_table,
+                              lambda: enrich_core(match_pings_to_stops(flat, stops_b), slice_seconds=slice_seconds),
+                              partition_by=DATED["silver_gps_enriched_core"])
 
         obs["enriched"] = Observation("enriched")
         write("silver_gps_enriched", public_columns(
@@ -145,26 +143,3 @@ def _publish(spark: SparkSession, staged: str, published: str, dates: list[str]
             _move(spark, os.path.join(staged, part), os.path.join(published, part))
         else:
             _delete(spark, os.path.join(published, part))
-
-
-def _write_bucketed(spark: SparkSession, path: str, table: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Write the enrichment core bucketed by (trip key stand-ins, slice), partitioned by date.
-
-    The core leaves its window exchange hash-partitioned on exactly these
-    columns. The exchange is planned with as many partitions as there are
-    buckets, so each task writes its own buckets (no second shuffle); the
-    number follows the session but stays within Spark's bucket limit. Read back
-    as a bucketed table, the running speed pass joins its per-slice sums to the
-    core without shuffling the pings again; only the small summaries move.
-    """
-    wanted = spark.conf.get("spark.sql.shuffle.partitions")
-    n = min(int(wanted), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")), MAX_BUCKETS)
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        core = build()
-        part = [c for c in core.columns if re.fullmatch(r"_k(\d+|n)", c)] + SLICE_COLUMNS
-        (core.write.mode("overwrite").option("path", path).partitionBy("date")
-         .bucketBy(n, *part).sortBy(*part).saveAsTable(table))
-        return spark.table(table).select(*core.columns)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", wanted)

@@ -34,6 +34,7 @@ from transitlens.functions.timefn import trip_duration_minutes
 from transitlens.plans import fixtures, gold
 from transitlens.plans import oracle_sql as O
 from transitlens.plans.refresh import refresh
+from transitlens.sources.bucketed import stored_core
 from transitlens.sources.layers import materialize_layers
 from transitlens.sources.snapshots import read_gps_snapshots, write_snapshots
 from transitlens.sources.stops_json import read_stops_json, write_stops_json
@@ -165,7 +166,7 @@ def q_run_delay(spark, sf):
 
 @register("running_avg_velocity", _p(f"SELECT {_ID}, VELOCITY, AVGVELOCITY FROM w4"))
 def q_run_velocity(spark, sf):
-    return running_avg_velocity(_silver(spark, sf).core).select(*PING_ID, "VELOCITY", "AVGVELOCITY")
+    return running_avg_velocity(stored_core(_silver(spark, sf).core)).select(*PING_ID, "VELOCITY", "AVGVELOCITY")
 
 
 @register("haversine_distance", _p(f"SELECT {_ID}, haversine_dist FROM w2"))
