@@ -14,6 +14,7 @@ keep column types aligned (``tools/check_types.py``), and check with
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,11 @@ from transitlens.functions.numeric import cast_delay, round_sig, scale_coordinat
 from transitlens.functions.timefn import (epoch_to_local_time, local_date, rush_hour_flag,
                                           time_of_day_bucket)
 from transitlens.operators import crawl, ordering, profile, quality
-from transitlens.operators.enrich import ENRICHED_COLUMNS, GPSY_POSITIVE, running_avg_velocity
+from transitlens.operators.dimension import bounded_broadcast
+from transitlens.operators.enrich import (ENRICHED_COLUMNS, GPSY_POSITIVE, enrich_core, match_pings_to_stops,
+                                          public_columns, running_avg_velocity)
 from transitlens.operators.payload import flatten_pings, parse_gps_payload, stamp_ingest_time
-from transitlens.operators.segments import adjacent_segment_filter, next_stop_number
+from transitlens.operators.segments import adjacent_segment_filter, next_stop_number, route_segment_speed
 from transitlens.operators.stops import explode_stops, route_first_last_stop, stop_row_number
 from transitlens.operators.trips import (CANDIDATE_COLUMNS, attach_route_meta, drop_single_ping_trips,
                                          pair_trip_endpoints, terminal_stop_filter, trip_boundaries,
@@ -90,12 +93,14 @@ def _pings(spark, sf) -> DataFrame:
 
 def _joined(spark, sf) -> DataFrame:
     """Pings matched to the (size-checked, broadcast) fixture stops."""
-    from transitlens.operators.dimension import bounded_broadcast
-    from transitlens.operators.enrich import match_pings_to_stops
     pings = _pings(spark, sf)
     return match_pings_to_stops(pings, bounded_broadcast(fixtures.fixture_stops(pings))[0])
 
 
+def _union(parts: list[str]) -> str:
+    return " UNION ALL ".join(parts)
+
+
 def _p(body: str, segments: bool = False) -> str:
     return O.medallion(body, N_BUSES, segments)
 
@@ -449,22 +454,38 @@ def q_trips_csv(spark, sf):
     return read_trips_csv(spark, out)
 
 
-@register("materialize_layers", _p("SELECT * FROM trips"))
+_LAYER_COUNTS = {
+    "bronze_gps_raw": f"(SELECT 1 FROM raw_pings GROUP BY {O.CAPTURE_KEY})", "silver_gps_flat": "pings",
+    "silver_paradas_exploded": "stops_raw", "silver_stops_routes": "stops", "silver_routes_meta": "meta",
+    "silver_gps_enriched_core": "w4", "silver_gps_enriched": "enriched", "gold_trips_candidates": "candidates",
+    "gold_trips_final": "trips", "gold_route_segment_speed": "segments"}
+
+
+@register("materialize_layers", O.medallion(
+    _union([f"SELECT '{name}' AS layer, count(*) AS n FROM {table}" for name, table in _LAYER_COUNTS.items()]),
+    N_BUSES, segments=True, from_captures=True))
 def q_layers(spark, sf):
-    from transitlens.operators.dimension import bounded_broadcast
-    from transitlens.operators.enrich import enrich_core, match_pings_to_stops
-    root = scratch_path(spark, "layers")
+    """All ten tables, each reading its upstream by name; rows published per table."""
+    events = _t(spark, sf, "events")
+    routes = fixtures.route_stop_lists(fixtures.stops_from_pings(fixtures.events_to_pings(events, N_BUSES)))
     layers = [
-        ("silver_gps_flat", lambda read: _pings(spark, sf)),
-        ("silver_stops_routes", lambda read: fixtures.fixture_stops(read("silver_gps_flat"))),
+        ("bronze_gps_raw", lambda read: stamp_ingest_time(parse_gps_payload(fixtures.events_to_snapshots(events, N_BUSES)))),
+        ("silver_gps_flat", lambda read: flatten_pings(read("bronze_gps_raw"))),
+        ("silver_paradas_exploded", lambda read: explode_stops(routes)),
+        ("silver_stops_routes", lambda read: stop_row_number(read("silver_paradas_exploded"))),
         ("silver_routes_meta", lambda read: route_first_last_stop(read("silver_stops_routes"))),
         ("silver_gps_enriched_core", lambda read: enrich_core(match_pings_to_stops(
             read("silver_gps_flat"), bounded_broadcast(read("silver_stops_routes"), already_materialized=True)[0]))),
+        ("silver_gps_enriched", lambda read: public_columns(quality.expect_or_drop(
+            running_avg_velocity(read("silver_gps_enriched_core")), "gpsy_positive", GPSY_POSITIVE))),
         ("gold_trips_candidates", lambda read: trip_candidates(read("silver_gps_enriched_core"))),
         ("gold_trips_final", lambda read: trips_final(
             read("gold_trips_candidates"), bounded_broadcast(read("silver_routes_meta"), already_materialized=True)[0])),
+        ("gold_route_segment_speed", lambda read: route_segment_speed(read("silver_gps_enriched_core"))),
     ]
-    return materialize_layers(spark, layers, root)["gold_trips_final"]
+    tables = materialize_layers(spark, layers, scratch_path(spark, "layers"))
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("layer"), "n") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # ---------------------------------------------------------------------------
@@ -571,10 +592,6 @@ def _li(spark, sf):
     return _t(spark, sf, "lineitem")
 
 
-def _union(parts: list[str]) -> str:
-    return " UNION ALL ".join(parts)
-
-
 @register("missing_values", "SELECT * FROM (" + _union(
     [f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS missing_count, "
      f"{O.rsig(f'count_if({c} IS NULL) * 100.0e0 / count(*)')} AS missing_percent FROM orders"
