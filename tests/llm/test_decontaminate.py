@@ -66,6 +66,6 @@ def test_empty_tables(spark, docs, tmp_path):
 
 
 def test_extra_columns_stay_and_clashing_names_are_replaced(spark, docs, tmp_path):
-    d = docs([(1, "a b c")], tmp_path).selectExpr("*", "'x' AS n_hit", "'y' AS _words")
+    d = docs([(1, "a b c")], tmp_path).selectExpr("*", "'x' AS N_HIT", "'y' AS _words", "'z' AS _key")
     got = decontaminate(d, spark.createDataFrame([(1, "b c")], "item_id long, text string")).first()
-    assert got["n_hit"] == 2 and got["_words"] == "y" and got["text"] == "a b c"
+    assert got["n_hit"] == 2 and got["_words"] == "y" and got["_key"] == "z" and got["text"] == "a b c"

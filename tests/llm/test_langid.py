@@ -50,10 +50,10 @@ def test_held_out_accuracy(spark):
 def test_odd_rows(spark, docs, tmp_path):
     rows = [(i, "the cat and the other thing", "en") for i in range(5)] + [(i, "der hund und die katze", "de") for i in range(5, 10)]
     rows += [(20, None, "en"), (21, "", None), (22, "12 %% 34", "de"), (None, "the thing", None), (23, "und " * 40000, None)]
-    d = docs(rows, tmp_path).selectExpr("*", "7 AS score")
+    d = docs(rows, tmp_path).selectExpr("*", "7 AS Score", "8 AS _p")
     got = {r["doc_id"]: r for r in L.identify(d, L.train(d)).collect()}
     assert [got[i]["lang_pred"] for i in (0, 5, 20, 21, 22, None, 23)] == ["en", "de", "und", "und", "und", "en", "de"]
-    assert got[22]["score"] == 0
+    assert got[22]["score"] == 0 and got[0]["_p"] == 8
     unlabelled = docs([(1, "abc", None)], tmp_path / "u")
     assert L.train(unlabelled) is None
     assert L.identify(unlabelled, None).first()["lang_pred"] == "und"

@@ -76,10 +76,10 @@ def test_groups_of_rows(spark, docs, tmp_path):
     long = " ".join(f"word{i}" for i in range(3000))
     rows = [(9, "x y z"), (4, "X y Z"), (7, None), (3, " "), (None, "x y z"), (5, long), (6, long + " more"), (5, long),
             (8, "quite another text with other words in it")]
-    d = docs(rows, tmp_path).selectExpr("*", "1 AS fp", "2 AS root")
+    d = docs(rows, tmp_path).selectExpr("*", "1 AS fp", "2 AS root", "3 AS _row")
     got = S.near_duplicates(d, 4, 4).collect()
     assert sorted((str(r["doc_id"]), r["component_id"]) for r in got) == sorted(
         [("9", 4), ("4", 4), ("None", 4), ("7", 3), ("3", 3), ("5", 5), ("6", 5), ("5", 5), ("8", 8)])
     kept = S.one_of_each_group(d, 4, 4).collect()
-    assert sorted(r["doc_id"] for r in kept) == [3, 4, 5, 8] and kept[0]["fp"] == 1
+    assert sorted(r["doc_id"] for r in kept) == [3, 4, 5, 8] and kept[0]["fp"] == 1 and kept[0]["_row"] == 3
     assert S.near_duplicates(d.limit(0), 4, 4).count() == 0

@@ -91,6 +91,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             yield batch.slice(start)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it (names compare without case, as in Spark)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def without(columns: list[str], replaced: tuple[str, ...] | list[str]) -> list[str]:
+    """Columns that an operator's own results do not replace."""
+    gone = {c.lower() for c in replaced}
+    return [c for c in columns if c.lower() not in gone]
+
+
 def within(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; looks at no more than that."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -29,7 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import broadcast_if, lower_ascii, text_key, text_or_empty, within, written
+from transitlens.llm.common import (broadcast_if, fresh, lower_ascii, text_key, text_or_empty, within, without,
+                                    written)
 
 # Fixed value: characters between words, after A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -170,11 +171,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     """``docs`` with ``n_words, n_hit, n_items, items_sha256, contaminated`` per row."""
     found = written(contamination(find_hits(docs, benchmark, text, item_id, item_text)), "contamination")
     added = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    own = [c for c in docs.columns if c not in added]
+    own = without(docs.columns, added)
+    key = fresh("_key", docs.columns)
     body = text_or_empty(text)
-    out = docs.select(*own, F.size(words(body)).cast("bigint").alias("n_words"), text_key(body).alias("_key"))
-    hit = broadcast_if(found.withColumnRenamed("text_key", "_key"), 1_000_000)
-    return out.join(hit, "_key", "left").select(
+    out = docs.select(*own, F.size(words(body)).cast("bigint").alias("n_words"), text_key(body).alias(key))
+    hit = broadcast_if(found.withColumnRenamed("text_key", key), 1_000_000)
+    return out.join(hit, key, "left").select(
         *own, "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),

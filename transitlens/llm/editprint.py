@@ -225,21 +225,23 @@ def edit_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         printer = Printer()
         kept: list = []  # the row whose successor is not read yet
         edge = None
+        id_type = None
         for piece in slices(batches, "text"):
+            id_type = piece.schema.field("doc_id").type
             ids = [*[k[0] for k in kept], *piece.column("doc_id").to_pylist()]
             texts = [*[k[1] for k in kept], *map(points_of, piece.column("text").to_pylist())]
             edits = [_edited(a, b) for a, b in zip(texts, texts[1:])]
             own, changed = printer(texts, [*edits, (0, points_of(""))])
             if edge is None:
                 edge = (texts[0], own[0])
-                yield _batch([(None,) * 7], kind, [part], ["first"], [_text(texts[0])], [own[0]])
+                yield _batch([(None,) * 7], id_type, [part], ["first"], [_text(texts[0])], [own[0]])
             out = [_row(i, t, cut, more, f, e, g) for i, t, (cut, more), f, e, g in
                    zip(ids, texts, edits, own, changed, own[1:])]
             if out:
-                yield _batch(out, kind, [part] * len(out), [None] * len(out), [None] * len(out), [None] * len(out))
+                yield _batch(out, id_type, [part] * len(out), [None] * len(out), [None] * len(out), [None] * len(out))
             kept = [(ids[-1], texts[-1], own[-1])]
         for i, t, f in kept:
-            yield _batch([(i,) + (None,) * 6], kind, [part], ["last"], [_text(t)], [f])
+            yield _batch([(i,) + (None,) * 6], id_type, [part], ["last"], [_text(t)], [f])
 
     edge_cols = "part int, edge string, edge_text string, edge_print string"
     made = written(dealt.mapInArrow(run, f"doc_id {kind}, {SCHEMA}, {edge_cols}"), "edit-prints")
@@ -261,7 +263,7 @@ def edit_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             changed = printer(points, edits)[1]
             out = [_row(i, p, cut, more, f, e, g) for i, p, (cut, more), f, e, g in
                    zip(ids, points, edits, own, changed, prints, strict=True)]
-            yield _batch(out, kind)
+            yield _batch(out, b.schema.field("doc_id").type)
 
     ends = lasts.select("doc_id", "edge_text", "edge_print", "_text", "_print").mapInArrow(close, f"doc_id {kind}, {SCHEMA}")
     return made.where("edge IS NULL").select(*_NAMES).unionByName(ends)
@@ -271,8 +273,7 @@ def _text(points: np.ndarray) -> str:
     return points.astype("<u4").tobytes().decode("utf-32-le")
 
 
-def _batch(rows: list[tuple], kind: str, *edges: list) -> pa.RecordBatch:
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+def _batch(rows: list[tuple], id_type: pa.DataType, *edges: list) -> pa.RecordBatch:
     types = [id_type, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
     names, arrays = list(_NAMES), [pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)]
     if edges:

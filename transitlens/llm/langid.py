@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from transitlens.llm.common import fresh, without
+
 
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3, 4)
@@ -39,7 +41,7 @@ RIDGE = 1e-3
 
 # ASCII bytes other than letters become blanks; bytes of other characters stay.
 _TO_BLANK = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile("[A-Za-z]")
 
 
 def presence(text: str, seen: np.ndarray) -> np.ndarray:
@@ -58,6 +60,10 @@ def presence(text: str, seen: np.ndarray) -> np.ndarray:
     return found
 
 
+def has_letter(text: str) -> bool:
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -133,9 +139,10 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     def predict(texts: pa.Array) -> pa.Array:
         return judged(texts, sent.value and Model(*sent.value))
 
-    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    out = docs.select(*own, predict(F.col(text)).alias("_p"))
-    return out.select(*own, F.col("_p.lang_pred").alias("lang_pred"), F.col("_p.score").alias("score"))
+    own = without(docs.columns, ("lang_pred", "score"))
+    p = fresh("_p", own)
+    out = docs.select(*own, predict(F.col(text)).alias(p))
+    return out.select(*own, F.col(p)["lang_pred"].alias("lang_pred"), F.col(p)["score"].alias("score"))
 
 
 def judged(texts: pa.Array, model: Model | None) -> pa.StructArray:
@@ -152,7 +159,7 @@ def judged(texts: pa.Array, model: Model | None) -> pa.StructArray:
 
     for i, v in enumerate(texts):
         t = v.as_py()
-        if model is None or t is None or not _LETTER.search(t):
+        if model is None or t is None or not has_letter(t):
             continue
         at.append(i)
         batch.append(t)

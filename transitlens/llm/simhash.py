@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import broadcast_if, written
+from transitlens.llm.common import broadcast_if, fresh, written
 from transitlens.llm.components import roots
 
 # Fixed values of the fingerprint.
@@ -178,11 +178,12 @@ def one_of_each_group(docs: DataFrame, shingle: int, max_bits: int, doc_id: str
 
     ``docs`` must be a stored table, whose row positions are the same each time it is read.
     """
-    placed = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = near_duplicates(placed, shingle, max_bits, doc_id, text, carry=("_row",))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id"), F.col("_row")))
-    winners = found.groupBy("root").agg(first.alias("w")).select(F.col("w._row").alias("_row"))
-    return placed.join(broadcast_if(written(winners, "winners"), 1_000_000), "_row", "left_semi").select(*docs.columns)
+    row = fresh("_row", docs.columns)
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    found = near_duplicates(placed, shingle, max_bits, doc_id, text, carry=(row,))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id"), F.col(row).alias("row")))
+    winners = written(found.groupBy("root").agg(first.alias("w")).select(F.col("w.row").alias(row)), "winners")
+    return placed.join(broadcast_if(winners, 1_000_000), row, "left_semi").select(*docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:
