@@ -75,11 +75,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or d
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) objects of a folder in any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the session's own folder under the shared root; the folder goes with the session."""
     own = os.path.join(checkpoint_root(spark), f"transitlens-{spark.sparkContext.applicationId}")
-    p = spark._jvm.org.apache.hadoop.fs.Path(own)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = file_system(spark, own)
     fs.mkdirs(p)
     fs.deleteOnExit(p)
     return os.path.join(own, f"{name}-{uuid.uuid4().hex[:12]}")

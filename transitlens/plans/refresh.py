@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS
+from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS, file_system
 from transitlens.operators.dimension import bounded_broadcast
 from transitlens.operators.enrich import (GPSY_POSITIVE, enrich_core, match_pings_to_stops,
                                           public_columns, running_avg_velocity)
@@ -110,20 +110,15 @@ def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root:
         _delete(spark, staging)
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     fs.delete(p, True)
 
 
 def _move(spark: SparkSession, source: str, target: str) -> None:
     """Replace ``target`` by ``source``, a rename on the shared file system."""
-    fs, p = _fs(spark, source)
-    _, t = _fs(spark, target)
+    fs, p = file_system(spark, source)
+    _, t = file_system(spark, target)
     fs.delete(t, True)
     fs.mkdirs(t.getParent())
     if not fs.rename(p, t):
@@ -135,11 +130,11 @@ def _publish(spark: SparkSession, staged: str, published: str, dates: list[str]
     if dates is None:
         _move(spark, staged, published)
         return
-    fs, p = _fs(spark, published)
+    fs, p = file_system(spark, published)
     fs.mkdirs(p)
     for date in dates:
         part = f"{column}={date}"
-        if fs.exists(_fs(spark, os.path.join(staged, part))[1]):
+        if fs.exists(file_system(spark, os.path.join(staged, part))[1]):
             _move(spark, os.path.join(staged, part), os.path.join(published, part))
         else:
             _delete(spark, os.path.join(published, part))
