@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from transitlens.operators import crawl
 from transitlens.operators.payload import flatten_pings, parse_gps_payload
