@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,24 +9,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.config import scratch_path
+from transitlens.config import file_system, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: the white space of the word rules: blank and 0x09 to 0x0D
 BLANKS = " \t\n\x0b\x0c\r"
-ASCII_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as Parquet in the shared folder, read back.
 
@@ -36,8 +29,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    fs, p = _fs(spark, path)
-    fs.deleteOnExit(p)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
@@ -46,7 +37,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table of ``written`` that nothing reads any more."""
-    fs, p = _fs(df.sparkSession, df.scratch)
+    fs, p = file_system(df.sparkSession, df.scratch)
     fs.delete(p, True)
 
 
@@ -68,10 +59,6 @@ def id_bucket(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-def py_id_bucket(doc_id, n: int) -> int:
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % n
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20,
            max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of ``column``.

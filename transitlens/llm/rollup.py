@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import BLANKS, _fs, text_or_empty
+from transitlens.config import file_system
+from transitlens.llm.common import BLANKS, text_or_empty
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -57,7 +58,7 @@ class TokenRollup:
         self.spark, self.path = spark, path
 
     def _exists(self, path: str) -> bool:
-        fs, p = _fs(self.spark, path)
+        fs, p = file_system(self.spark, path)
         return fs.exists(p)
 
     def _batch(self, batch_id: int) -> str:
@@ -65,7 +66,7 @@ class TokenRollup:
 
     def base_path(self) -> str | None:
         """The newest complete base; a base is complete when its list of batches is written."""
-        fs, p = _fs(self.spark, f"{self.path}/base")
+        fs, p = file_system(self.spark, f"{self.path}/base")
         if not fs.exists(p):
             return None
         done = [str(s.getPath()) for s in fs.listStatus(p) if self._exists(f"{s.getPath()}/batches/_SUCCESS")]
@@ -88,7 +89,7 @@ class TokenRollup:
         return True
 
     def committed(self) -> list[int]:
-        fs, p = _fs(self.spark, f"{self.path}/deltas")
+        fs, p = file_system(self.spark, f"{self.path}/deltas")
         if not fs.exists(p):
             return []
         return sorted(int(s.getPath().getName().rpartition("=")[2]) for s in fs.listStatus(p)
@@ -117,5 +118,5 @@ class TokenRollup:
         ids = [(b,) for b in sorted(folded | set(batches))]
         self.spark.createDataFrame(ids, "batch long").coalesce(1).write.mode("overwrite").parquet(f"{new}/batches")
         for b in batches:
-            fs, p = _fs(self.spark, self._batch(b))
+            fs, p = file_system(self.spark, self._batch(b))
             fs.delete(p, True)
