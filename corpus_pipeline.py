@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.llm import langid, packing, pii, simhash
-from transitlens.llm.common import discard, id_bucket, load, written
+from transitlens.llm.common import discard, id_bucket, load, small_batches, written
 from transitlens.llm.decontaminate import decontaminate
 
 SHINGLE = 4
@@ -26,6 +26,7 @@ LEAST_SCORE = 0.1
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; a missing ``lang`` is filled by the prediction."""
+    small_batches(spark)
     model = langid.train(docs.where(id_bucket(F.col("doc_id"), 4) != 2))
     judged = langid.identify(docs, model)
     kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
@@ -34,6 +35,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return simhash.one_of_each_group(docs, SHINGLE, MAX_BITS)
 
 
@@ -45,6 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind and ``n_chars`` counted anew."""
+    small_batches(spark)
     found = pii.find_pii(docs, pii.train(docs), redact=True)
     changed = found.withColumn("text", F.col("redacted"))
     changed = changed.withColumn("n_chars", F.when(F.col("n_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -54,6 +57,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, packed into sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 

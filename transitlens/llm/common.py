@@ -59,23 +59,41 @@ def id_bucket(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows where the session keeps Spark's default of 10,000.
+
+    Texts are long rows: ten thousand of them at once cost every Python worker
+    and its executor some hundred MB for nothing.
+    """
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, "1000")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20,
            max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that one piece holds about ``max_bytes`` of ``column``.
+    """Cut and join Arrow batches so that one piece holds about ``max_bytes`` of ``column``.
 
     Bounds the working set of a task whatever the length of single texts; a
     text longer than the bound is a piece of its own.
     """
+    held: list[pa.RecordBatch] = []
+    total = rows = 0
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-        start, total = 0, 0
+        start = 0
         for i, n in enumerate(sizes):
-            if i > start and (total + n > max_bytes or i - start >= max_rows):
-                yield batch.slice(start, i - start)
-                start, total = i, 0
+            if rows and (total + n > max_bytes or rows >= max_rows):
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                yield pa.concat_batches(held)
+                held, start, total, rows = [], i, 0, 0
             total += n
+            rows += 1
         if len(sizes) > start:
-            yield batch.slice(start)
+            held.append(batch.slice(start))
+    if held:
+        yield pa.concat_batches(held)
 
 
 def fresh(name: str, taken: list[str]) -> str:

@@ -141,7 +141,8 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
 
     own = without(docs.columns, ("lang_pred", "score"))
     p = fresh("_p", own)
-    out = docs.select(*own, predict(F.col(text)).alias(p))
+    # Marked nondeterministic so that a filter on the result is not pushed below it, which would run it twice.
+    out = docs.select(*own, predict.asNondeterministic()(F.col(text)).alias(p))
     return out.select(*own, F.col(p)["lang_pred"].alias("lang_pred"), F.col(p)["score"].alias("score"))
 
 

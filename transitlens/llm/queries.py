@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from transitlens.llm import sharding as _sharding
 from transitlens.llm import simhash as _simhash
 from transitlens.llm import styletree as _styletree
 from transitlens.config import scratch_path
-from transitlens.llm.common import id_bucket, load
+from transitlens.llm.common import id_bucket, load, small_batches
 
 N_SHARDS = 16
 SHINGLE = 4
@@ -98,17 +99,26 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pii.find_pii(docs, _pii.train(docs)).drop("text")
 
 
+def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_html": op1_html,
-    "op2_language_model": op2_language_model,
+    "op1_html": _bounded(op1_html),
+    "op2_language_model": _bounded(op2_language_model),
     "op3_sharding": op3_sharding,
-    "op4_packing": op4_packing,
-    "op5_fingerprints": op5_fingerprints,
-    "op6_language": op6_language,
+    "op4_packing": _bounded(op4_packing),
+    "op5_fingerprints": _bounded(op5_fingerprints),
+    "op6_language": _bounded(op6_language),
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
-    "op9_simhash": op9_simhash,
-    "op10_pii": op10_pii,
+    "op9_simhash": _bounded(op9_simhash),
+    "op10_pii": _bounded(op10_pii),
 }
 
 # The others need trained models, 64-bit hashes of shingles, or a BPE: tests hold them against brute force.
