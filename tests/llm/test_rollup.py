@@ -51,3 +51,9 @@ def test_revision_and_delete_leave_nothing(spark, tmp_path):
     store.apply(2, R.counted(docs, "words-1", -1))
     store.apply(3, R.counted(docs.limit(0), "words-1"))
     assert store.totals().count() == 0 and store.committed() == [1, 2, 3]
+
+
+def test_counts_with_and_without_repeated_lines(spark):
+    df = spark.createDataFrame([("a b\nc, d\na b",), ("one two",), (None,), ("",), ("x\nx",)], "text string")
+    got = [tuple(r) for r in R.with_counts(df).collect()]
+    assert got == [(6, 7, 4, 5), (2, 2, 2, 2), (0, 0, 0, 0), (0, 0, 0, 0), (2, 2, 1, 1)]

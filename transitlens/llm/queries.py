@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.llm import decontaminate as _decontaminate
@@ -20,7 +20,7 @@ from transitlens.llm import sharding as _sharding
 from transitlens.llm import simhash as _simhash
 from transitlens.llm import styletree as _styletree
 from transitlens.config import scratch_path
-from transitlens.llm.common import id_bucket, load, small_batches
+from transitlens.llm.common import id_bucket, load, small_batches, written
 
 N_SHARDS = 16
 SHINGLE = 4
@@ -66,25 +66,23 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines stays); the delete drops documents labelled toxic, with their revised counts.
     """
     docs = load(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    counts = written(_rollup.with_counts(docs), "token-counts")  # texts are read once and never shuffled
     labels = (load(spark, sf_dir, "labels").groupBy("doc_id")
               .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")))
-    judged = docs.join(labels, "doc_id")
+    judged = counts.join(labels, "doc_id")
     low = judged.where("quality = 0")
-    once = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
-    revised = F.when(F.col("quality") == 0, once).otherwise(F.col("text"))
-    current = judged.where("toxic = 1").withColumn("text", revised)
     store = _rollup.TokenRollup(spark, scratch_path(spark, "token-rollup"))
-    versions = sorted(_rollup.TOKENIZERS)
 
-    def all_versions(frame: DataFrame, sign: int) -> DataFrame:
-        out = [_rollup.counted(frame, v, sign) for v in versions]
-        return out[0].unionByName(out[1])
+    def rows(frame: DataFrame, sign: int, tokens: Callable[[str], Column]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [_rollup.signed(frame, v, tokens(v), sign) for v in _rollup.TOKENIZERS])
 
-    revision = all_versions(low, -1).unionByName(all_versions(low.withColumn("text", once), 1))
-    store.apply(1, _rollup.counted(docs, versions[0]))
-    store.apply(2, _rollup.counted(docs, versions[1]))
+    revision = rows(low, -1, F.col).unionByName(rows(low, 1, lambda v: F.col(f"{v} once")))
+    delete = rows(judged.where("toxic = 1"), -1,
+                  lambda v: F.when(F.col("quality") == 0, F.col(f"{v} once")).otherwise(F.col(v)))
+    for batch, version in enumerate(_rollup.TOKENIZERS, 1):
+        store.apply(batch, _rollup.signed(counts, version, F.col(version)))
     store.apply(3, revision)
-    store.apply(4, all_versions(current, -1))
+    store.apply(4, delete)
     store.apply(3, revision)  # a repeated batch changes nothing
     return store.totals()
 

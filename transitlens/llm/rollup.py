@@ -35,12 +35,30 @@ TOKENIZERS = {
 }
 
 
-def counted(docs: DataFrame, tokenizer: str, sign: Column | int = 1, text: str = "text") -> DataFrame:
-    """Signed count rows of documents: ``source, lang, tokenizer, tokens, sign``."""
-    n = TOKENIZERS[tokenizer](text_or_empty(text)).cast("bigint")
+def signed(docs: DataFrame, tokenizer: str, tokens: Column, sign: Column | int = 1) -> DataFrame:
+    """Signed count rows of counted documents: ``source, lang, tokenizer, tokens, sign``."""
     sign = F.lit(sign) if isinstance(sign, int) else sign
-    return docs.select(F.col("source"), F.col("lang"), F.lit(tokenizer).alias("tokenizer"), n.alias("tokens"),
-                       sign.cast("int").alias("sign"))
+    return docs.select(F.col("source"), F.col("lang"), F.lit(tokenizer).alias("tokenizer"),
+                       tokens.cast("bigint").alias("tokens"), sign.cast("int").alias("sign"))
+
+
+def counted(docs: DataFrame, tokenizer: str, sign: Column | int = 1, text: str = "text") -> DataFrame:
+    """Signed count rows straight from texts."""
+    return signed(docs, tokenizer, TOKENIZERS[tokenizer](text_or_empty(text)), sign)
+
+
+def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the text but with its counts by every tokenizer, ``{version}``, and those of the text
+    without its repeated lines, ``{version} once`` (equal where no line repeats, and then not counted again)."""
+    d = docs.withColumn("_lines", F.split(text_or_empty(text), "\n"))
+    d = d.withColumn("_once", F.array_distinct("_lines"))
+    counts = {v: f(text_or_empty(text)).cast("bigint") for v, f in TOKENIZERS.items()}
+    for v, n in counts.items():
+        d = d.withColumn(v, n)
+    repeats = F.size("_once") < F.size("_lines")
+    for v, f in TOKENIZERS.items():
+        d = d.withColumn(f"{v} once", F.when(repeats, f(F.array_join("_once", "\n")).cast("bigint")).otherwise(F.col(v)))
+    return d.drop("_lines", "_once", text)
 
 
 def net(rows: DataFrame) -> DataFrame:
