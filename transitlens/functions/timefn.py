@@ -42,16 +42,21 @@ def trip_duration_minutes(start, end) -> Column:
     return F.floor(secs / F.lit(60.0) + F.lit(0.5)).cast("double")
 
 
+# The published time-of-day and rush-hour bounds, in whole hours, both ends included.
+TIMES_OF_DAY = {"morning": (4, 11), "afternoon": (12, 17), "evening": (18, 23)}
+OTHER_TIME = "night"
+RUSH_HOURS = ((6, 9), (16, 19))
+
+
 def time_of_day_bucket(ts) -> Column:
-    """Start hour 4-11 morning, 12-17 afternoon, 18-23 evening, else night."""
-    h = F.hour(_c(ts))
-    return (F.when(h.between(4, 11), F.lit("morning"))
-            .when(h.between(12, 17), F.lit("afternoon"))
-            .when(h.between(18, 23), F.lit("evening"))
-            .otherwise(F.lit("night")))
+    """Name of the time of day of a start; ``OTHER_TIME`` for all other hours and for null."""
+    hour = F.hour(_c(ts))
+    names = [F.when(hour.between(*bounds), F.lit(name)) for name, bounds in TIMES_OF_DAY.items()]
+    return F.coalesce(*names, F.lit(OTHER_TIME))
 
 
 def rush_hour_flag(ts) -> Column:
-    """Start hour 6-9 or 16-19, inclusive. A null hour gives false."""
-    h = F.hour(_c(ts))
-    return F.coalesce(h.between(6, 9) | h.between(16, 19), F.lit(False))
+    """Whether a start falls in a rush hour. A null hour gives false."""
+    hour = F.hour(_c(ts))
+    inside = [F.coalesce(hour.between(*bounds), F.lit(False)) for bounds in RUSH_HOURS]
+    return inside[0] | inside[1]

@@ -56,6 +56,5 @@ def observe_warn(df: DataFrame, rules: dict, observation: Observation, table: st
 BRONZE_RULES = {"bronze_has_gps_data_parsed": "gps_data_parsed IS NOT NULL"}
 FLAT_INPUT_RULES = {"valid_gps_array": "gps_data_parsed IS NOT NULL AND size(gps_data_parsed) > 0"}
 FLAT_RULES = {"gps_has_timestamp": "timestamp IS NOT NULL"}
-ENRICHED_DROP = ("gpsy_positive", "GPSY IS NOT NULL AND GPSY > 1")
 TRIPS_DROP = ("valid_trip_duration", "TRIPDURATION IS NOT NULL AND TRIPDURATION > 0")
 TRIPS_RULES = {"avgvelocity_reasonable": "AVGVELOCITY IS NULL OR (AVGVELOCITY > 0.01 AND AVGVELOCITY < 100)"}
