@@ -84,3 +84,34 @@ def test_nothing_to_learn_from(spark, docs, tmp_path):
     assert got[1]["n_known"] == 0 and got[1]["train_tokens"] == 0 and math.isfinite(got[1]["score"])
     assert got[1]["base_score"] == pytest.approx(0.0)
     assert M.score(d.limit(0), id_bucket(d["doc_id"], 10) == 0, rounds=1).count() == 0
+
+
+def test_leaves_of_a_tail_class_are_a_distribution():
+    rnd = np.random.default_rng(2)
+    depth = 2
+    shares = M.tail_shares(rnd.random(M.TAIL_CLASSES * M.WIDTH ** depth) + 0.1, depth)
+    weights = rnd.integers(-60, 60, ((1 << M.BLOCK_BITS) * M.BLOCK_ROWS, M.WIDTH)).astype(np.int8)
+    path = np.arange(M.WIDTH ** depth, dtype=np.uint64)
+    klass = np.full(len(path), 3)
+    one, two = np.full(len(path), 77, np.uint64), np.full(len(path), 99, np.uint64)
+    p = np.exp(M.log_tail(klass, path, one, two, [np.log(s) for s in shares], weights))
+    assert p.sum() == pytest.approx(1.0, rel=1e-5) and p.std() > 0
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_words_past_the_head_learn_their_contexts(spark, docs, tmp_path, apart):
+    rnd = np.random.default_rng(3)
+    common = [f"c{i}" for i in range(M.HEAD)]
+    pairs = [(f"left{i}x{i * 7 % 97}", f"right{i}y{i * 5 % 89}") for i in range(400)]
+
+    def text(chosen, order):
+        between = rnd.choice(common, len(chosen)) if apart else [""] * len(chosen)
+        return " ".join(f"{pairs[a][0]} {m} {pairs[b][1]}" for a, m, b in zip(chosen, between, order))
+
+    rows = [(i, text(c, c)) for i, c in ((i, rnd.integers(0, 400, 40)) for i in range(1, 200))]
+    rows += [(1000 + i, " ".join(common) + " " + " ".join(common)) for i in range(100)]
+    chosen = rnd.integers(0, 400, 400)
+    rows += [(-1, text(chosen, chosen)), (-2, text(chosen, rnd.permutation(chosen)))]
+    d = docs(rows, tmp_path)
+    got = {r["doc_id"]: r["score"] for r in M.score(d, d["doc_id"] < 0, rounds=3).where("held_out").collect()}
+    assert got[-1] - got[-2] > 0.5 * len(chosen)

@@ -9,9 +9,12 @@ follows languages and word endings. With the two words before it as context,
 
 The first factor is a softmax over classes, the second one over the words of a
 head class; both sum weights of hashed features: bias, bigram, skip (the word
-before the last) and, for classes, trigram. Inside a tail class words keep their
-smoothed share of the class's training tokens, unseen words counting as one
-more type, so the whole is a proper distribution.
+before the last) and, for classes, trigram. A tail class is a tree of ``WIDTH``-way
+softmaxes along the digits of a word's hash, as deep as the vocabulary needs;
+each sums its bias and hashed bigram and skip features of the two real words
+before. Inside a leaf words keep their smoothed share of the leaf's training
+tokens, unseen words counting as one more type, so the whole is a proper
+distribution.
 
 Training sees every training text: words are counted, texts become symbols
 (head words and tail classes), and counts of symbol trigrams, at most the cube
@@ -20,6 +23,13 @@ of that table sums what its contexts observe and what the model expects for
 each hashed feature - the two halves of the gradient - and the weights move by a
 step scaled to their ratio, which stays bounded whatever a feature's frequency.
 
+For tail words the statistics are pairs (hashed context word, hashed word), of
+neighbours and of words one apart, over all training texts; they grow with the
+corpus and are shuffled by the block of weights that they touch, so each block's
+sums are complete in one task. Their weights start from the tree's biases, where
+the expectation of both feature kinds follows from pairs alone, and take one
+iterative-scaling step (half the log ratio, as two features are active).
+
 Scoring looks up the factors of each context in batches. Counts of words come
 from a broadcast dictionary of bounded size for frequent words, and from a join
 for all others.
@@ -36,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +71,20 @@ PARTITIONS = 12
 HOT_WORDS = 1 << 17
 SMOOTH = 0.1
 END = b""
+#: a tail tree is deepened until its leaves hold at most so many distinct words on average
+LEAF_WORDS = 128
+MAX_DEPTH = 6
+#: hashed rows of tail weights, in blocks that one task sums; weights are kept in steps of 1 / STEP
+BLOCK_BITS = 10
+BLOCK_ROWS = 1 << 11
+STEP = 32
+TAIL_RATE = 0.5
+TAIL_PRIOR = 2.0
+#: pairs that a task counts before it sends them on
+PAIRS_HELD = 1 << 20
+TAIL_PARTITIONS = 64
+#: context of a text's first words
+NO_WORD = 1
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -124,21 +149,25 @@ class Lexicon:
         self.index = {w: i for i, (w, _) in enumerate(hot)}
         self.counts = np.array([c for _, c in hot] + [0], np.float64)
         self.symbols = np.array([i if i < HEAD else HEAD + tail_class(w) for i, (w, _) in enumerate(hot)] + [0], np.int64)
+        self.hashes = np.array([zlib.crc32(w) for w, _ in hot] + [0], np.uint64)
 
-    def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Of a batch: lengths, hot index (-1: none), symbol and context of every token, and each text's rare words."""
-        get, flat, lengths, rare, rare_class = self.index.get, [], [], [], []
+    def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
+        """Of a batch: lengths, hot index (-1: none), symbol, context and hash of every token, and each text's rare words."""
+        get, flat, lengths, rare, rare_class, rare_hash = self.index.get, [], [], [], [], []
         for t in texts:
             words = words_of(t)
             own = [get(w, -1) for w in words]
             missing = [w for w, i in zip(words, own) if i < 0] if -1 in own else []
             rare_class += [tail_class(w) for w in missing]
+            rare_hash += map(zlib.crc32, missing)
             rare.append(missing)
             flat += own
             lengths.append(len(own))
         hot = np.array(flat, np.int64)
         symbol = self.symbols[hot]
         symbol[hot < 0] = HEAD + np.array(rare_class, np.int64)
+        hashes = self.hashes[hot]
+        hashes[hot < 0] = np.array(rare_hash, np.uint64)
         size = np.array(lengths, np.int64)
         first = np.cumsum(size) - size
         one = np.empty_like(symbol)
@@ -147,18 +176,17 @@ class Lexicon:
         two = np.empty_like(symbol)
         two[1:] = one[:-1]
         two[first] = START
-        return size, hot, symbol, two * SYMBOLS + one, rare
+        return size, hot, symbol, two * SYMBOLS + one, hashes, rare
 
 
-def trigram_counts(texts: DataFrame, hot: list[tuple[bytes, int]]) -> DataFrame:
+def trigram_counts(texts: DataFrame, sent: Broadcast) -> DataFrame:
     """``code, n``: how often each symbol follows each context, over all texts."""
-    sent = texts.sparkSession.sparkContext.broadcast(hot[:HEAD])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(sent.value)
         codes, n = np.empty(0, np.int64), np.empty(0, np.int64)
         for part in slices(batches, "text"):
-            _, _, symbol, context, _ = lexicon.read(_binary(part, "text"))
+            _, _, symbol, context, _, _ = lexicon.read(_binary(part, "text"))
             new, k = np.unique(context * SYMBOLS + symbol, return_counts=True)
             both, where = np.unique(np.concatenate([codes, new]), return_inverse=True)
             codes, n = both, np.bincount(where, np.concatenate([n, k])).astype(np.int64)
@@ -168,11 +196,15 @@ def trigram_counts(texts: DataFrame, hot: list[tuple[bytes, int]]) -> DataFrame:
     return texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _hash(kind: int, x: np.ndarray, rows: int) -> np.ndarray:
+def _mixed(kind: int, x: np.ndarray) -> np.ndarray:
     z = x.astype(np.uint64) + np.uint64((kind + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((z ^ (z >> np.uint64(31))) % np.uint64(rows)).astype(np.int64)
+    return z ^ (z >> np.uint64(31))
+
+
+def _hash(kind: int, x: np.ndarray, rows: int) -> np.ndarray:
+    return (_mixed(kind, x) % np.uint64(rows)).astype(np.int64)
 
 
 def class_features(context: np.ndarray) -> np.ndarray:
@@ -300,6 +332,159 @@ def log_head(context: np.ndarray, symbol: np.ndarray, shares, norm, near, skip)
     return out
 
 
+def tail_depth(types: int) -> int:
+    """Levels of a tail tree, so that leaves hold ``LEAF_WORDS`` of ``types`` words or fewer on average."""
+    depth = 1
+    while depth < MAX_DEPTH and TAIL_CLASSES * WIDTH ** depth * LEAF_WORDS < types:
+        depth += 1
+    return depth
+
+
+def tail_shares(mass: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Of every level, the share of each digit in its node, from the mass of the leaves."""
+    out = []
+    for k in range(depth - 1, -1, -1):
+        by_digit = mass.reshape(TAIL_CLASSES, WIDTH, WIDTH ** k).transpose(0, 2, 1).reshape(-1, WIDTH)
+        mass = by_digit.sum(1)
+        out.append((by_digit / mass[:, None]).astype(np.float32))
+    return out[::-1]
+
+
+def _paths(hashes: np.ndarray, depth: int) -> np.ndarray:
+    return (hashes.astype(np.uint64) >> np.uint64(8)) & np.uint64(WIDTH ** depth - 1)
+
+
+def _contexts(hashes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word before each token and of the one before that."""
+    first = np.cumsum(size) - size
+    one = np.empty_like(hashes)
+    one[1:] = hashes[:-1]
+    one[first] = NO_WORD
+    two = np.empty_like(hashes)
+    two[1:] = one[:-1]
+    two[first] = NO_WORD
+    return one, two
+
+
+def _groups(kind: int, context: np.ndarray, klass: np.ndarray) -> np.ndarray:
+    """Feature kind, context word and tail class as one number."""
+    return context.astype(np.uint64) << np.uint64(8) | np.uint64(kind << 4) | klass.astype(np.uint64)
+
+
+def _tail_rows(mixed: np.ndarray, level: int, prefix: np.ndarray) -> np.ndarray:
+    """Rows within the block ``mixed >> (64 - BLOCK_BITS)`` of the weights of a group at a node."""
+    return _hash(level, mixed ^ (prefix << np.uint64(20)), BLOCK_ROWS)
+
+
+def tail_pairs(texts: DataFrame, sent: Broadcast, depth: int) -> DataFrame:
+    """``block, pairs, n``: (group of a context word, path of a tail word) and their counts, packed by block of weights."""
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        code, n = np.unique(np.concatenate(held), return_counts=True)
+        block = (_mixed(0, code >> np.uint64(24)) >> np.uint64(64 - BLOCK_BITS)).astype(np.int16)
+        order = np.argsort(block, kind="stable")
+        code, n, block = code[order], n[order].astype("<u4"), block[order]
+        own, at = np.unique(block, return_index=True)
+        ends = np.append(at[1:], len(code))
+        # byte planes of sorted numbers compress well
+        return pa.RecordBatch.from_arrays(
+            [pa.array(own.astype(np.int32)),
+             pa.array([np.ascontiguousarray(code[a:b].astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+                       for a, b in zip(at, ends)], pa.binary()),
+             pa.array([np.ascontiguousarray(n[a:b].view(np.uint8).reshape(-1, 4).T).tobytes()
+                       for a, b in zip(at, ends)], pa.binary())], ["block", "pairs", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, held, total = Lexicon(sent.value), [], 0
+        for part in slices(batches, "text", 2 << 20):
+            size, _, symbol, _, hashes, _ = lexicon.read(_binary(part, "text"))
+            tail = np.flatnonzero(symbol >= HEAD)
+            klass, path = symbol[tail] - HEAD, _paths(hashes[tail], depth)
+            for kind, context in enumerate(_contexts(hashes, size)):
+                held.append(_groups(kind, context[tail], klass) << np.uint64(24) | path)
+                total += len(tail)
+            if total > PAIRS_HELD:
+                yield packed(held)
+                held, total = [], 0
+        if total:
+            yield packed(held)
+
+    return texts.select("text").mapInArrow(run, "block int, pairs binary, n binary")
+
+
+def _unpacked(blob: bytes, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def tail_sums(code: np.ndarray, n: np.ndarray, shares: list[np.ndarray], seen: np.ndarray, expected: np.ndarray) -> None:
+    """Add what counted pairs of one block observe, and what the biases expect, to the block's rows."""
+    group, path = code >> np.uint64(24), code & np.uint64((1 << 24) - 1)
+    mixed, klass = _mixed(0, group), group & np.uint64(TAIL_CLASSES - 1)
+    for k, share in enumerate(shares):
+        prefix = path & np.uint64(WIDTH ** k - 1)
+        digit = ((path >> np.uint64(4 * k)) & np.uint64(WIDTH - 1)).astype(np.int64)
+        row = _tail_rows(mixed, k, prefix)
+        seen += np.bincount(row * WIDTH + digit, n, seen.size).reshape(seen.shape)
+        order = np.argsort(row.astype(np.int16), kind="stable")
+        own, at = np.unique(row[order], return_index=True)
+        node = (klass << np.uint64(4 * k) | prefix).astype(np.int64)[order]
+        expected[own] += np.add.reduceat(share[node] * n[order, None].astype(np.float32), at, axis=0)
+
+
+def tail_weights(pairs: DataFrame, shares: list[np.ndarray]) -> np.ndarray:
+    """Weights of all blocks, in steps of 1 / STEP; a block's pairs meet in one task."""
+    sent = pairs.sparkSession.sparkContext.broadcast(shares)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        total = 0
+        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def add(block: int) -> None:
+            if block not in sums:
+                sums[block] = tuple(np.zeros((BLOCK_ROWS, WIDTH)) for _ in range(2))
+            code, n = (np.concatenate(x) for x in zip(*held.pop(block)))
+            tail_sums(code, n, sent.value, *sums[block])
+
+        for b in batches:
+            for block, codes, n in zip(*(b.column(c).to_pylist() for c in ("block", "pairs", "n"))):
+                held.setdefault(block, []).append((_unpacked(codes, "<u8"), _unpacked(n, "<u4")))
+                total += len(held[block][-1][0])
+            if total > PAIRS_HELD:
+                for block in list(held):
+                    add(block)
+                total = 0
+        for block in list(held):
+            add(block)
+        for block, (seen, expected) in sums.items():
+            w = TAIL_RATE * np.log((seen + TAIL_PRIOR) / (expected + TAIL_PRIOR))
+            small = np.clip(np.rint(w * STEP), -127, 127).astype(np.int8)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([small.tobytes()], pa.binary())],
+                                             ["block", "w"])
+
+    out = np.zeros((1 << BLOCK_BITS, BLOCK_ROWS, WIDTH), np.int8)
+    for r in pairs.repartition(TAIL_PARTITIONS, "block").mapInArrow(run, "block int, w binary").collect():
+        out[r["block"]] = np.frombuffer(r["w"], np.int8).reshape(BLOCK_ROWS, WIDTH)
+    return out.reshape(-1, WIDTH)
+
+
+def log_tail(klass: np.ndarray, path: np.ndarray, one: np.ndarray, two: np.ndarray, biases: list[np.ndarray],
+             weights: np.ndarray) -> np.ndarray:
+    """log p(leaf | tail class, the two words before)."""
+    out = np.zeros(len(klass))
+    mixed = [_mixed(0, _groups(kind, context, klass)) for kind, context in enumerate((one, two))]
+    first = [(m >> np.uint64(64 - BLOCK_BITS)).astype(np.int64) * BLOCK_ROWS for m in mixed]
+    every = np.arange(len(klass))
+    for k, bias in enumerate(biases):
+        prefix = path & np.uint64(WIDTH ** k - 1)
+        near, skip = (f + _tail_rows(m, k, prefix) for f, m in zip(first, mixed))
+        z = np.add(weights[near], weights[skip], dtype=np.int16) * np.float32(1 / STEP)
+        z += bias[klass << (4 * k) | prefix.astype(np.int64)]
+        digit = ((path >> np.uint64(4 * k)) & np.uint64(WIDTH - 1)).astype(np.int64)
+        out += z[every, digit] - np.log(np.exp(z).sum(1))
+    return out
+
+
 SCORED = "doc_id {}, held_out boolean, n_tokens long, known long, base double, model double, rare array<struct<word:binary,n:int>>"
 
 
@@ -313,29 +498,38 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
     n, v = whole["n"], whole["v"]
     hot = frequent(counts)
     n_head = min(HEAD, len(hot))
-    trigrams = trigram_counts(training, hot)
+    dictionary = spark.sparkContext.broadcast(hot)
+    trigrams = trigram_counts(training, dictionary)
     factors = tables(*train(trigrams, n_head, rounds), n_head)
-    # Tail classes: tokens and types of all words but the head's.
+    # Leaves of the tail trees: tokens and types of all words but the head's.
+    depth = tail_depth(v)
     ending = F.pmod(F.crc32(F.when(F.length("word") > 2, F.substring("word", -2, 2)).otherwise(F.col("word"))),
                     F.lit(TAIL_CLASSES))
+    path = F.shiftright(F.crc32("word"), 8).bitwiseAND(F.lit(WIDTH ** depth - 1))
     head_words = F.broadcast(spark.createDataFrame([(bytearray(w),) for w, _ in hot[:HEAD]], "word binary"))
-    tails = {r["t"]: (r["n"], r["v"]) for r in counts.join(head_words, "word", "left_anti").groupBy(ending.alias("t"))
-             .agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    spread = np.array([np.log10(tn + SMOOTH * (tv + 1)) for tn, tv in (tails.get(t, (0, 0)) for t in range(TAIL_CLASSES))])
-    sent = spark.sparkContext.broadcast((hot, factors, spread))
+    leaves = (counts.join(head_words, "word", "left_anti").groupBy((ending * WIDTH ** depth + path).alias("leaf"))
+              .agg(F.sum("c").alias("n"), F.count("*").alias("v")).toArrow())
+    mass = np.full(TAIL_CLASSES * WIDTH ** depth, SMOOTH)
+    mass[leaves["leaf"].to_numpy()] += leaves["n"].to_numpy() + SMOOTH * leaves["v"].to_numpy()
+    shares = tail_shares(mass, depth)
+    weights = tail_weights(tail_pairs(training, dictionary, depth), shares)
+    sent = spark.sparkContext.broadcast((factors, np.log10(mass).astype(np.float32), [np.log(s) for s in shares], weights))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts, spread = sent.value
-        lexicon = Lexicon(words)
+        parts, spread, biases, weights = sent.value
+        lexicon = Lexicon(dictionary.value)
         logs = np.log10(lexicon.counts + SMOOTH)
         logs[-1] = 0.0  # words outside the dictionary are added by the join
         for part in slices(batches, "text", 2 << 20):
-            size, hot, symbol, context, rare = lexicon.read(_binary(part, "text"))
+            size, hot, symbol, context, hashes, rare = lexicon.read(_binary(part, "text"))
             first = np.cumsum(size) - size
             model = log_head(context, symbol, *parts) / np.log(10)
-            tail = symbol >= HEAD
-            model[tail] += logs[hot[tail]] - spread[symbol[tail] - HEAD]
+            tail = np.flatnonzero(symbol >= HEAD)
+            klass, path = symbol[tail] - HEAD, _paths(hashes[tail], depth)
+            one, two = (c[tail] for c in _contexts(hashes, size))
+            model[tail] += (log_tail(klass, path, one, two, biases, weights) / np.log(10) + logs[hot[tail]]
+                            - spread[klass * WIDTH ** depth + path.astype(np.int64)])
             listed = [[{"word": w, "n": k} for w, k in Counter(r).items()] for r in rare]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), pa.array(size),
