@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_token_counts": "source lang tokenizer docs tokens",
     "op9_simhash": "doc_id fingerprint component_id",
     "op10_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_codes": "vec_id code error label_error codebooks_sha256",
+    "op12_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
 }
 
 
@@ -33,8 +36,8 @@ def test_columns(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     wanted = COLUMNS[name].split()
     assert df.columns[:len(wanted)] == wanted
-    table = "pages" if name == "op1_html" else "documents"
-    if name not in ("op4_packing", "op8_token_counts"):
+    table = {"op1_html": "pages", "op11_codes": "embeddings"}.get(name, "documents")
+    if name not in ("op4_packing", "op8_token_counts", "op12_hard_negatives"):
         assert df.count() == spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
 
 

@@ -8,14 +8,17 @@ from functools import reduce, wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from transitlens.llm import codes as _codes
 from transitlens.llm import decontaminate as _decontaminate
 from transitlens.llm import editprint as _editprint
+from transitlens.llm import hardneg as _hardneg
 from transitlens.llm import langid as _langid
 from transitlens.llm import maxent as _maxent
 from transitlens.llm import packing as _packing
 from transitlens.llm import pii as _pii
 from transitlens.llm import queries_sql as _sql
 from transitlens.llm import rollup as _rollup
+from transitlens.llm import secrets as _secrets
 from transitlens.llm import sharding as _sharding
 from transitlens.llm import simhash as _simhash
 from transitlens.llm import styletree as _styletree
@@ -97,6 +100,28 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pii.find_pii(docs, _pii.train(docs)).drop("text")
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = _codes.compress(load(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("label"))
+    summed = _codes.with_group_total(coded, "label", "error", "label_error")
+    return summed.select(F.col("id").alias("vec_id"), "code", "error", "label_error",
+                         F.lit(_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return _hardneg.mine(load(spark, sf_dir, "embeddings"), vec_id, moved, F.col("id") % 100 == 0)
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = _secrets.find_secrets(docs, _secrets.train(docs))
+    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+              for kind in _secrets.PATTERNS]
+    return found.select("doc_id", *counts, F.sha2(_secrets.listed(F.col("base")), 256).alias("base_sha256"),
+                        _secrets.listed(F.col("spans")).alias("spans"))
+
+
 def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_simhash": _bounded(op9_simhash),
     "op10_pii": _bounded(op10_pii),
+    "op11_codes": op11_codes,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secrets": op13_secrets,
 }
 
 # The others need trained models, 64-bit hashes of shingles, or a BPE: tests hold them against brute force.
@@ -125,4 +153,6 @@ SQL: dict[str, str] = {
     "op3_sharding": _sql.OP3,
     "op7_decontamination": _sql.OP7,
     "op8_token_counts": _sql.OP8,
+    "op11_codes": _sql.OP11,
+    "op12_hard_negatives": _sql.OP12,
 }

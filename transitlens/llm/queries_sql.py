@@ -94,3 +94,66 @@ WITH judged AS (
 SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
 FROM counts GROUP BY source, lang, tokenizer
 """
+
+
+def _op11() -> str:
+    """Brute force: every part against every entry of its codebook, four rounds written out."""
+    steps = []
+    for r in range(5):
+        steps.append(f"""found{r} AS MATERIALIZED (
+  SELECT rid, part, min(d * 256 + entry) % 256 AS entry, min(d * 256 + entry) // 256 AS d
+  FROM (SELECT rid, part, entry, CAST(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS HUGEINT) AS d
+        FROM parts JOIN book{r} USING (part)) GROUP BY rid, part
+)""")
+        if r < 4:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m, c) AS c FROM book{r} LEFT JOIN (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m
+    FROM (SELECT part, entry, i, sum(x[i]) AS s, count(*) AS n
+          FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS i FROM parts JOIN found{r} USING (rid, part))
+          GROUP BY part, entry, i) GROUP BY part, entry) USING (part, entry)
+)""")
+    return """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, part, list_slice(v, part * (len(v) // 4) + 1, (part + 1) * (len(v) // 4)) AS x
+  FROM (SELECT rid, v, unnest(range(4)) AS part FROM kept)
+), book0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, x AS c FROM parts WHERE rid <= 256),
+""" + ",\n".join(steps) + """,
+named AS (
+  SELECT rid, string_agg(lower(lpad(to_hex(CAST(entry AS BIGINT)), 2, '0')), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM found4 GROUP BY rid
+), books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book4)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN named USING (rid), books
+"""
+
+
+OP11 = _op11()
+
+# Every anchor against every row.
+OP12 = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.rid AS arid, a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i])) AS BIGINT) AS score
+  FROM kept a, kept r WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT arid, anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id NULLS LAST) AS p
+  FROM scored WHERE label = anchor_label AND vec_id IS DISTINCT FROM anchor_id QUALIFY p <= 5
+)
+SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY arid, p ORDER BY s.score DESC, s.vec_id NULLS LAST) AS INTEGER) AS rank
+FROM positive JOIN (SELECT arid, vec_id, score, label FROM scored) s USING (arid)
+WHERE s.label <> anchor_label AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
