@@ -116,8 +116,7 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     found = _secrets.find_secrets(docs, _secrets.train(docs))
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-              for kind in _secrets.PATTERNS]
+    counts = [_secrets.count_of("base", kind).alias(f"n_{kind}") for kind in _secrets.PATTERNS]
     return found.select("doc_id", *counts, F.sha2(_secrets.listed(F.col("base")), 256).alias("base_sha256"),
                         _secrets.listed(F.col("spans")).alias("spans"))
 

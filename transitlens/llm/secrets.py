@@ -212,6 +212,10 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def count_of(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def _ordinary(texts: DataFrame) -> DataFrame:
     """Distinct ordinary strings of the sampled texts: words, identifiers of neighbouring words, and numbers."""
     spark = texts.sparkSession
