@@ -4,12 +4,14 @@ tables as the in-memory composition."""
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from transitlens.operators.enrich import ENRICHED_COLUMNS
 from transitlens.operators.payload import flatten_pings, parse_gps_payload
 from transitlens.plans import fixtures, gold
 from transitlens.plans.refresh import refresh
-from transitlens.sources.snapshots import write_snapshots
+from transitlens.sources.publish import MANIFESTS, manifest, read_layer, versions
+from transitlens.sources.snapshots import read_gps_snapshots, write_snapshots
 from transitlens.sources.stops_json import write_stops_json
 from tests.conftest import SF_SMALL
 
@@ -26,8 +28,8 @@ def test_refresh_publishes_all_layers(spark, tmp_path):
     write_stops_json(fixtures.route_stop_lists(fixtures.stops_from_pings(pings)), stops_file)
 
     res = refresh(spark, caps, stops_file, out, stops_multiline=False)
-    t = {n: spark.read.parquet(p) for n, p in res["tables"].items()}
-    assert sorted(os.listdir(out)) == sorted(res["tables"])  # no staging folder is left
+    t = {n: read_layer(spark, out, n) for n in res["tables"]}
+    assert sorted(os.listdir(out)) == sorted([*res["tables"], MANIFESTS])
 
     flat = flatten_pings(parse_gps_payload(fixtures.events_to_snapshots(events)))
     s = gold.build_silver(flat, fixtures.fixture_stops(flat))
@@ -57,42 +59,65 @@ def _inputs(spark, tmp_path):
     return caps, stops_file, out
 
 
-def _published(spark, tables):
-    filled = {n: p for n, p in tables.items() if any(not f.startswith((".", "_")) for f in os.listdir(p))}
-    frames = {n: spark.read.parquet(p).drop("ingest_time") for n, p in filled.items()}
-    return {n: sorted(map(repr, df.collect())) for n, df in frames.items()}
+def _published(spark, out):
+    names = manifest(spark, out).layers
+    return {n: sorted(map(repr, read_layer(spark, out, n).drop("ingest_time").collect())) for n in names}
 
 
 def test_each_run_replaces_its_own_dates_only(spark, tmp_path):
     caps, stops_file, out = _inputs(spark, tmp_path)
 
     def run(*dates):
-        return refresh(spark, caps, stops_file, out, capture_dates=list(dates), stops_multiline=False)["tables"]
+        return refresh(spark, caps, stops_file, out, capture_dates=list(dates), stops_multiline=False)
 
     def dates(name, column="date"):
-        return {str(r[0]) for r in spark.read.parquet(tables[name]).select(column).distinct().collect()}
+        return {str(r[0]) for r in read_layer(spark, out, name).select(column).distinct().collect()}
 
-    tables = run("2024-01-05")
-    first = _published(spark, tables)
+    run("2024-01-05")
+    first = _published(spark, out)
     assert dates("silver_gps_flat") == {"2024-01-05"}
     run("2024-01-06")
     assert dates("silver_gps_flat") == dates("bronze_gps_raw", "capture_date") == {"2024-01-05", "2024-01-06"}
-    both = _published(spark, tables)
+    both = _published(spark, out)
     for name in ("silver_gps_flat", "silver_gps_enriched", "gold_trips_candidates", "gold_route_segment_speed"):
-        assert set(first.get(name, [])) <= set(both.get(name, [])), name
+        assert set(first[name]) <= set(both[name]), name
     run("2024-01-05")
-    assert _published(spark, tables) == both
+    assert _published(spark, out) == both
     run("1999-01-01")  # a date without captures changes nothing
-    assert _published(spark, tables) == both
+    assert _published(spark, out) == both
+    files = read_layer(spark, out, "silver_gps_flat", dates=["2024-01-06"]).inputFiles()
+    assert files and all("date=2024-01-06" in f for f in files)
+
+
+def test_pings_without_a_date_have_a_run_of_their_own(spark, tmp_path):
+    caps, stops_file, out = _inputs(spark, tmp_path)
+    one = read_gps_snapshots(spark, caps).drop("capture_date").limit(1).withColumn("timestamp", F.lit(None).cast("double"))
+    write_snapshots(spark.createDataFrame(one.collect(), one.schema), caps)
+    args = {"stops_multiline": False}
+    refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05", None], **args)
+    undated = read_layer(spark, out, "silver_gps_flat", dates=[None]).count()
+    assert undated == read_layer(spark, out, "silver_gps_flat").filter("date IS NULL").count() > 0
+    refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05"], **args)
+    assert read_layer(spark, out, "silver_gps_flat", dates=[None]).count() == undated
+
+
+def test_a_run_must_not_replace_dates_that_it_read_in_part(spark, tmp_path):
+    caps, stops_file, out = _inputs(spark, tmp_path)
+    wrong = read_gps_snapshots(spark, caps).filter("capture_date = '2024-01-06'").withColumn("capture_date", F.lit("2024-01-05").cast("date"))
+    write_snapshots(wrong, caps)
+    with pytest.raises(ValueError, match="2024-01-06"):
+        refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05"], stops_multiline=False)
+    assert versions(spark, out) == [] and not os.listdir(os.path.join(out, "silver_gps_flat"))
 
 
 def test_a_failed_run_leaves_the_published_tables(spark, tmp_path):
     caps, stops_file, out = _inputs(spark, tmp_path)
-    tables = refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05"], stops_multiline=False)["tables"]
-    before = _published(spark, tables)
+    refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05"], stops_multiline=False)
+    before = _published(spark, out)
     empty = tmp_path / "empty.json"
     empty.write_text("[]")
     with pytest.raises(ValueError, match="no stops"):
         refresh(spark, caps, str(empty), out)
-    assert _published(spark, tables) == before and sorted(os.listdir(out)) == sorted(tables)
+    assert _published(spark, out) == before and versions(spark, out) == [1]
+    assert all(len([f for f in os.listdir(os.path.join(out, n)) if not f.startswith(".")]) == 1 for n in before)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("transitlens_core")]

@@ -10,20 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.operators.dimension import bounded_broadcast
+from transitlens.operators.tags import NAV_LIST, ROUTE_TABLE, Listing, first_links
 
-def _element(tag: str, attrs: str = "") -> str:
-    """Pattern of an element's content: the name in any case, followed by a space, slash or the tag's end."""
-    return rf"(?is)<{tag}(?=[\s/>]){attrs}[^>]*>(.*?)</{tag}\s*>"
+__all__ = ["NAV_LIST", "ROUTE_TABLE", "decode_references", "dedupe_keep_first", "extract_route_names",
+           "fetch_outcome_counts", "pages_before_first_empty", "unify_fetch_results"]
 
-
-# ``category`` as a whole class token, the attribute quoted either way or not at all
-_CATEGORY = (r"(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\">]*\s)?category(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?category(?:\s[^'>]*)?'"
-             r"|category(?=[\s>])))")
-ROUTE_TABLE = _element("table", _CATEGORY)
-ROUTE_TABLE_ROW = _element("tr")
-NAV_CONTAINER = _element("nav")
-NAV_ROW = _element("li")
-FIRST_LINK = _element("a")
 WRAP = "\n\t\t\t\t\t\t"
 EDGE_SPACE = r"^[ \t\n\x0B\f\r ]+|[ \t\n\x0B\f\r ]+$"  # spaces, controls, no-break space
 # The named character references of Latin-1 letters and common signs.
@@ -57,24 +48,21 @@ def decode_references(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.array_join(whole, "")).otherwise(text)
 
 
-def extract_route_names(pages: DataFrame, container: str = ROUTE_TABLE, row: str = ROUTE_TABLE_ROW,
+def extract_route_names(pages: DataFrame, listing: Listing = ROUTE_TABLE,
                         html_col: str = "html", id_col: str = "page_id") -> DataFrame:
-    """(page id, pos, route): per row of the container, the first link's text.
+    """(page id, pos, route): per row of the listing's container, the first link's text.
 
-    Tags match in any case and by whole name. Inner tags are removed, character
-    references decoded, surrounding whitespace (including non-breaking spaces)
-    stripped, the listing's wrap sequence removed and blanks dropped; ``pos`` is the 1-based row position
-    in the container. A page without the container yields no rows.
+    Tags are scanned as an HTML parser reads them (``operators.tags``); nested
+    rows count as rows of their own. Character references are decoded,
+    surrounding whitespace (including non-breaking spaces) stripped, the
+    listing's wrap sequence removed and blanks dropped; ``pos`` is the 1-based
+    row position in the container. A page without the container yields no rows.
     """
-    body = F.regexp_extract(F.col(html_col), container, 1)
-    rows = F.regexp_extract_all(body, F.lit(row), 1)
-    ex = pages.select(F.col(id_col), F.posexplode(rows).alias("pos0", "row_html"))
-    link = F.regexp_extract(F.col("row_html"), FIRST_LINK, 1)
-    text = F.regexp_replace(link, "<[^>]*>", "")
-    text = decode_references(text)
-    text = F.replace(F.regexp_replace(text, EDGE_SPACE, ""), F.lit(WRAP), F.lit(""))
-    return (ex.select(F.col(id_col), (F.col("pos0") + 1).alias("pos"), text.alias("route"))
-            .filter(F.length("route") > 0))
+    # Pages without such a tag, most of a crawl, are not cut into tokens.
+    likely = pages.where(F.col(html_col).rlike(rf"(?i)<{listing.container}[\s/>]"))
+    ex = likely.select(F.col(id_col), F.inline(first_links(F.col(html_col), listing)).alias("pos", "link"))
+    text = F.replace(F.regexp_replace(decode_references(F.col("link")), EDGE_SPACE, ""), F.lit(WRAP), F.lit(""))
+    return ex.select(F.col(id_col), "pos", text.alias("route")).filter(F.length("route") > 0)
 
 
 def pages_before_first_empty(df: DataFrame, type_col: str, idx_col: str, n_col: str) -> DataFrame:

@@ -7,23 +7,23 @@ layers that read it join per-slice summaries to it without another shuffle of
 the pings. Expectation metrics are gathered with ``DataFrame.observe`` on the
 writes themselves (no extra pass).
 
-A run writes all its layers to a staging folder of its own and publishes them
-only when every layer is complete. Layers with dates are partitioned by date:
-a run for some ``capture_dates`` replaces the partitions of these dates in every
-layer and leaves all others; a run without dates replaces the layers whole.
-Running a date again changes nothing but that date. A failed run leaves the
-published tables as they were, and its staging folder is deleted.
+A run writes its layers into folders of its own and publishes them together as
+the next version (``sources.publish``). Layers with dates are partitioned by
+date: a run for some ``capture_dates`` replaces these dates in every layer and
+takes over all others; a run without dates replaces the layers whole. Running a
+date again changes nothing but that date. Whenever a run dies, the versions
+published before it stay readable; a run that fails deletes its files.
+Published layers are read with ``read_layer``.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS, file_system
+from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS
 from transitlens.operators.dimension import bounded_broadcast
 from transitlens.operators.enrich import (GPSY_POSITIVE, enrich_core, match_pings_to_stops,
                                           public_columns, running_avg_velocity)
@@ -35,6 +35,7 @@ from transitlens.operators.stops import explode_stops, route_first_last_stop, st
 from transitlens.operators.trips import (attach_route_meta, project_trips, terminal_stop_filter,
                                          trip_candidates)
 from transitlens.sources.bucketed import write_bucketed
+from transitlens.sources.publish import Run, publishing
 from transitlens.sources.snapshots import PARTITION_COL, read_gps_snapshots
 from transitlens.sources.stops_json import read_stops_json
 
@@ -50,24 +51,26 @@ DATED = {"bronze_gps_raw": PARTITION_COL, "silver_gps_flat": "date", "silver_gps
 
 
 def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root: str,
-            capture_dates: list[str] | None = None, stops_multiline: bool = True,
-            slice_seconds: int = DEFAULT_SLICE_SECONDS,
+            capture_dates: list | None = None, stops_multiline: bool = True,
+            applied: dict[str, int] | None = None, slice_seconds: int = DEFAULT_SLICE_SECONDS,
             broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict:
-    """Run every layer; return ``{"tables": {name: path}, "expectations": {rule: counts}}``."""
-    staging = os.path.join(out_root, f"_staging-{uuid.uuid4().hex[:12]}")
-    staged = {n: os.path.join(staging, n) for n in LAYERS}
+    """Run every layer; return ``{"root", "version", "tables": names, "expectations": {rule: counts}}``.
+
+    ``None`` among ``capture_dates`` stands for the captures without a time,
+    whose pings have no date. ``applied`` is recorded with the version (how far
+    incremental sources have been worked in).
+    """
     obs: dict[str, Observation] = {}
     core_table = f"transitlens_core_{uuid.uuid4().hex[:12]}"
 
-    def write(name: str, df: DataFrame) -> DataFrame:
-        out = df.write.mode("overwrite")
-        (out.partitionBy(DATED[name]) if name in DATED else out).parquet(staged[name])
-        return spark.read.schema(df.schema).parquet(staged[name]).select(*df.columns)
+    def work(run: Run):
+        def write(name: str, df: DataFrame) -> DataFrame:
+            return run.write(name, df, DATED.get(name))
 
-    try:
         raw = read_gps_snapshots(spark, captures_path)
         if capture_dates is not None:
-            raw = raw.filter(F.col(PARTITION_COL).isin([F.lit(d).cast("date") for d in capture_dates]))
+            raw = raw.filter(F.col(PARTITION_COL).isin([F.lit(d).cast("date") for d in capture_dates if d is not None])
+                             | (F.col(PARTITION_COL).isNull() & F.lit(None in capture_dates)))
         obs["bronze"] = Observation("bronze")
         bronze = stamp_ingest_time(parse_gps_payload(raw))
         bronze = write("bronze_gps_raw", observe_warn(bronze, {**BRONZE_RULES, **FLAT_INPUT_RULES}, obs["bronze"],
@@ -82,9 +85,11 @@ def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root:
         meta = write("silver_routes_meta", route_first_last_stop(stops))
 
         stops_b, n_stops = bounded_broadcast(stops, broadcast_rows, already_materialized=True)
-        core = write_bucketed(spark, staged["silver_gps_enriched_core"], core_table,
+        core_name = "silver_gps_enriched_core"
+        core = write_bucketed(spark, run.path(core_name), core_table,
                               lambda: enrich_core(match_pings_to_stops(flat, stops_b), slice_seconds=slice_seconds),
-                              partition_by=DATED["silver_gps_enriched_core"])
+                              partition_by=DATED[core_name])
+        run.took(core_name, core.schema, DATED[core_name])
 
         obs["enriched"] = Observation("enriched")
         write("silver_gps_enriched", public_columns(
@@ -98,43 +103,13 @@ def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root:
         obs["trips"] = Observation("trips")
         write("gold_trips_final", observe_warn(project_trips(final), TRIPS_RULES, obs["trips"], "trips"))
         write("gold_route_segment_speed", route_segment_speed(core))
-        metrics: dict = {}
-        for o in obs.values():
-            metrics.update(o.get)
-        paths = {n: os.path.join(out_root, n) for n in LAYERS}
-        for name in LAYERS:
-            _publish(spark, staged[name], paths[name], capture_dates if name in DATED else None, DATED.get(name))
-        return {"tables": paths, "expectations": metrics}
+        return capture_dates, applied
+
+    try:
+        published = publishing(spark, out_root, work)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {core_table}")  # external: the published files stay
-        _delete(spark, staging)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = file_system(spark, path)
-    fs.delete(p, True)
-
-
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Replace ``target`` by ``source``, a rename on the shared file system."""
-    fs, p = file_system(spark, source)
-    _, t = file_system(spark, target)
-    fs.delete(t, True)
-    fs.mkdirs(t.getParent())
-    if not fs.rename(p, t):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def _publish(spark: SparkSession, staged: str, published: str, dates: list[str] | None, column: str | None) -> None:
-    """Replace a layer whole, or the partitions of ``dates``; a date without rows loses its partition."""
-    if dates is None:
-        _move(spark, staged, published)
-        return
-    fs, p = file_system(spark, published)
-    fs.mkdirs(p)
-    for date in dates:
-        part = f"{column}={date}"
-        if fs.exists(file_system(spark, os.path.join(staged, part))[1]):
-            _move(spark, os.path.join(staged, part), os.path.join(published, part))
-        else:
-            _delete(spark, os.path.join(published, part))
+    metrics: dict = {}
+    for o in obs.values():
+        metrics.update(o.get)
+    return {"root": out_root, "version": published.version, "tables": list(LAYERS), "expectations": metrics}

@@ -34,9 +34,10 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("error", T.StringType(), True),
 ])
 
-# landed captures carry the partition column of the landing layout
+# landed captures carry the partition columns of the landing layout
+BATCH_COL = "batch"
 LANDED_SNAPSHOT_SCHEMA = T.StructType(list(SNAPSHOT_SCHEMA.fields) + [
-    T.StructField("capture_date", T.DateType(), True)])
+    T.StructField("capture_date", T.DateType(), True), T.StructField(BATCH_COL, T.StringType(), True)])
 
 # stops file: one route per object; paradas kept as raw JSON, parsed later
 STOPS_FILE_SCHEMA = T.StructType([
