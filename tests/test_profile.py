@@ -6,16 +6,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from transitlens.operators import profile
+from transitlens.operators import profile, quantiles
 from transitlens.operators.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("band_rows", [5, 50, 100000])
-def test_exact_quantiles_match_numpy(spark, band_rows):
+def test_exact_quantiles_match_numpy(spark):
     rnd = random.Random(7)
     vals = [rnd.choice([rnd.gauss(0, 10), 3.0, 3.0, None]) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = exact_quantiles(df, "x", [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0], band_rows=band_rows, accuracy=100)
+    got = exact_quantiles(df, "x", [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0])
     arr = np.array([v for v in vals if v is not None])
     for q, v in got.items():
         assert v == pytest.approx(float(np.quantile(arr, q)), rel=1e-12, abs=1e-12), q
@@ -23,7 +22,7 @@ def test_exact_quantiles_match_numpy(spark, band_rows):
 
 def test_exact_quantiles_hot_value(spark):
     df = spark.createDataFrame([(5.0,)] * 2000 + [(1.0,), (9.0,)], "x double")
-    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75], band_rows=10, accuracy=100)
+    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75])
     assert got == {0.25: 5.0, 0.5: 5.0, 0.75: 5.0}
 
 
@@ -78,21 +77,55 @@ def test_single_row_groups_have_null_std(spark):
     assert eff["count"] == 1 and eff["std"] is None and eff["mean"] == round(2.5 / 30, 4)
 
 
-@pytest.mark.parametrize("values", [[0.0, 1.0], [0.0, 1.0, 2.0], [float(k) for k in range(40)]])
-def test_quantiles_of_few_heavy_values_end_by_counts(spark, values, monkeypatch):
-    """No band over ``band_rows`` is ever numbered, wherever the boundary between values lies."""
-    from transitlens.operators import quantiles
-    numbered = []
-    pick = quantiles._pick_in_bands
-    monkeypatch.setattr(quantiles, "_pick_in_bands", lambda vals, small, state, cidx: (
-        numbered.extend(state[t][3] for t in small), pick(vals, small, state, cidx))[1])
+SPECIAL = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, -1.0, 0.1, -0.1, 1.7976931348623157e308,
+           -1.7976931348623157e308, float("inf"), float("-inf"), 2.0 ** 52, 2.0 ** 53 + 2, 1 / 3, 3.0, -7.5]
+
+
+def _around_powers_of_two():
+    p = [2.0 ** e for e in (-1074, -1022, -1021, -500, -29, -1, 0, 1, 2, 10, 29, 31, 52, 53, 500, 1023)]
+    return [float(x) for v in p for x in (np.nextafter(v, 0), v, np.nextafter(v, np.inf))]
+
+
+def test_codes_keep_the_order_and_lose_nothing(spark):
+    rnd = np.random.default_rng(11)
+    bits = rnd.integers(-2 ** 63, 2 ** 63, 3000, dtype=np.int64).view(np.float64)
+    vals = SPECIAL + _around_powers_of_two() + [-v for v in _around_powers_of_two()] + [float(v) for v in bits if not np.isnan(v)]
+    df = spark.createDataFrame([(v,) for v in vals + [None, float("nan")]], "x double")
+    got = df.select("x", quantiles.ordered_code(F.col("x")).alias("c")).collect()
+    assert [r.c for r in got[-2:]] == [None, None]
+    pairs = sorted(((r.x, r.c) for r in got[:-2]), key=lambda p: p[0])
+    assert all((a[0] < b[0]) == (a[1] < b[1]) and (a[0] == b[0]) == (a[1] == b[1]) for a, b in zip(pairs, pairs[1:], strict=False))
+    assert all(quantiles.decoded(c) == x for x, c in pairs)
+
+
+@pytest.mark.parametrize("values", [[0.0, 1.0], [0.0, 1.0, 2.0], [float(k) for k in range(40)], [-0.0, 0.0, -3.5, 3.5],
+                                    [float("-inf"), -1.0, 2.0, float("inf")], SPECIAL])
+def test_quantiles_take_at_most_four_counting_passes(spark, values, monkeypatch):
+    passes, real = [], quantiles.prefix_counts
+
+    def counted(codes, inside, shift):
+        out = real(codes, inside, shift)
+        plan = out._jdf.queryExecution().toString()
+        assert "Generate" not in plan and "Window" not in plan
+        passes.append(shift)
+        return out
+
+    monkeypatch.setattr(quantiles, "prefix_counts", counted)
     n = 4000
-    df = spark.range(n).selectExpr(f"element_at(array({', '.join(map(str, values))}), "
-                                   f"cast(id * {len(values)} div {n} as int) + 1) AS x")
     arr = np.array([values[k * len(values) // n] for k in range(n)])
-    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75], band_rows=20, accuracy=50)
-    assert got == {q: float(np.quantile(arr, q)) for q in got}
-    assert all(m <= 20 for m in numbered)
+    df = spark.createDataFrame([(float(v), float(i), float(i) ** 3 / 7) for i, v in enumerate(arr)], "x double, y double, z double")
+    ranks = [0, 1, n // 4, n // 2, n - 2, n - 1]
+    got = quantiles.kth_smallest_multi(df, [(c, r) for c in "xyz" for r in ranks])
+    for c, a in (("x", arr), ("y", np.arange(n, dtype=float)), ("z", np.arange(n, dtype=float) ** 3 / 7)):
+        assert [got[c, r] for r in ranks] == [float(v) for v in np.sort(a)[ranks]], c
+    assert 1 <= len(passes) <= 4
+
+
+def test_quantiles_of_empty_and_short_columns(spark):
+    df = spark.createDataFrame([(1.5, None), (None, None), (float("nan"), None)], "x double, y double")
+    assert exact_quantiles(df, "x", [0.0, 0.5, 1.0]) == {0.0: 1.5, 0.5: 1.5, 1.0: 1.5}
+    assert quantiles.exact_quantiles_multi(df, ["x", "y"], [0.5])["y"] == {0.5: None}
+    assert quantiles.kth_smallest(df, "x", [0, 1]) == {0: 1.5, 1: None}
 
 
 def test_observed_values_are_returned_whole_and_nan_is_missing(spark):

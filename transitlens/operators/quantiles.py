@@ -1,57 +1,67 @@
-"""Exact order statistics without gathering a column in one task.
+"""Exact order statistics by radix selection, without gathering a column in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer, so on a
-whole large column it is unbounded. Here the k-th smallest value is found by
-narrowing a value band with distributed passes, for all (column, rank)
-targets at once. A band is an open interval that holds the wanted rank:
-
-1. a band of at most ``band_rows`` rows is numbered (row_number per band, all
-   bands in one pass) and only the wanted rows reach the driver;
-2. a larger band gets one ``percentile_approx`` sketch, which yields two observed
-   values around the rank, and a counting pass: rows below, at, between and
-   above them. If the rank falls on rows equal to either value, that value is
-   the answer; otherwise the next band lies strictly beside or between them.
-
-Heavy values end in step 2 by grouped counts, however many rows share them, so
-a numbered band never exceeds ``band_rows``. Each round drops at least one distinct
-value and, as the sketch is accurate, nearly all rows: rounds grow as
-``log_accuracy(n)``. Only counts and the answers reach the driver. Interpolated
-quantiles (linear, as pandas ``quantile`` and SQL ``quantile_cont``) use ranks
-floor(p), floor(p) + 1 of p = (n - 1) q. NaN counts as missing.
+whole large column it is unbounded. Here a double becomes a 64-bit whole number
+of the same order (its own bits, negated below zero), and the number at a rank
+is found 16 bits at a time, for all columns and ranks at once: a pass counts
+the rows of each next prefix, inside the prefixes that hold a wanted rank, and
+the rank falls into one of them. Counts merge before the shuffle, so a task
+sends at most 65,536 of them for each open prefix, whatever its rows, and no
+value is hot: rows with one value are one count. Four passes end every search;
+a prefix whose rows are all equal ends it sooner. Only counts reach the driver.
+
+Interpolated quantiles (linear, as pandas ``quantile`` and SQL
+``quantile_cont``) use ranks floor(p), floor(p) + 1 of p = (n - 1) q. NaN counts
+as missing, -0.0 as 0.0; infinite values take part.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.functions.numeric import number
 
-DEFAULT_BAND_ROWS = 10_000
-DEFAULT_ACCURACY = 10_000
+#: bits of a code that a pass narrows
+STEP = 16
+CODE_BITS = 64
+# The layout of a double.
+MANTISSA_BITS, EXPONENT_BIAS, INFINITE_EXPONENT = 52, 1023, 2047
+SMALLEST, SMALLEST_NORMAL = 5e-324, 2.0 ** -1022
 
+Target = tuple[str, int]
 
-def _band(c, lo, hi):
-    cond = c.isNotNull()
-    if lo is not None:
-        cond = cond & (c > F.lit(lo))
-    if hi is not None:
-        cond = cond & (c < F.lit(hi))
-    return cond
 
+def ordered_code(x: Column) -> Column:
+    """A long for each double, in the same order: the bits of its size, negated below zero; null for null and NaN.
 
-def _pick_in_bands(vals: DataFrame, small, state, cidx) -> dict:
-    """One pass: rows of every small band, numbered within their band, keep the wanted rank."""
-    from pyspark.sql import Window
-    items = [F.when(_band(F.col(f"v{cidx[t[0]]}"), state[t][0], state[t][1]),
-                    F.struct(F.lit(i).alias("t"), F.col(f"v{cidx[t[0]]}").alias("v"))) for i, t in enumerate(small)]
-    e = vals.select(F.explode(F.array(*items)).alias("e")).filter(F.col("e").isNotNull()).select("e.t", "e.v")
-    want = F.create_map(*[x for i, t in enumerate(small) for x in (F.lit(i), F.lit(state[t][2] + 1))])
-    rn = F.row_number().over(Window.partitionBy("t").orderBy("v"))
-    got = e.withColumn("rn", rn).filter(F.col("rn") == want[F.col("t")]).select("t", "v").collect()
-    return {small[r.t]: r.v for r in got}
+    The exponent comes from the logarithm, corrected where that was rounded
+    over a power of two; dividing by a power of two is exact.
+    """
+    size = F.abs(x)
+    near = F.floor(F.log2(size))
+
+    def power(e: Column) -> Column:
+        return F.pow(F.lit(2.0), e.cast("double"))
+
+    exponent = near + F.when(size >= power(near + 1), 1).when(size < power(near), -1).otherwise(0)
+    fraction = ((size / power(exponent) - 1) * F.lit(2.0 ** MANTISSA_BITS)).cast("long")
+    normal = F.shiftleft(exponent + EXPONENT_BIAS, MANTISSA_BITS) + fraction
+    bits = (F.when(size == float("inf"), F.lit(INFINITE_EXPONENT << MANTISSA_BITS))
+            .when(size >= SMALLEST_NORMAL, normal)
+            .when(size > 0, (size / F.lit(SMALLEST)).cast("long"))
+            .otherwise(F.lit(0).cast("long")))
+    return F.when(x.isNotNull() & ~F.isnan(x), F.when(x < 0, -bits).otherwise(bits))
+
+
+def decoded(code: int) -> float:
+    """The double of a code."""
+    size = struct.unpack("<d", struct.pack("<q", abs(code)))[0]
+    return -size if code < 0 else size
 
 
 def column_stats(df: DataFrame, cols) -> dict[str, tuple]:
@@ -62,89 +72,78 @@ def column_stats(df: DataFrame, cols) -> dict[str, tuple]:
     return {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
 
 
-def kth_smallest_multi(df: DataFrame, targets: list[tuple[str, int]], band_rows: int = DEFAULT_BAND_ROWS,
-                       accuracy: int = DEFAULT_ACCURACY, stats: dict | None = None
-                       ) -> dict[tuple[str, int], float | None]:
+def prefix_counts(codes: DataFrame, inside: dict[int, set[int] | None], shift: int) -> DataFrame:
+    """``col, prefix, n, low, high``: rows and code range of each prefix ``code >> shift`` of the columns ``c<i>``.
+
+    ``inside`` names the columns and, for each, the next shorter prefixes that
+    count (None: all). One pass over narrow rows for all columns.
+    """
+    cols = sorted(inside)
+    prefixes = []
+    for i in cols:
+        c, wanted = F.col(f"c{i}"), inside[i]
+        within = c.isNotNull() if wanted is None else F.shiftright(c, shift + STEP).isin(sorted(wanted))
+        prefixes.append(F.when(within, F.shiftright(c, shift)).alias(f"p{i}"))
+    rows = codes.select(*[f"c{i}" for i in cols], *prefixes)
+    rows = rows.where(F.coalesce(*[F.col(f"p{i}") for i in cols]).isNotNull())
+    names = [f"p{i}" for i in cols]
+    which = F.grouping_id(*names) if len(cols) > 1 else F.lit(0).cast("long")
+    grouped = rows.groupingSets([[n] for n in names], *names) if len(cols) > 1 else rows.groupBy(*names)
+    counted = grouped.agg(which.alias("which"), F.count(F.lit(1)).alias("n"),
+                          *[F.min(f"c{i}").alias(f"low{i}") for i in cols], *[F.max(f"c{i}").alias(f"high{i}") for i in cols])
+    # a grouping set's number has a zero bit for its own column, the first column the highest one
+    own = {(1 << len(cols)) - 1 - (1 << (len(cols) - 1 - k)): i for k, i in enumerate(cols)}
+
+    def pick(stem: str) -> Column:
+        if len(cols) == 1:
+            return F.col(f"{stem}{cols[0]}")
+        return F.coalesce(*[F.when(F.col("which") == w, F.col(f"{stem}{i}")) for w, i in own.items()])
+
+    col = F.coalesce(*[F.when(F.col("which") == w, F.lit(i)) for w, i in own.items()])
+    return counted.select(col.alias("col"), pick("p").alias("prefix"), "n", pick("low").alias("low"),
+                          pick("high").alias("high")).where(F.col("prefix").isNotNull())
+
+
+def kth_smallest_multi(df: DataFrame, targets: list[Target], stats: dict | None = None) -> dict[Target, float | None]:
     """Exact value at each 0-based rank among the non-null, non-NaN values of each column."""
     cols = sorted({c for c, _ in targets})
-    vals = df.select(*[number(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    cidx = {c: i for i, c in enumerate(cols)}
-    v = {c: F.col(f"v{cidx[c]}") for c in cols}
+    codes = df.select(*[ordered_code(number(c)).alias(f"c{i}") for i, c in enumerate(cols)])
     stats = stats if stats is not None and all(c in stats for c in cols) else column_stats(df, cols)
-    out: dict = {}
-    state = {}  # target -> (lo, hi, rank within the open band, rows in the band)
+    out: dict[Target, float | None] = {}
+    #: (column, prefix) -> its targets with their ranks among the prefix's rows
+    open_at: dict[tuple[int, int | None], list[tuple[Target, int]]] = {}
     for t in set(targets):
-        n, mn, mx = stats[t[0]]
+        n, least, most = stats[t[0]]
         if n == 0 or t[1] >= n:
             out[t] = None
-        elif mn == mx:
-            out[t] = mn
+        elif least == most:
+            out[t] = least + 0.0
         else:
-            state[t] = (None, None, t[1], n)
-    while state:
-        small = [t for t in state if state[t][3] <= band_rows]
-        if small:
-            out.update(_pick_in_bands(vals, small, state, cidx))
-        state = {t: s for t, s in state.items() if t not in out}
-        if not state:
-            break
-        around = _sketched(vals, v, state, accuracy)
-        aggs = []
-        for i, t in enumerate(state):
-            c, (lo, hi, _, _), (a, b) = v[t[0]], state[t], around[t]
-            aggs += [F.count_if(_band(c, lo, a)).alias(f"below{i}"), F.count_if(c == F.lit(a)).alias(f"a{i}"),
-                     F.count_if(_band(c, a, b)).alias(f"mid{i}"), F.count_if(c == F.lit(b)).alias(f"b{i}")]
-        row = vals.agg(*aggs).first()
-        after = {}
-        for i, t in enumerate(state):
-            (lo, hi, rank, m), (a, b) = state[t], around[t]
-            found = _narrowed(lo, hi, rank, m, a, b, *(row[f"{x}{i}"] for x in ("below", "a", "mid", "b")))
-            if isinstance(found, tuple):
-                after[t] = found
-            else:
-                out[t] = found
-        state = after
-    return out
-
-
-def _sketched(vals: DataFrame, v: dict, state: dict, accuracy: int) -> dict:
-    """Two observed values around each target's rank: one sketch per (column, band) with all its fractions."""
-    eps = 4.0 / accuracy
-    groups: dict = {}
-    for t, (lo, hi, rank, m) in state.items():
-        f = rank / max(m - 1, 1)
-        groups.setdefault((t[0], lo, hi), []).append((t, max(0.0, f - eps), min(1.0, f + eps)))
-    probs = {g: sorted({p for _, a, b in members for p in (a, b)}) for g, members in groups.items()}
-    row = vals.agg(*[F.percentile_approx(F.when(_band(v[c], lo, hi), v[c]), probs[c, lo, hi], accuracy).alias(f"p{i}")
-                     for i, (c, lo, hi) in enumerate(groups)]).first()
-    out = {}
-    for i, (g, members) in enumerate(groups.items()):
-        at = dict(zip(probs[g], row[f"p{i}"], strict=True))
-        out.update({t: (at[a], at[b]) for t, a, b in members})
+            open_at.setdefault((cols.index(t[0]), None), []).append((t, t[1]))
+    shift = CODE_BITS - STEP
+    while open_at:
+        inside: dict[int, set[int] | None] = {}
+        for i, prefix in open_at:
+            inside[i] = None if prefix is None else (inside.get(i) or set()) | {prefix}
+        found = prefix_counts(codes, inside, shift).toArrow()
+        col, prefix, n, low, high = (found[c].to_numpy() for c in ("col", "prefix", "n", "low", "high"))
+        after: dict[tuple[int, int | None], list[tuple[Target, int]]] = {}
+        for (i, parent), wanted in open_at.items():
+            here = np.flatnonzero((col == i) if parent is None else (col == i) & (prefix >> STEP == parent))
+            here = here[np.argsort(prefix[here])]
+            upto = np.cumsum(n[here])
+            for t, rank in wanted:
+                at = int(np.searchsorted(upto, rank, side="right"))
+                k = here[at]
+                if low[k] == high[k]:
+                    out[t] = decoded(int(low[k]))
+                else:
+                    after.setdefault((i, int(prefix[k])), []).append((t, rank - int(upto[at] - n[k])))
+        open_at, shift = after, shift - STEP
     return out
 
 
-def _narrowed(lo, hi, rank, m, a, b, below, at_a, mid, at_b):
-    """The answer, or the next (lo, hi, rank, rows), from the counts around ``a <= b`` in the band."""
-    if a == b:
-        mid, at_b = 0, 0
-    if rank < below:
-        return lo, a, rank, below
-    rank -= below
-    if rank < at_a:
-        return a
-    rank -= at_a
-    if rank < mid:
-        return a, b, rank, mid
-    rank -= mid
-    if rank < at_b:
-        return b
-    return b, hi, rank - at_b, m - below - at_a - mid - at_b
-
-
-def exact_quantiles_multi(df: DataFrame, cols, qs, band_rows: int = DEFAULT_BAND_ROWS,
-                          accuracy: int = DEFAULT_ACCURACY, stats: dict | None = None
-                          ) -> dict[str, dict[float, float | None]]:
+def exact_quantiles_multi(df: DataFrame, cols, qs, stats: dict | None = None) -> dict[str, dict[float, float | None]]:
     """Linear-interpolation quantiles (pandas / ``quantile_cont``) of several columns.
 
     ``stats`` (from :func:`column_stats`) saves the counting pass when the
@@ -164,7 +163,7 @@ def exact_quantiles_multi(df: DataFrame, cols, qs, band_rows: int = DEFAULT_BAND
             hi = min(lo + 1, n - 1)
             pos[(c, q)] = (lo, hi, p - lo)
             targets += [(c, lo), (c, hi)]
-    v = kth_smallest_multi(df, targets, band_rows, accuracy, stats) if targets else {}
+    v = kth_smallest_multi(df, targets, stats) if targets else {}
     res: dict[str, dict] = {c: {} for c in cols}
     for (c, q), p in pos.items():
         if p is None:
@@ -172,16 +171,14 @@ def exact_quantiles_multi(df: DataFrame, cols, qs, band_rows: int = DEFAULT_BAND
             continue
         lo, hi, frac = p
         a, b = v[(c, lo)], v[(c, hi)]
-        res[c][q] = a + (b - a) * frac if frac else a
+        res[c][q] = a + (b - a) * frac if frac and a != b else a
     return res
 
 
-def exact_quantiles(df: DataFrame, col: str, qs, band_rows: int = DEFAULT_BAND_ROWS,
-                    accuracy: int = DEFAULT_ACCURACY) -> dict[float, float | None]:
-    return exact_quantiles_multi(df, [col], qs, band_rows, accuracy)[col]
+def exact_quantiles(df: DataFrame, col: str, qs) -> dict[float, float | None]:
+    return exact_quantiles_multi(df, [col], qs)[col]
 
 
-def kth_smallest(df: DataFrame, col: str, ranks, band_rows: int = DEFAULT_BAND_ROWS,
-                 accuracy: int = DEFAULT_ACCURACY) -> dict[int, float | None]:
-    got = kth_smallest_multi(df, [(col, r) for r in ranks], band_rows, accuracy)
+def kth_smallest(df: DataFrame, col: str, ranks) -> dict[int, float | None]:
+    got = kth_smallest_multi(df, [(col, r) for r in ranks])
     return {r: got[(col, r)] for r in ranks}
