@@ -91,9 +91,9 @@ def test_codes_keep_the_order_and_lose_nothing(spark):
     bits = rnd.integers(-2 ** 63, 2 ** 63, 3000, dtype=np.int64).view(np.float64)
     vals = SPECIAL + _around_powers_of_two() + [-v for v in _around_powers_of_two()] + [float(v) for v in bits if not np.isnan(v)]
     df = spark.createDataFrame([(v,) for v in vals + [None, float("nan")]], "x double")
-    got = df.select("x", quantiles.ordered_code(F.col("x")).alias("c")).collect()
-    assert [r.c for r in got[-2:]] == [None, None]
-    pairs = sorted(((r.x, r.c) for r in got[:-2]), key=lambda p: p[0])
+    codes = [r.c0 for r in quantiles.with_codes(df, [F.col("x")]).collect()]
+    assert codes[-2:] == [None, None] and codes[:-2] == [quantiles.encoded(v) for v in vals]
+    pairs = sorted(zip(vals, codes, strict=False), key=lambda p: p[0])
     assert all((a[0] < b[0]) == (a[1] < b[1]) and (a[0] == b[0]) == (a[1] == b[1]) for a, b in zip(pairs, pairs[1:], strict=False))
     assert all(quantiles.decoded(c) == x for x, c in pairs)
 
@@ -103,11 +103,11 @@ def test_codes_keep_the_order_and_lose_nothing(spark):
 def test_quantiles_take_at_most_four_counting_passes(spark, values, monkeypatch):
     passes, real = [], quantiles.prefix_counts
 
-    def counted(codes, inside, shift):
-        out = real(codes, inside, shift)
+    def counted(codes, inside):
+        out = real(codes, inside)
         plan = out._jdf.queryExecution().toString()
         assert "Generate" not in plan and "Window" not in plan
-        passes.append(shift)
+        passes.append(inside)
         return out
 
     monkeypatch.setattr(quantiles, "prefix_counts", counted)

@@ -36,26 +36,41 @@ SMALLEST, SMALLEST_NORMAL = 5e-324, 2.0 ** -1022
 Target = tuple[str, int]
 
 
-def ordered_code(x: Column) -> Column:
-    """A long for each double, in the same order: the bits of its size, negated below zero; null for null and NaN.
+def with_codes(df: DataFrame, values: list[Column]) -> DataFrame:
+    """Columns ``c0, c1, ...``: a long for each double, in the same order; null for null and NaN.
 
-    The exponent comes from the logarithm, corrected where that was rounded
-    over a power of two; dividing by a power of two is exact.
+    The bits of the double's size, negated below zero. The exponent comes from
+    the logarithm and one division by its power of two, which is exact; a
+    logarithm rounded over a power of two shows in the quotient. Steps that
+    are used more than once are columns of their own, so they are computed once.
     """
-    size = F.abs(x)
-    near = F.floor(F.log2(size))
+    k = range(len(values))
+    x, size, near, part = ([F.col(f"{n}{i}") for i in k] for n in ("x", "size", "near", "part"))
+    rows = df.select(*[v.alias(f"x{i}") for i, v in enumerate(values)])
+    rows = rows.select(*x, *[F.abs(x[i]).alias(f"size{i}") for i in k])
+    rows = rows.select(*x, *size, *[F.least(F.floor(F.log2(size[i])), F.lit(EXPONENT_BIAS)).alias(f"near{i}") for i in k])
+    rows = rows.select(*x, *size, *near, *[(size[i] / F.pow(F.lit(2.0), near[i].cast("double"))).alias(f"part{i}") for i in k])
 
-    def power(e: Column) -> Column:
-        return F.pow(F.lit(2.0), e.cast("double"))
+    def code(i: int) -> Column:
+        def bits(exponent: Column, fraction: Column) -> Column:
+            return (F.shiftleft(exponent + EXPONENT_BIAS, MANTISSA_BITS)
+                    + ((fraction - 1) * F.lit(2.0 ** MANTISSA_BITS)).cast("long"))
 
-    exponent = near + F.when(size >= power(near + 1), 1).when(size < power(near), -1).otherwise(0)
-    fraction = ((size / power(exponent) - 1) * F.lit(2.0 ** MANTISSA_BITS)).cast("long")
-    normal = F.shiftleft(exponent + EXPONENT_BIAS, MANTISSA_BITS) + fraction
-    bits = (F.when(size == float("inf"), F.lit(INFINITE_EXPONENT << MANTISSA_BITS))
-            .when(size >= SMALLEST_NORMAL, normal)
-            .when(size > 0, (size / F.lit(SMALLEST)).cast("long"))
-            .otherwise(F.lit(0).cast("long")))
-    return F.when(x.isNotNull() & ~F.isnan(x), F.when(x < 0, -bits).otherwise(bits))
+        normal = (F.when(part[i] >= 2, bits(near[i] + 1, part[i] / 2)).when(part[i] < 1, bits(near[i] - 1, part[i] * 2))
+                  .otherwise(bits(near[i], part[i])))
+        of_size = (F.when(size[i] == float("inf"), F.lit(INFINITE_EXPONENT << MANTISSA_BITS))
+                   .when(size[i] >= SMALLEST_NORMAL, normal)
+                   .when(size[i] > 0, (size[i] / F.lit(SMALLEST)).cast("long"))
+                   .otherwise(F.lit(0).cast("long")))
+        return F.when(x[i].isNotNull() & ~F.isnan(x[i]), F.when(x[i] < 0, -of_size).otherwise(of_size)).alias(f"c{i}")
+
+    return rows.select(*[code(i) for i in k])
+
+
+def encoded(x: float) -> int:
+    """The code of a double."""
+    size = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+    return -size if x < 0 else size
 
 
 def decoded(code: int) -> float:
@@ -72,17 +87,17 @@ def column_stats(df: DataFrame, cols) -> dict[str, tuple]:
     return {c: (row[f"n{i}"], row[f"mn{i}"], row[f"mx{i}"]) for i, c in enumerate(cols)}
 
 
-def prefix_counts(codes: DataFrame, inside: dict[int, set[int] | None], shift: int) -> DataFrame:
+def prefix_counts(codes: DataFrame, inside: dict[int, tuple[int, int, set[int] | None]]) -> DataFrame:
     """``col, prefix, n, low, high``: rows and code range of each prefix ``code >> shift`` of the columns ``c<i>``.
 
-    ``inside`` names the columns and, for each, the next shorter prefixes that
-    count (None: all). One pass over narrow rows for all columns.
+    ``inside`` gives, for each column, the shift, and the shorter prefixes that
+    count with their own shift (None: all rows). One pass over narrow rows for all columns.
     """
     cols = sorted(inside)
     prefixes = []
     for i in cols:
-        c, wanted = F.col(f"c{i}"), inside[i]
-        within = c.isNotNull() if wanted is None else F.shiftright(c, shift + STEP).isin(sorted(wanted))
+        c, (shift, outer, wanted) = F.col(f"c{i}"), inside[i]
+        within = c.isNotNull() if wanted is None else F.shiftright(c, outer).isin(sorted(wanted))
         prefixes.append(F.when(within, F.shiftright(c, shift)).alias(f"p{i}"))
     rows = codes.select(*[f"c{i}" for i in cols], *prefixes)
     rows = rows.where(F.coalesce(*[F.col(f"p{i}") for i in cols]).isNotNull())
@@ -107,9 +122,10 @@ def prefix_counts(codes: DataFrame, inside: dict[int, set[int] | None], shift: i
 def kth_smallest_multi(df: DataFrame, targets: list[Target], stats: dict | None = None) -> dict[Target, float | None]:
     """Exact value at each 0-based rank among the non-null, non-NaN values of each column."""
     cols = sorted({c for c, _ in targets})
-    codes = df.select(*[ordered_code(number(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    codes = with_codes(df, [number(c) for c in cols])
     stats = stats if stats is not None and all(c in stats for c in cols) else column_stats(df, cols)
     out: dict[Target, float | None] = {}
+    shifts: dict[int, int] = {}
     #: (column, prefix) -> its targets with their ranks among the prefix's rows
     open_at: dict[tuple[int, int | None], list[tuple[Target, int]]] = {}
     for t in set(targets):
@@ -119,17 +135,22 @@ def kth_smallest_multi(df: DataFrame, targets: list[Target], stats: dict | None
         elif least == most:
             out[t] = least + 0.0
         else:
-            open_at.setdefault((cols.index(t[0]), None), []).append((t, t[1]))
-    shift = CODE_BITS - STEP
+            i = cols.index(t[0])
+            # the bits above the first one in which the ends differ are the same in all rows
+            varying = CODE_BITS if (least < 0) != (most < 0) else (encoded(least) ^ encoded(most)).bit_length()
+            shifts[i] = max(0, varying - STEP)
+            open_at.setdefault((i, None), []).append((t, t[1]))
+    outer: dict[int, int] = {}
     while open_at:
-        inside: dict[int, set[int] | None] = {}
+        inside: dict[int, tuple[int, int, set[int] | None]] = {}
         for i, prefix in open_at:
-            inside[i] = None if prefix is None else (inside.get(i) or set()) | {prefix}
-        found = prefix_counts(codes, inside, shift).toArrow()
+            wanted = None if prefix is None else (inside[i][2] if i in inside else set()) | {prefix}
+            inside[i] = (shifts[i], outer.get(i, CODE_BITS), wanted)
+        found = prefix_counts(codes, inside).toArrow()
         col, prefix, n, low, high = (found[c].to_numpy() for c in ("col", "prefix", "n", "low", "high"))
         after: dict[tuple[int, int | None], list[tuple[Target, int]]] = {}
         for (i, parent), wanted in open_at.items():
-            here = np.flatnonzero((col == i) if parent is None else (col == i) & (prefix >> STEP == parent))
+            here = np.flatnonzero((col == i) if parent is None else (col == i) & (prefix >> (outer[i] - shifts[i]) == parent))
             here = here[np.argsort(prefix[here])]
             upto = np.cumsum(n[here])
             for t, rank in wanted:
@@ -139,7 +160,9 @@ def kth_smallest_multi(df: DataFrame, targets: list[Target], stats: dict | None
                     out[t] = decoded(int(low[k]))
                 else:
                     after.setdefault((i, int(prefix[k])), []).append((t, rank - int(upto[at] - n[k])))
-        open_at, shift = after, shift - STEP
+        open_at = after
+        for i in inside:
+            outer[i], shifts[i] = shifts[i], max(0, shifts[i] - STEP)
     return out
 
 
