@@ -91,11 +91,13 @@ def _epoch_of(c: str, dtype: T.DataType) -> Column:
     return F.col(c)
 
 
-def flatten_pings(df: DataFrame, col: str = "gps_data_parsed", tz: str = LOCAL_TZ) -> DataFrame:
-    """One row per payload element; null or empty arrays yield no rows.
+def flatten_pings(df: DataFrame, col: str = "gps_data_parsed", tz: str = LOCAL_TZ, carry: tuple[str, ...] = (),
+                  keep_empty: bool = False) -> DataFrame:
+    """One row per payload element; null or empty arrays yield no rows, or with ``keep_empty`` one without a ping.
 
     ``ping_seq`` is the element's position in its capture (tie-breaker for
-    pings sharing one capture time).
+    pings sharing one capture time). ``carry`` names columns of the capture
+    that each of its pings keeps.
     """
     if col not in df.columns:
         df = parse_gps_payload(df, out=col)
@@ -103,7 +105,8 @@ def flatten_pings(df: DataFrame, col: str = "gps_data_parsed", tz: str = LOCAL_T
     payload = normalize_payload(F.col(col), dt)
     ts_col = pick_timestamp_column(df)
     raw_ts = _epoch_of(ts_col, df.schema[ts_col].dataType)
-    exploded = df.select(F.posexplode(payload).alias("ping_seq", "item"), raw_ts.alias("raw_timestamp"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    exploded = df.select(explode(payload).alias("ping_seq", "item"), raw_ts.alias("raw_timestamp"), *carry)
     e = F.col("item.element")
     return exploded.select(
         e.BUSNUMBER.alias("BUSNUMBER"),
@@ -114,5 +117,5 @@ def flatten_pings(df: DataFrame, col: str = "gps_data_parsed", tz: str = LOCAL_T
         epoch_to_local_time(F.col("raw_timestamp"), tz).alias("timestamp"),
         scale_coordinates(e.GPSX).alias("GPSX"),
         scale_coordinates(e.GPSY).alias("GPSY"),
-        F.col("ping_seq").cast("long").alias("ping_seq"),
+        F.col("ping_seq").cast("long").alias("ping_seq"), *carry,
     ).withColumn("date", local_date(F.col("timestamp")))

@@ -45,6 +45,7 @@ from transitlens.sources.snapshots import PARTITION_COL, read_gps_snapshots, wit
 from transitlens.sources.stops_json import read_stops_json, write_stops_json
 from transitlens.sources.trips_csv import export_trips_csv, read_trips_csv
 from transitlens.streaming.incremental import incremental_flatten, incremental_refresh
+from transitlens.streaming.trips import read_trip_pairs, stream_trip_pairs
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -208,6 +209,28 @@ def q_pairs(spark, sf):
     return pair_trip_endpoints(_silver(spark, sf).core)
 
 
+@register("streaming_trip_pairs", O.medallion(f"""SELECT p.BUSNUMBER, p.LINE, p.TRIPID, p.date, p.ORIENTATION, p.STARTTIME,
+    p.ENDTIME, p.STARTSTOP, p.ENDSTOP, c.N_PINGS, p.AVGDELAY FROM ({_PAIRS_ALL}) p
+    JOIN (SELECT BUSNUMBER, RUTA, TRIPID, date, ORIENTATION, count(*) AS N_PINGS FROM joined GROUP BY ALL) c
+      ON p.BUSNUMBER = c.BUSNUMBER AND p.LINE = c.RUTA AND p.TRIPID = c.TRIPID AND p.date = c.date
+     AND p.ORIENTATION = c.ORIENTATION""", N_BUSES, from_captures=True))
+def q_stream_pairs(spark, sf):
+    """Captures land in three deliveries, each worked in by a run of its own, and a last poll without buses ends the last day."""
+    snaps = with_capture_date(_snapshots(spark, sf))
+    pings = flatten_pings(parse_gps_payload(_snapshots(spark, sf)))
+    stops, _ = bounded_broadcast(fixtures.fixture_stops(pings))
+    caps, sink, ckpt = (scratch_path(spark, n) for n in ("pair-captures", "pair-sink", "pair-ckpt"))
+    ends = snaps.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).first()
+    third = (ends.b - ends.a) / 3
+    place = F.least(F.floor((F.col("timestamp") - ends.a) / F.lit(max(third, 1.0))), F.lit(2))
+    empty = snaps.agg(F.lit("-").alias("ruta"), F.lit("[]").alias("gps_data"), (F.max("timestamp") + 3 * 86400).alias("timestamp"),
+                      F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"))
+    for delivery in [snaps.filter(place == k) for k in range(3)] + [empty]:
+        write_snapshots(delivery, caps)
+        stream_trip_pairs(spark, caps, stops, sink, ckpt).awaitTermination()
+    return read_trip_pairs(spark, sink)
+
+
 @register("drop_single_ping_trips",
           _p(f"SELECT {_PAIR_COLS} FROM ({_PAIRS_ALL}) WHERE END_prev_time IS NOT NULL "
              "AND START_next_time IS NOT NULL"))
