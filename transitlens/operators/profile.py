@@ -9,8 +9,9 @@ their summation order. NaN counts as missing in every numeric operator.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transitlens.functions.numeric import number, round_half_away, safe_ratio
 from transitlens.functions.trip import delay_category, trip_efficiency
@@ -65,10 +66,24 @@ def numeric_summary(df: DataFrame, cols) -> DataFrame:
     return df.sparkSession.createDataFrame(out, schema)
 
 
+def _as_text(df: DataFrame, c: str) -> Column:
+    """A value as text, as distinct as the value itself (-0.0 is 0.0)."""
+    col = F.col(f"`{c}`")
+    floating = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+    return (col + F.lit(0.0).cast(df.schema[c].dataType) if floating else col).cast("string")
+
+
 def distinct_counts(df: DataFrame, cols) -> DataFrame:
-    """column_name, n_distinct (nulls not counted)."""
-    wide = df.agg(*[F.count_distinct(F.col(c)).alias(f"{c}__n_distinct") for c in cols])
-    return _stack(wide, list(cols), ["n_distinct"])
+    """column_name, n_distinct (nulls not counted).
+
+    Values are grouped as narrow (column number, value) pairs, once each after
+    the first merge in their task; a wide row is never sent once per column.
+    """
+    cols = list(cols)
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), _as_text(df, c).alias("_v")) for i, c in enumerate(cols)])))
+    distinct = pairs.filter(F.col("_v").isNotNull()).distinct()
+    wide = distinct.agg(*[F.count_if(F.col("_i") == i).alias(f"{c}__n_distinct") for i, c in enumerate(cols)])
+    return _stack(wide, cols, ["n_distinct"])
 
 
 def value_counts_topk(df: DataFrame, col: str, k: int = 10) -> DataFrame:

@@ -30,7 +30,8 @@ from transitlens.operators.enrich import (GPSY_POSITIVE, enrich_core, match_ping
 from transitlens.operators.payload import flatten_pings, parse_gps_payload, stamp_ingest_time
 from transitlens.operators.quality import (BRONZE_RULES, FLAT_INPUT_RULES, FLAT_RULES, TRIPS_DROP, TRIPS_RULES,
                                            expect_or_drop, observe_warn)
-from transitlens.operators.segments import route_segment_speed
+from transitlens.operators.segments import adjacent_segment_filter, next_stop_number, route_segment_speed
+from transitlens.operators.sketches import distinct_sketches, segment_summaries
 from transitlens.operators.stops import explode_stops, route_first_last_stop, stop_row_number
 from transitlens.operators.trips import (attach_route_meta, project_trips, terminal_stop_filter,
                                          trip_candidates)
@@ -41,13 +42,15 @@ from transitlens.sources.stops_json import read_stops_json
 
 LAYERS = ("bronze_gps_raw", "silver_gps_flat", "silver_paradas_exploded", "silver_stops_routes",
           "silver_routes_meta", "silver_gps_enriched_core", "silver_gps_enriched", "gold_trips_candidates",
-          "gold_trips_final", "gold_route_segment_speed")
+          "gold_trips_final", "gold_route_segment_speed", "summary_segment_speed", "summary_distinct")
+#: columns of the pings whose distinct values are summarised by date
+DISTINCT_COLUMNS = ("BUSNUMBER", "RUTA", "STOPID", "TRIPID")
 
 
 # The date column that partitions a layer; layers not named here are published whole.
 DATED = {"bronze_gps_raw": PARTITION_COL, "silver_gps_flat": "date", "silver_gps_enriched_core": "date",
          "silver_gps_enriched": "date", "gold_trips_candidates": "date", "gold_trips_final": "DATE",
-         "gold_route_segment_speed": "date"}
+         "gold_route_segment_speed": "date", "summary_segment_speed": "date", "summary_distinct": "date"}
 
 
 def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root: str,
@@ -103,6 +106,9 @@ def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root:
         obs["trips"] = Observation("trips")
         write("gold_trips_final", observe_warn(project_trips(final), TRIPS_RULES, obs["trips"], "trips"))
         write("gold_route_segment_speed", route_segment_speed(core))
+        # merged over any range of dates without reading pings again
+        write("summary_segment_speed", segment_summaries(adjacent_segment_filter(next_stop_number(core))))
+        write("summary_distinct", distinct_sketches(flat, list(DISTINCT_COLUMNS), "date"))
         return capture_dates, applied
 
     try:

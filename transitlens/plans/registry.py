@@ -24,8 +24,8 @@ from transitlens.config import scratch_path
 from transitlens.functions.numeric import cast_delay, round_sig, scale_coordinates
 from transitlens.functions.timefn import (epoch_to_local_time, local_date, rush_hour_flag,
                                           time_of_day_bucket)
-from transitlens.operators import crawl, ordering, profile, quality
-from transitlens.operators.dimension import bounded_broadcast
+from transitlens.operators import crawl, ordering, profile, quality, sketches
+from transitlens.operators.dimension import bounded_broadcast, materialize
 from transitlens.operators.enrich import (ENRICHED_COLUMNS, GPSY_POSITIVE, enrich_core, match_pings_to_stops,
                                           public_columns, running_avg_velocity)
 from transitlens.operators.payload import flatten_pings, parse_gps_payload, stamp_ingest_time
@@ -663,6 +663,32 @@ def q_distinct(spark, sf):
     return profile.distinct_counts(_t(spark, sf, "orders"), _DC)
 
 
+_DC_RANGE = ("1995-01-01", "1996-06-30")
+
+
+@register("distinct_by_date_range", _union([
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(DISTINCT {c}) AS n_distinct FROM orders "
+    f"WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{_DC_RANGE[0]}' AND DATE '{_DC_RANGE[1]}'" for c in _DC]))
+def q_distinct_range(spark, sf):
+    """Sketches of each order date, written once, united over a range of dates (exact up to 16,384 values)."""
+    orders = _t(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    stored = materialize(sketches.distinct_sketches(orders, _DC, "o_orderdate"))
+    return sketches.distinct_in_range(stored, "o_orderdate", *_DC_RANGE)
+
+
+@register("segment_speed_range", O.medallion(f"""SELECT RUTA AS LINE, ORIENTATION, segment_start, segment_end, count(*) AS OBS,
+         {O.avg_cents("sum(VELOCITY_CENTS)", "count(VELOCITY_CENTS)")} AS AVG_SPEED_M_S,
+         {O.rnd("avg(haversine_dist)", 1)} AS AVG_DIST_M, {O.rnd("quantile_disc(VELOCITY, 0.5)", 2)} AS MEDIAN_SPEED_M_S
+  FROM seg WHERE date BETWEEN (SELECT min(date) FROM pings) + 1 AND (SELECT max(date) FROM pings) - 1
+  GROUP BY RUTA, ORIENTATION, segment_start, segment_end""", N_BUSES, segments=True))
+def q_segment_range(spark, sf):
+    """Summaries of each segment and date, written once, merged over all dates but the first and the last."""
+    core = _silver(spark, sf).core
+    stored = materialize(sketches.segment_summaries(adjacent_segment_filter(next_stop_number(core))))
+    ends = _pings(spark, sf).agg(F.date_add(F.min("date"), 1), F.date_sub(F.max("date"), 1)).first()
+    return sketches.segment_speed_range(stored, *ends)
+
+
 @register("value_counts_topk", "SELECT o_custkey AS value, count(*) AS count FROM orders WHERE o_custkey IS NOT NULL "
           "GROUP BY o_custkey ORDER BY count DESC, value ASC LIMIT 10")
 def q_topk_values(spark, sf):
