@@ -109,7 +109,7 @@ def test_a_failing_run_deletes_its_files_and_a_published_one_keeps_them(spark, t
 
     def work(run):
         run.write("stops", _frames(spark, [], "new")[1])
-        return None, None
+        return {}
 
     def refused(*a):
         raise OSError("disk full")

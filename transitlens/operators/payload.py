@@ -59,7 +59,8 @@ def parse_gps_payload(df: DataFrame, col: str = "gps_data", out: str = "gps_data
     * JSON text          -> parsed; bare elements and single objects accepted,
                             malformed / empty / ``null`` text -> null
     * array              -> re-typed to the canonical struct
-    * anything else      -> the value if it is an array, else a typed empty array
+    * struct or map      -> one object, hence an array of one element
+    * anything else      -> a typed empty array
     """
     fld = next((f for f in df.schema.fields if f.name == col), None)
     empty = F.array().cast(PAYLOAD_TYPE)
@@ -71,6 +72,9 @@ def parse_gps_payload(df: DataFrame, col: str = "gps_data", out: str = "gps_data
         return df.withColumn(out, normalize_payload(parsed, PAYLOAD_PARSE_TYPE))
     if isinstance(dt, T.ArrayType):
         return df.withColumn(out, normalize_payload(F.col(col), dt))
+    if isinstance(dt, (T.StructType, T.MapType)):
+        one = F.when(F.col(col).isNotNull(), F.array(F.col(col)))
+        return df.withColumn(out, normalize_payload(one, T.ArrayType(dt)))
     return df.withColumn(out, empty)
 
 

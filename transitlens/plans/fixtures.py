@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.operators.stops import stop_row_number
+from transitlens.schemas import PAYLOAD_TYPE
 
 BAD_FIX_MODULUS = 97
 N_STOPS = 12
@@ -105,6 +106,19 @@ def events_to_snapshots(events: DataFrame, n_buses: int = 10) -> DataFrame:
         F.lit(None).cast("string").alias("error"))
 
 
+def with_broken_payloads(snaps: DataFrame) -> DataFrame:
+    """Captures whose payload takes, by poll minute, one of nine shapes, five of which can't be used (see ``FIXTURES.md``)."""
+    wrapped = F.from_json("gps_data", PAYLOAD_TYPE)
+    shape = (F.col("timestamp") / CAPTURE_SECONDS).cast("long") % 9
+    text = F.col("gps_data")
+    return snaps.withColumn("gps_data", F.when(shape == 1, None).when(shape == 2, " ").when(shape == 3, "null")
+                            .when(shape == 4, F.substring(text, F.lit(1), F.length(text) - 2))
+                            .when(shape == 5, F.to_json(F.transform(wrapped, lambda e: e["element"])))
+                            .when(shape == 6, F.to_json(F.get(wrapped, F.lit(0))))
+                            .when(shape == 7, F.concat(F.lit("[null,{},"), F.substring(text, F.lit(2), F.length(text))))
+                            .when(shape == 8, "42").otherwise(text))
+
+
 def events_to_fetch_results(events: DataFrame, n_buses: int = 10) -> tuple[DataFrame, DataFrame]:
     """(ok, err) fetch records: a poll whose events include an ``error`` event failed."""
     e = events.withColumn("_minute", F.floor(F.unix_timestamp("ts") / F.lit(CAPTURE_SECONDS)) * CAPTURE_SECONDS)

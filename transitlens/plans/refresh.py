@@ -27,9 +27,10 @@ from transitlens.config import DEFAULT_BROADCAST_ROWS, DEFAULT_SLICE_SECONDS
 from transitlens.operators.dimension import bounded_broadcast
 from transitlens.operators.enrich import (GPSY_POSITIVE, enrich_core, match_pings_to_stops,
                                           public_columns, running_avg_velocity)
-from transitlens.operators.payload import flatten_pings, parse_gps_payload, stamp_ingest_time
+from transitlens.operators.payload import flatten_pings, stamp_ingest_time
 from transitlens.operators.quality import (BRONZE_RULES, FLAT_INPUT_RULES, FLAT_RULES, TRIPS_DROP, TRIPS_RULES,
                                            expect_or_drop, observe_warn)
+from transitlens.operators.quarantine import parse_with_quarantine, quarantine_table
 from transitlens.operators.segments import adjacent_segment_filter, next_stop_number, route_segment_speed
 from transitlens.operators.sketches import distinct_sketches, segment_summaries
 from transitlens.operators.stops import explode_stops, route_first_last_stop, stop_row_number
@@ -42,7 +43,8 @@ from transitlens.sources.stops_json import read_stops_json
 
 LAYERS = ("bronze_gps_raw", "silver_gps_flat", "silver_paradas_exploded", "silver_stops_routes",
           "silver_routes_meta", "silver_gps_enriched_core", "silver_gps_enriched", "gold_trips_candidates",
-          "gold_trips_final", "gold_route_segment_speed", "summary_segment_speed", "summary_distinct")
+          "gold_trips_final", "gold_route_segment_speed", "summary_segment_speed", "summary_distinct",
+          "quarantine")
 #: columns of the pings whose distinct values are summarised by date
 DISTINCT_COLUMNS = ("BUSNUMBER", "RUTA", "STOPID", "TRIPID")
 
@@ -50,7 +52,8 @@ DISTINCT_COLUMNS = ("BUSNUMBER", "RUTA", "STOPID", "TRIPID")
 # The date column that partitions a layer; layers not named here are published whole.
 DATED = {"bronze_gps_raw": PARTITION_COL, "silver_gps_flat": "date", "silver_gps_enriched_core": "date",
          "silver_gps_enriched": "date", "gold_trips_candidates": "date", "gold_trips_final": "DATE",
-         "gold_route_segment_speed": "date", "summary_segment_speed": "date", "summary_distinct": "date"}
+         "gold_route_segment_speed": "date", "summary_segment_speed": "date", "summary_distinct": "date",
+         "quarantine": PARTITION_COL}
 
 
 def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root: str,
@@ -75,9 +78,10 @@ def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root:
             raw = raw.filter(F.col(PARTITION_COL).isin([F.lit(d).cast("date") for d in capture_dates if d is not None])
                              | (F.col(PARTITION_COL).isNull() & F.lit(None in capture_dates)))
         obs["bronze"] = Observation("bronze")
-        bronze = stamp_ingest_time(parse_gps_payload(raw))
+        bronze = stamp_ingest_time(parse_with_quarantine(raw))
         bronze = write("bronze_gps_raw", observe_warn(bronze, {**BRONZE_RULES, **FLAT_INPUT_RULES}, obs["bronze"],
                                                       "bronze"))
+        write("quarantine", quarantine_table(bronze, "ruta", "timestamp", "gps_data", PARTITION_COL))
         obs["flat"] = Observation("flat")
         flat = write("silver_gps_flat", observe_warn(flatten_pings(bronze), FLAT_RULES, obs["flat"], "flat"))
 
@@ -109,13 +113,13 @@ def refresh(spark: SparkSession, captures_path: str, stops_path: str, out_root:
         # merged over any range of dates without reading pings again
         write("summary_segment_speed", segment_summaries(adjacent_segment_filter(next_stop_number(core))))
         write("summary_distinct", distinct_sketches(flat, list(DISTINCT_COLUMNS), "date"))
-        return capture_dates, applied
+        metrics: dict = {}
+        for o in obs.values():
+            metrics.update(o.get)
+        return {"dates": capture_dates, "applied": applied, "metrics": metrics}
 
     try:
         published = publishing(spark, out_root, work)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {core_table}")  # external: the published files stay
-    metrics: dict = {}
-    for o in obs.values():
-        metrics.update(o.get)
-    return {"root": out_root, "version": published.version, "tables": list(LAYERS), "expectations": metrics}
+    return {"root": out_root, "version": published.version, "tables": list(LAYERS), "expectations": published.metrics}

@@ -24,7 +24,7 @@ from transitlens.config import scratch_path
 from transitlens.functions.numeric import cast_delay, round_sig, scale_coordinates
 from transitlens.functions.timefn import (epoch_to_local_time, local_date, rush_hour_flag,
                                           time_of_day_bucket)
-from transitlens.operators import crawl, ordering, profile, quality, sketches
+from transitlens.operators import crawl, heavy, ordering, profile, quality, quarantine, sketches
 from transitlens.operators.dimension import bounded_broadcast, materialize
 from transitlens.operators.enrich import (ENRICHED_COLUMNS, GPSY_POSITIVE, enrich_core, match_pings_to_stops,
                                           public_columns, running_avg_velocity)
@@ -398,6 +398,22 @@ def q_ingest(spark, sf):
     return stamped.select("ruta", "timestamp", F.col("ingest_time").isNotNull().alias("stamped"))
 
 
+_SHAPES = {1: "no_payload", 2: "empty_text", 3: "null_text", 4: "malformed_json", 8: "not_pings"}
+
+
+@register("quarantine_captures", O.with_ctes(O.pings_cte(N_BUSES), "captures AS (SELECT "
+          "CAST(floor(epoch_us(timestamp) / 60000000.0) AS BIGINT) % 9 AS shape, count(*) AS n FROM pings "
+          "GROUP BY RUTA, floor(epoch_us(timestamp) / 60000000.0), floor(ping_seq / 4096))", body=(
+    "SELECT * FROM (SELECT 'capture' AS unit, CASE shape "
+    + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _SHAPES.items()) + " END AS reason, count(*) AS n FROM captures GROUP BY 1, 2 "
+    "UNION ALL SELECT 'element', NULL, CAST(sum(CASE shape WHEN 6 THEN 1 ELSE n END) AS BIGINT) FROM captures "
+    f"WHERE shape NOT IN ({', '.join(map(str, _SHAPES))}) "
+    "UNION ALL SELECT 'element', 'empty_element', 2 * count(*) FROM captures WHERE shape = 7) WHERE n > 0")))
+def q_quarantine(spark, sf):
+    """Rows in by what became of them: captures and elements parsed (no reason) or set aside with a reason."""
+    return quarantine.quarantine_report(quarantine.parse_with_quarantine(fixtures.with_broken_payloads(_snapshots(spark, sf))))
+
+
 def q_landing(spark, sf):
     path = scratch_path(spark, "landing")
     for _ in range(2):  # the repeated batch is skipped
@@ -1096,6 +1112,16 @@ def q_share_trips(spark, sf):
     return _stable(profile.category_share(_trips_table(spark, sf), "TIMEOFDAY"), "percent")
 
 
+@register("heavy_hitters", _union([
+    f"SELECT * FROM (SELECT '{c}' AS column_name, {c} AS value, count(*) AS count FROM lineitem WHERE {c} IS NOT NULL "
+    f"GROUP BY {c} ORDER BY count DESC, value ASC LIMIT 20)" for c in ("l_partkey", "l_orderkey")]))
+def q_heavy(spark, sf):
+    """The 20 most frequent part and order keys of the line items, found behind a count-min bound."""
+    parts = [heavy.heavy_hitters(_t(spark, sf, "lineitem"), c, 20).select(F.lit(c).alias("column_name"), "value", "count")
+             for c in ("l_partkey", "l_orderkey")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("value_counts_topk_trips", _p("SELECT LINE AS value, count(*) AS count FROM trips WHERE LINE IS NOT NULL "
                                         "GROUP BY LINE ORDER BY count DESC, value ASC LIMIT 10"))
 def q_topk_trips(spark, sf):

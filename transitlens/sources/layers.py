@@ -28,7 +28,7 @@ def materialize_layers(spark: SparkSession, layers: list[tuple[str, Callable]],
         written: dict[str, DataFrame] = {}
         for name, build in layers:
             written[name] = run.write(name, build(written.__getitem__), by.get(name))
-        return dates, None
+        return {"dates": dates}
 
     version = publishing(spark, root, work).version
     return {name: read_layer(spark, root, name, version=version) for name, _ in layers}

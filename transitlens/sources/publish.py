@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from transitlens.config import file_system
 
 MANIFESTS = "_manifest"
+METRICS = "_metrics"
 RUN = "_run"
 #: how a folder of rows without a date is named
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
@@ -52,21 +53,27 @@ class Layer:
 
 @dataclass(frozen=True)
 class Manifest:
-    """What a version consists of. ``applied`` holds how far each incremental source has been worked in."""
+    """What a version consists of.
+
+    ``applied`` holds how far each incremental source has been worked in,
+    ``metrics`` what the run counted.
+    """
 
     version: int = 0
     layers: dict[str, Layer] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
+    metrics: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
         layers = {n: {"schema": x.schema.jsonValue(), "by": x.by, "parts": x.parts} for n, x in self.layers.items()}
-        return json.dumps({"version": self.version, "layers": layers, "applied": self.applied}, sort_keys=True)
+        return json.dumps({"version": self.version, "layers": layers, "applied": self.applied,
+                           "metrics": self.metrics}, sort_keys=True)
 
     @staticmethod
     def from_json(text: str) -> Manifest:
         d = json.loads(text)
         return Manifest(d["version"], {n: Layer(T.StructType.fromJson(x["schema"]), x["by"], x["parts"])
-                                       for n, x in d["layers"].items()}, d["applied"])
+                                       for n, x in d["layers"].items()}, d["applied"], d["metrics"])
 
 
 def part_name(date) -> str:
@@ -203,7 +210,8 @@ class Run:
         named = [s.getPath().getName().partition("=") for s in _children(self.spark, self.path(name))]
         return {value: self.id for column, _, value in named if column == by}
 
-    def publish(self, dates: Iterable | None = None, applied: dict[str, int] | None = None) -> Manifest:
+    def publish(self, dates: Iterable | None = None, applied: dict[str, int] | None = None,
+                metrics: dict[str, int] | None = None) -> Manifest:
         """Make the run the newest version; the manifest.
 
         With ``dates``, layers by date keep the current version's other dates
@@ -224,7 +232,7 @@ class Run:
                     kept = {d: r for d, r in layers[name].parts.items() if d not in replaced}
                     layer = replace(layer, parts=kept | layer.parts)
                 layers[name] = layer
-            done = Manifest(base.version + 1, layers, base.applied | (applied or {}))
+            done = Manifest(base.version + 1, layers, base.applied | (applied or {}), metrics or {})
             if self._commit(done):
                 return done
         raise OSError(f"could not publish under {self.root}: other runs came first {ATTEMPTS} times")
@@ -250,20 +258,27 @@ class Run:
                 delete(self.spark, self.path(name))
 
 
-def publishing(spark: SparkSession, root: str, work: Callable[[Run], tuple[Iterable | None, dict[str, int] | None]]) -> Manifest:
+def publishing(spark: SparkSession, root: str, work: Callable[[Run], dict]) -> Manifest:
     """Run ``work`` on a new :class:`Run` and publish it; a failed run's files are deleted.
 
-    ``work`` writes the layers and returns the dates and source positions for :meth:`Run.publish`.
+    ``work`` writes the layers and returns the arguments of :meth:`Run.publish`.
     """
     run = Run(spark, root)
     try:
-        dates, applied = work(run)
-        return run.publish(dates, applied)
+        return run.publish(**work(run))
     except BaseException:
         run.abandon()
         raise
 
 
+def all_metrics(spark: SparkSession, root: str) -> dict[int, dict[str, int]]:
+    """The metrics of every version ever published, oldest first."""
+    old = [s.getPath().getName() for s in _children(spark, os.path.join(root, METRICS))]
+    kept = {int(n[:-5]): json.loads(read_text(spark, os.path.join(root, METRICS, n))) for n in old
+            if n.endswith(".json") and n[:-5].isdigit()}
+    return dict(sorted((kept | {v: manifest(spark, root, v).metrics for v in versions(spark, root)}).items()))
+
+
 def remove_old_versions(spark: SparkSession, root: str, keep: int = 2, min_age_hours: float = 168) -> list[str]:
     """Delete all but the newest ``keep`` manifests and the run folders that no kept one names; the deleted folders.
 
@@ -278,11 +293,14 @@ def remove_old_versions(spark: SparkSession, root: str, keep: int = 2, min_age_h
         return []
     named = {(n, r) for v in found[-keep:] for n, layer in manifest(spark, root, v).layers.items() for r in layer.parts.values()}
     before = (time.time() - min_age_hours * 3600) * 1000
-    for v in found[:-keep]:
+    for v in found[:-keep]:  # their metrics stay
+        write_text(spark, os.path.join(root, METRICS, f"{v:010d}.json"), json.dumps(manifest(spark, root, v).metrics))
         delete(spark, _manifest_path(root, v))
     gone = []
     for layer in _children(spark, root):
         name = layer.getPath().getName()
+        if name == METRICS:
+            continue
         if name == MANIFESTS:
             stale = [s.getPath() for s in _children(spark, layer.getPath().toString())
                      if s.getPath().getName().startswith(".") and s.getModificationTime() < before]
