@@ -46,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +84,10 @@ TAIL_PRIOR = 2.0
 #: pairs that a task counts before it sends them on
 PAIRS_HELD = 1 << 20
 TAIL_PARTITIONS = 64
+#: tokens of tail words that are scored side by side
+PORTION = 1 << 14
+#: bytes of text that are read side by side
+SLICE_BYTES, WORD_BYTES = 4 << 20, 8 << 20
 #: context of a text's first words
 NO_WORD = 1
 
@@ -102,29 +107,29 @@ def _binary(part: pa.RecordBatch, column: str) -> list[bytes | None]:
     return part.column(column).cast(pa.binary()).to_pylist()
 
 
+def _tokens(texts: list[bytes | None]) -> tuple[np.ndarray, list[bytes]]:
+    """Number of tokens of each text, and all of them in order."""
+    flat: list[bytes] = []
+    lengths = []
+    for t in texts:
+        words = words_of(t)
+        lengths.append(len(words))
+        flat += words
+    return np.array(lengths, np.int64), flat
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``word, c`` over all texts (column ``text``); tasks pre-count in bounded portions."""
+    """``word, c`` over all texts (column ``text``); tasks pre-count in bounded portions, Spark adds them up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for part in slices(batches, "text"):
-            for t in _binary(part, "text"):
-                seen.update(words_of(t))
-            if len(seen) > 1 << 19:
-                yield _counts_batch(seen)
-                seen = Counter()
-        if seen:
-            yield _counts_batch(seen)
+        for part in slices(batches, "text", WORD_BYTES):
+            counted = pc.value_counts(pa.array(_tokens(_binary(part, "text"))[1], pa.binary()))
+            yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], ["word", "c"])
 
     return (texts.select("text").mapInArrow(run, "word binary, c long")
             .groupBy("word").agg(F.sum("c").alias("c")))
 
 
-def _counts_batch(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                      ["word", "c"])
-
-
 def frequent(counts: DataFrame, most: int = HOT_WORDS) -> list[tuple[bytes, int]]:
     """The most frequent words, at most ``most``: all whose count reaches a bound found from a short histogram."""
     band = F.floor(F.log2("c") * 16).cast("int")
@@ -146,30 +151,31 @@ class Lexicon:
     """Frequent words with symbols and counts."""
 
     def __init__(self, hot: list[tuple[bytes, int]]):
-        self.index = {w: i for i, (w, _) in enumerate(hot)}
+        self.words = pa.array([w for w, _ in hot], pa.binary())
         self.counts = np.array([c for _, c in hot] + [0], np.float64)
         self.symbols = np.array([i if i < HEAD else HEAD + tail_class(w) for i, (w, _) in enumerate(hot)] + [0], np.int64)
         self.hashes = np.array([zlib.crc32(w) for w, _ in hot] + [0], np.uint64)
 
-    def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Of a batch: lengths, hot index (-1: none), symbol, context and hash of every token, and each text's rare words."""
-        get, flat, lengths, rare, rare_class, rare_hash = self.index.get, [], [], [], [], []
-        for t in texts:
-            words = words_of(t)
-            own = [get(w, -1) for w in words]
-            missing = [w for w, i in zip(words, own) if i < 0] if -1 in own else []
-            rare_class += [tail_class(w) for w in missing]
-            rare_hash += map(zlib.crc32, missing)
-            rare.append(missing)
-            flat += own
-            lengths.append(len(own))
-        hot = np.array(flat, np.int64)
-        symbol = self.symbols[hot]
-        symbol[hot < 0] = HEAD + np.array(rare_class, np.int64)
-        hashes = self.hashes[hot]
-        hashes[hot < 0] = np.array(rare_hash, np.uint64)
-        size = np.array(lengths, np.int64)
+    def read(self, texts: list[bytes | None], list_rare: bool = False
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[Counter]]:
+        """Of a batch: lengths, hot index (-1: none), symbol, context and hash of every token, and each text's rare words.
+
+        All tokens are looked up at once; only rare ones are looked at singly.
+        """
+        size, tokens = _tokens(texts)
+        hot = pc.fill_null(pc.index_in(pa.array(tokens, pa.binary()), value_set=self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(hot < 0)
+        words = [tokens[i] for i in new.tolist()]
+        symbol, hashes = self.symbols[hot], self.hashes[hot]
+        symbol[new] = [HEAD + tail_class(w) for w in words]
+        hashes[new] = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
         first = np.cumsum(size) - size
+        rare: list[Counter] = []
+        if list_rare:
+            start = 0
+            for end in np.searchsorted(new, first + size).tolist():
+                rare.append(Counter(words[start:end]))
+                start = end
         one = np.empty_like(symbol)
         one[1:] = symbol[:-1]
         one[first] = START
@@ -185,7 +191,7 @@ def trigram_counts(texts: DataFrame, sent: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(sent.value)
         codes, n = np.empty(0, np.int64), np.empty(0, np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             _, _, symbol, context, _, _ = lexicon.read(_binary(part, "text"))
             new, k = np.unique(context * SYMBOLS + symbol, return_counts=True)
             both, where = np.unique(np.concatenate([codes, new]), return_inverse=True)
@@ -291,7 +297,7 @@ def train(trigrams: DataFrame, n_head: int, rounds: int = ROUNDS, rate: float =
                     ["level", "rows", "sums"])
 
         totals = [np.zeros((len(w), 2 * w.shape[1]), np.float32) for w in weights]
-        for r in table.mapInArrow(run, "level int, rows binary, sums binary").toLocalIterator():
+        for r in table.mapInArrow(run, "level int, rows binary, sums binary").toLocalIterator(prefetchPartitions=True):
             rows = np.frombuffer(r["rows"], "<i4")
             totals[r["level"]][rows] += np.frombuffer(r["sums"], "<f4").reshape(len(rows), -1)
         for w, t in zip(weights, totals, strict=True):
@@ -470,7 +476,14 @@ def tail_weights(pairs: DataFrame, shares: list[np.ndarray]) -> np.ndarray:
 
 def log_tail(klass: np.ndarray, path: np.ndarray, one: np.ndarray, two: np.ndarray, biases: list[np.ndarray],
              weights: np.ndarray) -> np.ndarray:
-    """log p(leaf | tail class, the two words before)."""
+    """log p(leaf | tail class, the two words before): at each level a softmax over 16 digits."""
+    # portions that stay in the processor's cache
+    parts = [slice(i, i + PORTION) for i in range(0, len(klass), PORTION)]
+    return np.concatenate([np.zeros(0), *[_log_tail(klass[p], path[p], one[p], two[p], biases, weights) for p in parts]])
+
+
+def _log_tail(klass: np.ndarray, path: np.ndarray, one: np.ndarray, two: np.ndarray, biases: list[np.ndarray],
+              weights: np.ndarray) -> np.ndarray:
     out = np.zeros(len(klass))
     mixed = [_mixed(0, _groups(kind, context, klass)) for kind, context in enumerate((one, two))]
     first = [(m >> np.uint64(64 - BLOCK_BITS)).astype(np.int64) * BLOCK_ROWS for m in mixed]
@@ -478,10 +491,14 @@ def log_tail(klass: np.ndarray, path: np.ndarray, one: np.ndarray, two: np.ndarr
     for k, bias in enumerate(biases):
         prefix = path & np.uint64(WIDTH ** k - 1)
         near, skip = (f + _tail_rows(m, k, prefix) for f, m in zip(first, mixed))
-        z = np.add(weights[near], weights[skip], dtype=np.int16) * np.float32(1 / STEP)
-        z += bias[klass << (4 * k) | prefix.astype(np.int64)]
+        z = weights.take(near, 0).astype(np.float32)
+        z += weights.take(skip, 0)
+        z *= np.float32(1 / STEP)
+        z += bias.take(klass << (4 * k) | prefix.astype(np.int64), 0)
         digit = ((path >> np.uint64(4 * k)) & np.uint64(WIDTH - 1)).astype(np.int64)
-        out += z[every, digit] - np.log(np.exp(z).sum(1))
+        out += z[every, digit]
+        np.exp(z, out=z)
+        out -= np.log(np.einsum("ij->i", z))
     return out
 
 
@@ -522,7 +539,7 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
         logs = np.log10(lexicon.counts + SMOOTH)
         logs[-1] = 0.0  # words outside the dictionary are added by the join
         for part in slices(batches, "text", 2 << 20):
-            size, hot, symbol, context, hashes, rare = lexicon.read(_binary(part, "text"))
+            size, hot, symbol, context, hashes, rare = lexicon.read(_binary(part, "text"), list_rare=True)
             first = np.cumsum(size) - size
             model = log_head(context, symbol, *parts) / np.log(10)
             tail = np.flatnonzero(symbol >= HEAD)
@@ -530,12 +547,15 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
             one, two = (c[tail] for c in _contexts(hashes, size))
             model[tail] += (log_tail(klass, path, one, two, biases, weights) / np.log(10) + logs[hot[tail]]
                             - spread[klass * WIDTH ** depth + path.astype(np.int64)])
-            listed = [[{"word": w, "n": k} for w, k in Counter(r).items()] for r in rare]
+            listed = pa.ListArray.from_arrays(
+                np.cumsum([0, *map(len, rare)]).astype(np.int32),
+                pa.StructArray.from_arrays([pa.array([w for r in rare for w in r], pa.binary()),
+                                            pa.array([k for r in rare for k in r.values()], pa.int32())], ["word", "n"]))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("held_out"), pa.array(size),
                  pa.array(np.add.reduceat((hot >= 0).astype(np.int64), first)),
                  pa.array(np.add.reduceat(logs[hot], first)), pa.array(np.add.reduceat(model, first)),
-                 pa.array(listed, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])))],
+                 listed],
                 ["doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"])
 
     local = rows.select("doc_id", "held_out", "text").mapInArrow(run, SCORED.format(kind))
