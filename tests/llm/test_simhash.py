@@ -83,3 +83,24 @@ def test_groups_of_rows(spark, docs, tmp_path):
     kept = S.one_of_each_group(d, 4, 4).collect()
     assert sorted(r["doc_id"] for r in kept) == [3, 4, 5, 8] and kept[0]["fp"] == 1 and kept[0]["_row"] == 3
     assert S.near_duplicates(d.limit(0), 4, 4).count() == 0
+
+
+def test_the_same_rows_stay_however_files_are_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    """Executors may come and go between two readings of the documents."""
+    rows = [(i % 7, "one two three four five six seven", f"s{i}") for i in range(60)] + [(None, "other words here entirely", "x"), (99, None, "y")]
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(12).write.parquet(path)
+    real, seen = S.written, []
+
+    def dealt(df, name):
+        out = real(df, name)
+        seen.append(name)
+        spark.conf.set("spark.sql.files.minPartitionNum", "2" if len(seen) % 2 else "12")
+        return out
+
+    try:
+        monkeypatch.setattr(S, "written", dealt)
+        got = sorted((tuple(r) for r in S.one_of_each_group(spark.read.parquet(path), 4, 4).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(got) == 3 and [r[0] for r in got] == [0, 99, None] and got[0][2] in {f"s{i}" for i in range(0, 60, 7)}

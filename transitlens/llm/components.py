@@ -6,7 +6,7 @@ collected. Rounds end when the edge set no longer changes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from transitlens.llm.common import discard, written
@@ -34,19 +34,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(starred.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return r["n"], r["x"]
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a stored table, with their number and checksum, observed as they are written."""
+    seen = Observation()
+    observed = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+    return written(observed, "edges"), (seen.get["n"], seen.get["x"])
 
 
 def roots(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node with an edge; ``root`` is its component's smallest node."""
-    edges = written(edges.where("u != v").select("u", "v").distinct(), "edges")
-    state = _state(edges)
+    edges, state = _stored(edges.where("u != v").select("u", "v").distinct())
     while True:
-        after = written(_small_star(_large_star(edges)), "edges")
+        after, new_state = _stored(_small_star(_large_star(edges)))
         discard(edges)
-        new_state, edges = _state(after), after
+        edges = after
         if new_state == state:
             break
         state = new_state

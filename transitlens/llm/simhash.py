@@ -97,7 +97,8 @@ def _segment(fp: Column, shift: int, bits: int) -> Column:
 
 
 def _literals(masks: list[int]) -> Column:
-    return F.array(*[F.lit(m - (1 << 64) if m >= 1 << 63 else m).cast("bigint") for m in masks])
+    # one folded literal, not thousands in every plan
+    return F.split(F.lit(",".join(str(m - (1 << 64) if m >= 1 << 63 else m) for m in masks)), ",").cast("array<bigint>")
 
 
 def _probes(fp: Column, i: int, shift: int, bits: int, radius: int) -> Column:
@@ -176,10 +177,11 @@ def one_of_each_group(docs: DataFrame, shingle: int, max_bits: int, doc_id: str
                       text: str = "text") -> DataFrame:
     """The rows of ``docs`` with one row left of each group: the smallest id's, null ids last, then by position.
 
-    ``docs`` must be a stored table, whose row positions are the same each time it is read.
+    Rows are numbered once and stored with their numbers: a number given anew
+    at every reading would depend on how files are dealt over tasks then.
     """
     row = fresh("_row", docs.columns)
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    placed = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = near_duplicates(placed, shingle, max_bits, doc_id, text, carry=(row,))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id"), F.col(row).alias("row")))
     winners = written(found.groupBy("root").agg(first.alias("w")).select(F.col("w.row").alias(row)), "winners")
