@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -25,11 +26,25 @@ def plain(text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="0123456789.+-() @aZé\n", max_size=60))
+@given(st.one_of(st.text(alphabet="0123456789.+-() @aZé\n", max_size=60), st.text(alphabet="a@.-_%1+ é", max_size=40),
+                 st.text(alphabet="12.5 a", max_size=40)))
 def test_strict_spans_of_any_text(text):
     assert P.strict_spans(text) == plain(text)
 
 
+def test_long_runs_take_linear_time():
+    n = 1_000_000
+    for text in ["1" * n, "a" * n, "a" * n + "@", "a@" * (n // 2), "1." * (n // 2), "a." * (n // 2) + "@b", "@" + "a." * (n // 2), "+1" + " " * n,
+                 "a at " * (n // 5), "(at)" * (n // 4), "1 " * (n // 2), "x@y" + ".z" * (n // 2)]:
+        t = time.process_time()
+        P.strict_spans(text)
+        assert time.process_time() - t < 1.5, text[:12]
+    long = "n" * 300 + "@" + "d" * 200 + ".x" * 9
+    assert P.strict_spans(long) == [(0, len(long), "email")]
+    spelled = "write to " + "n" * 100 + " (at) " + " (dot) ".join(["d" * 70] * 7)
+    assert (9, len(spelled), "email") in P.candidates(spelled)
+
+
 def test_strict_spans():
     t = "Mail a.b@c-d.org, 10.0.0.255 or 10.0.0.256, card 4111 1111 1111 1111, 4111111111111112, +1 (017) 555-7713."
     assert [k for _, _, k in P.strict_spans(t)] == ["email", "ip", "card", "phone"] and P.strict_spans(t) == plain(t)

@@ -40,14 +40,18 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = tuple(PATTERNS)
-_STRICT = {k: re.compile(p) for k, p in PATTERNS.items()}
+#: how the patterns are searched in time linear in the text: names of emails are found from their "@", ips start a run of digits
+_STRICT = {k: re.compile(p) for k, p in PATTERNS.items()} | {
+    "ip": re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")}
+_NAME = "".join(chr(c) for c in range(128) if re.match(r"[A-Za-z0-9._%+-]", chr(c)))
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _HINT = re.compile("[0-9@]|[(\\[]at[)\\]]")
 
 # Generators: broader than the strict patterns, and overlapping.
 _NUMBER = re.compile(r"(?<![0-9])\+?(?:\([0-9]{1,5}\)|[0-9]+)(?:[ ./() -]{1,2}[0-9]+)*")
 _QUAD = re.compile(r"[0-9]{1,3}(?:[.]|\[\.\]|\(\.\))[0-9]{1,3}(?:[.]|\[\.\]|\(\.\))[0-9]{1,3}(?:[.]|\[\.\]|\(\.\))[0-9]{1,3}")
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]{1,63}"
-                      r"(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]{1,63}){1,4}")
+_SPELLED_AT = re.compile(r" ?(?:@|[(\[]at[)\]]) ?")
+_SPELLED_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]++)++")
 #: parts of a run of numbers are proposed up to this many digits, from every group on
 MAX_DIGITS = 19
 SAMPLE_TEXTS = 4000
@@ -82,6 +86,29 @@ def valid(kind: str, s: str) -> bool:
     return 14 <= len(d) <= 19 and luhn(d) if kind == "card" else 10 <= len(d) <= 15
 
 
+def _addresses(text: str, at: re.Pattern, domain: re.Pattern) -> list[tuple[int, int]]:
+    """Leftmost, non-overlapping spans of name, ``at`` and ``domain``.
+
+    No name holds an ``at``, so every span is found from its ``at``: the name
+    runs back to the last character that can't be in it, the previous ``at``, or
+    the end of the previous span. Each character is looked at a few times at most.
+    """
+    out, start, m = [], 0, at.search(text)
+    while m:
+        end, found = m.end(), domain.match(text, m.end())
+        if found and m.start() > start:
+            head = text[start:m.start()]
+            name = len(head.rstrip(_NAME))
+            if name < len(head):
+                out.append((start + name, found.end()))
+                end = found.end()
+        start, m = end, at.search(text, end)
+    return out
+
+
+_AT = re.compile("@")
+
+
 def strict_spans(text: str) -> list[Span]:
     """Base spans by start, then kind as listed."""
     found = []
@@ -89,6 +116,9 @@ def strict_spans(text: str) -> list[Span]:
     for rank, (kind, pattern) in enumerate(_STRICT.items()):
         if "@" not in text if kind == "email" else not has_digit or kind == "phone" and "+" not in text:
             continue
+        if kind == "email":
+            found += [(a, rank, b) for a, b in _addresses(text, _AT, _DOMAIN)]
+            continue
         found += [(m.start(), rank, m.end()) for m in pattern.finditer(text) if valid(kind, m.group())]
     return [(a, b, KINDS[r]) for a, r, b in sorted(found)]
 
@@ -115,7 +145,7 @@ def candidates(text: str) -> list[Span]:
     found |= {(m.start(), m.end(), "ip") for m in _QUAD.finditer(text)
               if all(int(p) <= 255 for p in re.findall("[0-9]+", m.group()))}
     if "@" in text or "at" in text:
-        found |= {(m.start(), m.end(), "email") for m in _SPELLED.finditer(text)}
+        found |= {(a, b, "email") for a, b in _addresses(text, _SPELLED_AT, _SPELLED_DOMAIN)}
     return sorted(found)
 
 
