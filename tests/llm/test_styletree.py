@@ -97,3 +97,19 @@ def test_self_closing_and_unclosed_icons_and_formulas():
     assert text_of(page.replace("'/>", "'>")) == "One two.\nThree.\nFour."
     assert text_of("<p>a <svg><title>t</title><path d='x'/></svg>b <math><mi>x</mi><mo>=</mo><mn>1</mn></math> c") == "a b x=1 c"
     assert text_of("<p>a<select><option>x</select>b" + "<svg>" * 20000) == "ab"
+
+
+def test_contents_that_marks_alone_would_lose():
+    def text(page):
+        return "\n".join(b[0] for b in S.usable(S.parse(page)))
+
+    assert text("<article><div class='legal'><p>The law text is the topic.</p></div></article>") == "The law text is the topic."
+    assert text("<body><nav><a>Home</a></nav><div class='legal'><p>Only this.</p></div></body>") == "Only this."
+    assert text("<body><nav><a>Home</a></nav></body>") == ""
+    body = "<p>" + "The main text goes on. " * 20 + "</p>"
+    teasers = "<article><h3>Read on</h3></article><article><h3>And this</h3></article>"
+    assert text(f"<body>{body}{teasers}</body>") == ("The main text goes on. " * 20).strip()
+    assert text(f"<body><p>A short line above.</p><article>{body}</article></body>") == ("The main text goes on. " * 20).strip()
+    for tag in ("style-x", "title-bar", "script-box"):
+        assert text(f"<article><p>A</p><{tag}></{tag}><p>B</p><{tag}/><p>C</p></article>") == "A\nB\nC"
+    assert text("<article><p>A</p><style>p {}</style><p>B</p><script>x</script-y></script><p>C</p></article>") == "A\nB\nC"

@@ -39,6 +39,8 @@ MIN_PAGES = 8
 LOW = 0.25
 #: a form with so many characters, and most of the page's, is the page
 PAGE_FORM = 400
+#: text outside of articles is the page's own if it is so many times as long, and at least so many characters
+TEASERS, PAGE_TEXT = 2, 200
 #: and if a text on it is found on so large a share of its pages on average, whatever their number
 COMMON = 0.75
 #: hosts with low nodes that may be broadcast with the paths of these nodes
@@ -74,7 +76,7 @@ CONTENT_CLASS = frozenset("""content main-content page-content article article-b
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?P<rawattr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<rawattr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
 _ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
@@ -190,16 +192,26 @@ def usable(blocks: list[tuple[str, str, str, int, bool]]) -> list[tuple[str, str
     """Blocks that the page itself does not mark as noise, from its article if it marks one.
 
     An article within an element of a noise class stands against the unmarked
-    blocks by length; so does a form that holds most of the page's text.
+    blocks by length; so does a form that holds most of the page's text, and so
+    do the blocks outside of articles that are mere teasers beside them. A
+    page of which nothing would be left keeps what only a class or a form marks,
+    in its article if it has one.
     """
     clean = [b for b in blocks if not b[3]]
-    if not (article := [b for b in clean if b[4]]):
+    article, beside = [b for b in clean if b[4]], [b for b in clean if not b[4]]
+    own, other = (sum(len(b[0]) for b in x) for x in (article, beside))
+    if article and other >= max(TEASERS * own, PAGE_TEXT):
+        article, clean = [], beside
+    elif not article:
         others = [[b for b in blocks if b[3] == DOUBTFUL], [b for b in blocks if b[3] in (0, FORM)]]
         length = [sum(len(b[0]) for b in x) for x in (clean, *others)]
         if length[1] >= max(1, length[0]):
             clean = others[0]
         elif length[2] > 4 * length[0] and length[2] - length[0] >= PAGE_FORM:
             clean = others[1]
+        if not clean:
+            soft = [b for b in blocks if b[3] != HARD]
+            clean = [b for b in soft if b[4]] or soft
     return [(*b[:3], b[4]) for b in (article or clean)]
 
 
