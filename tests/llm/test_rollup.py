@@ -1,6 +1,9 @@
 import random
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from transitlens.llm import rollup as R
 
 SCHEMA = "source string, lang string, tokenizer string, tokens long, sign int"
@@ -57,3 +60,23 @@ def test_counts_with_and_without_repeated_lines(spark):
     df = spark.createDataFrame([("a b\nc, d\na b",), ("one two",), (None,), ("",), ("x\nx",)], "text string")
     got = [tuple(r) for r in R.with_counts(df).collect()]
     assert got == [(6, 7, 4, 5), (2, 2, 2, 2), (0, 0, 0, 0), (0, 0, 0, 0), (2, 2, 1, 1)]
+
+
+def test_a_repeat_that_fails_midway_leaves_the_committed_batch(spark, tmp_path):
+    store = R.TokenRollup(spark, str(tmp_path / "r"))
+    rows = spark.createDataFrame([("a", "en", "v", 3, 1), ("b", "en", "v", 4, 1)], SCHEMA)
+    store.apply(1, rows)
+    want = rows_of(store.totals())
+    broken = rows.withColumn("tokens", F.when(F.col("source") == "b", F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("tokens")))
+    with pytest.raises(Exception, match="lost"):
+        store.apply(1, broken)
+    assert rows_of(store.totals()) == want and store.committed() == [1]
+    again = R.TokenRollup(spark, str(tmp_path / "r"))
+    assert again.apply(1, rows) and rows_of(again.totals()) == want
+    assert len(list((tmp_path / "r" / "deltas" / "batch=1").glob("write=*"))) == 1
+
+
+def test_counts_keep_columns_with_clashing_names(spark):
+    df = spark.createDataFrame([("a b", 7, "y")], "text string, _lines int, _ONCE string")
+    got = R.with_counts(df)
+    assert got.columns[:2] == ["_lines", "_ONCE"] and got.first()[:2] == (7, "y")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.config import file_system
-from transitlens.llm.common import BLANKS, text_or_empty
+from transitlens.llm.common import BLANKS, fresh, text_or_empty
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -50,15 +50,16 @@ def counted(docs: DataFrame, tokenizer: str, sign: Column | int = 1, text: str =
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the text but with its counts by every tokenizer, ``{version}``, and those of the text
     without its repeated lines, ``{version} once`` (equal where no line repeats, and then not counted again)."""
-    d = docs.withColumn("_lines", F.split(text_or_empty(text), "\n"))
-    d = d.withColumn("_once", F.array_distinct("_lines"))
+    lines, once = (fresh(n, docs.columns) for n in ("_lines", "_once"))
+    d = docs.withColumn(lines, F.split(text_or_empty(text), "\n"))
+    d = d.withColumn(once, F.array_distinct(lines))
     counts = {v: f(text_or_empty(text)).cast("bigint") for v, f in TOKENIZERS.items()}
     for v, n in counts.items():
         d = d.withColumn(v, n)
-    repeats = F.size("_once") < F.size("_lines")
+    repeats = F.size(once) < F.size(lines)
     for v, f in TOKENIZERS.items():
-        d = d.withColumn(f"{v} once", F.when(repeats, f(F.array_join("_once", "\n")).cast("bigint")).otherwise(F.col(v)))
-    return d.drop("_lines", "_once", text)
+        d = d.withColumn(f"{v} once", F.when(repeats, f(F.array_join(once, "\n")).cast("bigint")).otherwise(F.col(v)))
+    return d.drop(lines, once, text)
 
 
 def net(rows: DataFrame) -> DataFrame:
@@ -98,25 +99,41 @@ class TokenRollup:
     def apply(self, batch_id: int, rows: DataFrame) -> bool:
         """Commit a batch of signed count rows; false if the base already holds it.
 
-        The write replaces the batch's folder; a failed write leaves no
-        success mark and is not read.
+        Every write of a batch goes to a new folder under the batch's; the
+        newest complete one counts. A repeat that fails midway therefore leaves
+        the committed batch as it was, and one that succeeds takes its place
+        with its success mark; the older writes are deleted after that.
         """
         if batch_id in self.folded():
             return False
-        net(rows).coalesce(8).write.mode("overwrite").parquet(self._batch(batch_id))
+        before = self._writes(batch_id)
+        number = max((n for n, _ in before), default=0) + 1
+        net(rows).coalesce(8).write.parquet(f"{self._batch(batch_id)}/write={number}")
+        for _, path in before:
+            fs, p = file_system(self.spark, path)
+            fs.delete(p, True)
         return True
 
-    def committed(self) -> list[int]:
+    def _writes(self, batch_id: int) -> list[tuple[int, str]]:
+        """All writes of a batch, complete or not, as (number, folder)."""
+        fs, p = file_system(self.spark, self._batch(batch_id))
+        found = [str(s.getPath()) for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted((int(f.rpartition("=")[2]), f) for f in found if "/write=" in f)
+
+    def _committed(self) -> dict[int, str]:
+        """The newest complete write of each batch."""
         fs, p = file_system(self.spark, f"{self.path}/deltas")
-        if not fs.exists(p):
-            return []
-        return sorted(int(s.getPath().getName().rpartition("=")[2]) for s in fs.listStatus(p)
-                      if self._exists(f"{s.getPath()}/_SUCCESS"))
+        ids = [int(s.getPath().getName().rpartition("=")[2]) for s in fs.listStatus(p)] if fs.exists(p) else []
+        done = {b: [f for _, f in self._writes(b) if self._exists(f"{f}/_SUCCESS")] for b in sorted(ids)}
+        return {b: f[-1] for b, f in done.items() if f}
+
+    def committed(self) -> list[int]:
+        return list(self._committed())
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, docs, tokens`` over the base and all committed batches."""
         base, folded = self.base_path(), self.folded()
-        paths = [self._batch(b) for b in self.committed() if b not in folded]
+        paths = [path for b, path in self._committed().items() if b not in folded]
         paths += [f"{base}/totals"] if base else []
         deltas = self.spark.read.schema(DELTA).parquet(*paths) if paths else self.spark.createDataFrame([], DELTA)
         return (deltas.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
