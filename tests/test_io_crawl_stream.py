@@ -4,10 +4,13 @@ import json
 import os
 
 
+from pyspark.sql import functions as F
+
 from transitlens.operators import crawl
 from transitlens.operators.payload import flatten_pings, parse_gps_payload
 from transitlens.operators.stops import explode_stops, stop_row_number
 from transitlens.plans import fixtures
+from transitlens.schemas import STOP_FIELDS
 from transitlens.sources.snapshots import read_gps_snapshots, write_snapshots
 from transitlens.sources.stops_json import read_stops_json
 from transitlens.streaming.incremental import incremental_flatten
@@ -92,6 +95,21 @@ def test_fetch_outcomes_null_success_is_failure(spark):
     assert (r.routes_with_gps, r.routes_failed, r.routes_total) == (1, 2, 4)
 
 
+def test_stop_fetches_under_one_schema(spark):
+    stop = "struct<STOPID:string,LINE:string>"
+    ok = spark.createDataFrame([("A", [("1", "A"), ("2", "A")], 10.0), ("A", [("3", "A")], 20.0), ("A", [], 30.0), ("B", None, 5.0)],
+                               f"ruta string, paradas array<{stop}>, timestamp double")
+    ok = ok.withColumn("paradas", F.expr("transform(paradas, p -> named_struct(" + ", ".join(
+        f"'{c}', " + (f"p.{c}" if c in ("STOPID", "LINE") else "CAST(NULL AS string)") for c in STOP_FIELDS) + "))"))
+    err = spark.createDataFrame([("A", "timeout", 40), ("C", "JSON decode error", 1)], "ruta string, error string, timestamp int")
+    u = crawl.stop_fetch_records(ok, err)
+    assert u.columns == ["ruta", "paradas", "timestamp", "error"]
+    assert sorted((r.ruta, r.timestamp, r.error, len(r.paradas)) for r in u.collect()) == [
+        ("A", 10.0, None, 2), ("A", 20.0, None, 1), ("A", 30.0, None, 0), ("A", 40.0, "timeout", 0), ("B", 5.0, None, 0),
+        ("C", 1.0, "JSON decode error", 0)]
+    assert [(r.ruta, [p.STOPID for p in r.paradas], r.timestamp) for r in crawl.latest_stop_lists(u).collect()] == [("A", ["3"], 20.0)]
+
+
 def test_landing_round_trip_and_stream_equals_batch(spark, tmp_path):
     snaps = fixtures.events_to_snapshots(fixtures.table(spark, SF_SMALL, "events"))
     src = os.path.join(str(tmp_path), "src")

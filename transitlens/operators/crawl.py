@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from transitlens.operators.dimension import bounded_broadcast
 from transitlens.operators.tags import NAV_LIST, ROUTE_TABLE, Listing, first_links
+from transitlens.schemas import STOP_LIST_TYPE
 
 __all__ = ["NAV_LIST", "ROUTE_TABLE", "decode_references", "dedupe_keep_first", "extract_route_names",
-           "fetch_outcome_counts", "pages_before_first_empty", "unify_fetch_results"]
+           "fetch_outcome_counts", "latest_stop_lists", "pages_before_first_empty", "stop_fetch_records",
+           "unify_fetch_results"]
 
 WRAP = "\n\t\t\t\t\t\t"
 EDGE_SPACE = r"^[ \t\n\x0B\f\r ]+|[ \t\n\x0B\f\r ]+$"  # spaces, controls, no-break space
@@ -91,6 +93,28 @@ def unify_fetch_results(ok: DataFrame, err: DataFrame) -> DataFrame:
     return ok.unionByName(err, allowMissingColumns=True)
 
 
+def stop_fetch_records(ok: DataFrame, err: DataFrame) -> DataFrame:
+    """Stop lists fetched and fetches failed under one schema: ``ruta, paradas, timestamp, error``.
+
+    A failed fetch has an empty list and its error, a fetched one no error; a
+    list missing on either side is empty, columns beyond the schema are dropped.
+    """
+    def shaped(df: DataFrame) -> DataFrame:
+        paradas = F.col("paradas").cast(STOP_LIST_TYPE) if "paradas" in df.columns else F.lit(None).cast(STOP_LIST_TYPE)
+        error = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+        return df.select("ruta", F.coalesce(paradas, F.array().cast(STOP_LIST_TYPE)).alias("paradas"),
+                         F.col("timestamp").cast("double").alias("timestamp"), error.alias("error"))
+
+    return shaped(ok).unionByName(shaped(err))
+
+
+def latest_stop_lists(records: DataFrame) -> DataFrame:
+    """Per route, the last stop list that was fetched without an error and is not empty (ties: the longer, then the greater list)."""
+    good = records.filter(F.col("error").isNull() & (F.size("paradas") > 0) & F.col("ruta").isNotNull())
+    best = F.max(F.struct("timestamp", F.size("paradas").alias("n"), F.array_sort("paradas").alias("paradas")))
+    return good.groupBy("ruta").agg(best.alias("b")).select("ruta", "b.paradas", "b.timestamp")
+
+
 def fetch_outcome_counts(df: DataFrame, payload: str = "gps_data") -> DataFrame:
     """One row: routes fetched with a non-empty payload, routes failed (null
     success counts as failed), total records."""

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.operators.stops import stop_row_number
-from transitlens.schemas import PAYLOAD_TYPE
+from transitlens.schemas import PAYLOAD_TYPE, STOP_FIELDS
 
 BAD_FIX_MODULUS = 97
 N_STOPS = 12
@@ -135,6 +135,20 @@ def events_to_fetch_results(events: DataFrame, n_buses: int = 10) -> tuple[DataF
     return ok, err
 
 
+def events_to_stop_fetches(events: DataFrame, n_buses: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(ok, err) stop fetches, one for each route and date: the stops seen that day; every fifth day of a month fails."""
+    p = events_to_pings(events, n_buses)
+    failed = F.dayofmonth("date") % 5 == 0
+    seen = p.select(F.col("RUTA").alias("ruta"), "date", "STOPID").distinct()
+    stop = F.struct(*[(F.col("STOPID") if c == "STOPID" else F.col("ruta") if c == "LINE" else F.lit(None).cast("string")).alias(c)
+                      for c in STOP_FIELDS])
+    lists = seen.groupBy("ruta", "date").agg(F.collect_list(stop).alias("paradas"))  # bounded by the stops of a route
+    lists = lists.withColumn("timestamp", (F.unix_date("date") * 86400).cast("double"))
+    ok = lists.filter(~failed).select("ruta", "paradas", "timestamp")
+    err = lists.filter(failed).select("ruta", F.lit("timeout").alias("error"), "timestamp")
+    return ok, err
+
+
 def route_stop_lists(stops_raw: DataFrame) -> DataFrame:
     """Per route: the stop objects of both directions (the stops-feed shape).
 

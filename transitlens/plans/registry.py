@@ -622,6 +622,26 @@ def q_fetch_counts(spark, sf):
     return crawl.fetch_outcome_counts(crawl.unify_fetch_results(ok, err))
 
 
+_STOP_FETCHES = O.with_ctes(O.pings_cte(N_BUSES), """fetches AS (SELECT RUTA AS ruta, date, day(date) % 5 = 0 AS failed,
+  count(DISTINCT STOPID) AS n, CAST((date - DATE '1970-01-01') * 86400 AS DOUBLE) AS timestamp FROM pings GROUP BY RUTA, date)""",
+                            body="{body}")
+
+
+@register("stop_fetch_records", _STOP_FETCHES.replace("{body}", (
+    "SELECT ruta, timestamp, CASE WHEN failed THEN 'timeout' END AS error, CASE WHEN failed THEN 0 ELSE n END AS n_stops FROM fetches")))
+def q_stop_fetches(spark, sf):
+    records = crawl.stop_fetch_records(*fixtures.events_to_stop_fetches(_t(spark, sf, "events"), N_BUSES))
+    return records.select("ruta", "timestamp", "error", F.size("paradas").cast("long").alias("n_stops"))
+
+
+@register("latest_stop_lists", _STOP_FETCHES.replace("{body}", (
+    "SELECT ruta, max(timestamp) AS timestamp, arg_max(n, timestamp) AS n_stops FROM fetches WHERE NOT failed GROUP BY ruta")))
+def q_latest_stops(spark, sf):
+    """The stop list of each route that a refresh would use: the last one fetched without an error."""
+    records = crawl.stop_fetch_records(*fixtures.events_to_stop_fetches(_t(spark, sf, "events"), N_BUSES))
+    return crawl.latest_stop_lists(records).select("ruta", "timestamp", F.size("paradas").cast("long").alias("n_stops"))
+
+
 # ---------------------------------------------------------------------------
 # 2.6 / 2.8 profiling: at scale over lineitem / orders, and over the trips table
 # ---------------------------------------------------------------------------
