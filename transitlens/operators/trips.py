@@ -11,8 +11,10 @@ from transitlens.config import TRIP_KEYS
 from transitlens.functions.numeric import avg_cents_rounded, round_half_away, safe_ratio
 from transitlens.functions.timefn import rush_hour_flag, time_of_day_bucket, trip_duration_minutes
 
+# The columns of the candidates table and the bounds of a plausible trip (minutes, metres a second, stops).
 CANDIDATE_COLUMNS = ("BUSNUMBER", "LINE", "STARTTIME", "ENDTIME", "date", "TRIPDURATION",
                      "AVGDELAY", "AVGVELOCITY", "ORIENTATION", "STARTSTOP", "ENDSTOP")
+DURATION_BOUNDS, SPEED_BOUNDS, TERMINAL_SLACK = (10, 180), (0.2, 100), 2
 
 
 def trip_boundary_filter(enriched: DataFrame, end: bool = False) -> DataFrame:
@@ -79,13 +81,13 @@ def pair_trip_endpoints(core: DataFrame, keys=TRIP_KEYS, ts: str = "timestamp",
     )
 
 
-def trip_sanity_filter(df: DataFrame, dur=(10, 180), vel=(0.2, 100)) -> DataFrame:
+def trip_sanity_filter(df: DataFrame, dur=DURATION_BOUNDS, vel=SPEED_BOUNDS) -> DataFrame:
     """Strict bounds on rounded minutes and on the trip's mean speed."""
     return df.filter((F.col("TRIPDURATION") > dur[0]) & (F.col("TRIPDURATION") < dur[1])
                      & (F.col("AVGVELOCITY") > vel[0]) & (F.col("AVGVELOCITY") < vel[1]))
 
 
-def trip_candidates(core: DataFrame, keys=TRIP_KEYS, dur=(10, 180), vel=(0.2, 100)) -> DataFrame:
+def trip_candidates(core: DataFrame, keys=TRIP_KEYS, dur=DURATION_BOUNDS, vel=SPEED_BOUNDS) -> DataFrame:
     """gold_trips_candidates: paired, multi-ping, sane trips (11 columns)."""
     pairs = drop_single_ping_trips(pair_trip_endpoints(core, keys))
     pairs = pairs.withColumn("TRIPDURATION", trip_duration_minutes("STARTTIME", "ENDTIME"))
@@ -103,7 +105,7 @@ def attach_route_meta(candidates: DataFrame, meta: DataFrame) -> DataFrame:
     return candidates.join(m, ["LINE", "ORIENTATION"], "inner")
 
 
-def terminal_stop_filter(df: DataFrame, slack: int = 2) -> DataFrame:
+def terminal_stop_filter(df: DataFrame, slack: int = TERMINAL_SLACK) -> DataFrame:
     """Start within ``slack`` stops of the first stop, end within ``slack`` of the last."""
     first, last = F.col("FIRSTPARADA"), F.col("LASTPARADA")
     return df.filter(F.col("STARTSTOP").isin(*[first + i for i in range(slack + 1)])
@@ -122,7 +124,7 @@ def project_trips(df: DataFrame) -> DataFrame:
         F.col("AVGVELOCITY").alias("AVGVELOCITY"))
 
 
-def trips_final(candidates: DataFrame, meta: DataFrame, slack: int = 2) -> DataFrame:
+def trips_final(candidates: DataFrame, meta: DataFrame, slack: int = TERMINAL_SLACK) -> DataFrame:
     """gold_trips_final (``valid_trip_duration`` is implied by the sanity rule)."""
     t = terminal_stop_filter(attach_route_meta(candidates, meta), slack)
     t = t.filter(F.col("TRIPDURATION").isNotNull() & (F.col("TRIPDURATION") > 0))

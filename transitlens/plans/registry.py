@@ -197,11 +197,7 @@ def q_boundary(spark, sf):
 
 _PAIR_COLS = ("BUSNUMBER, LINE, TRIPID, date, ORIENTATION, STARTTIME, ENDTIME, STARTSTOP, ENDSTOP, "
               "AVGDELAY, AVGVELOCITY")
-_PAIRS_ALL = (f"SELECT n.BUSNUMBER, n.RUTA AS LINE, n.TRIPID, n.date, n.ORIENTATION, n.timestamp AS STARTTIME, "
-              f"o.timestamp AS ENDTIME, n.row_number AS STARTSTOP, o.row_number AS ENDSTOP, o.AVGDELAY, "
-              f"o.AVGVELOCITY, n.next_time AS START_next_time, o.prev_time AS END_prev_time "
-              f"FROM news n JOIN olds o ON n.BUSNUMBER = o.BUSNUMBER AND n.RUTA = o.RUTA "
-              f"AND n.TRIPID = o.TRIPID AND n.date = o.date AND n.ORIENTATION = o.ORIENTATION")
+_PAIRS_ALL = f"SELECT {_PAIR_COLS}, START_next_time, END_prev_time FROM paired"
 
 
 @register("pair_trip_endpoints", _p(_PAIRS_ALL))
