@@ -6,10 +6,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from transitlens.config import scratch_path
 from transitlens.operators.enrich import ENRICHED_COLUMNS
 from transitlens.operators.payload import flatten_pings, parse_gps_payload
+import transitlens.plans.refresh as R
 from transitlens.plans import fixtures, gold
-from transitlens.plans.refresh import refresh
+from transitlens.plans.refresh import DATED, refresh
 from transitlens.sources.publish import MANIFESTS, manifest, read_layer, versions
 from transitlens.sources.snapshots import read_gps_snapshots, write_snapshots
 from transitlens.sources.stops_json import write_stops_json
@@ -121,3 +123,28 @@ def test_a_failed_run_leaves_the_published_tables(spark, tmp_path):
     assert _published(spark, out) == before and versions(spark, out) == [1]
     assert all(len([f for f in os.listdir(os.path.join(out, n)) if not f.startswith(".")]) == 1 for n in before)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("transitlens_core")]
+
+
+def test_a_layer_by_date_has_a_file_for_each_date_not_for_each_task_or_bucket(spark, tmp_path):
+    events = fixtures.table(spark, SF_SMALL, "events").repartition(7)
+    caps, stops_file, out = (os.path.join(str(tmp_path), d) for d in ("captures", "stops", "out"))
+    snaps = fixtures.events_to_snapshots(events)
+    write_snapshots(spark.createDataFrame(snaps.collect(), snaps.schema).repartition(7), caps)
+    write_stops_json(fixtures.route_stop_lists(fixtures.stops_from_pings(fixtures.events_to_pings(events))), stops_file)
+    landed = read_gps_snapshots(spark, caps)
+    assert len(landed.inputFiles()) == landed.select("capture_date").distinct().count() > 7
+    refresh(spark, caps, stops_file, out, stops_multiline=False)
+    m = manifest(spark, out)
+    for name in DATED:
+        assert len(read_layer(spark, out, name).inputFiles()) == len(m.layers[name].parts), name
+    assert len(m.layers["silver_gps_enriched_core"].parts) > 7
+
+
+def test_a_run_leaves_no_core_in_the_scratch_folder(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(R, "scratch_path", lambda s, name: made.append(scratch_path(s, name)) or made[-1])
+    caps, stops_file, out = _inputs(spark, tmp_path)
+    refresh(spark, caps, stops_file, out, capture_dates=["2024-01-05"], stops_multiline=False)
+    assert len(made) == 1 and not os.path.exists(made[0].removeprefix("file:"))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("transitlens_core")]
+    assert read_layer(spark, out, "silver_gps_enriched_core").count() > 0
