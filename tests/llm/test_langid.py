@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 
 from transitlens.llm import langid as L
@@ -58,3 +60,17 @@ def test_odd_rows(spark, docs, tmp_path):
     assert L.train(unlabelled) is None
     assert L.identify(unlabelled, None).first()["lang_pred"] == "und"
     assert L.identify(d.limit(0), L.train(d)).count() == 0
+
+
+def test_a_fit_holds_no_presence_matrix_of_all_landmarks():
+    rnd = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in rnd.integers(0, 500, 30)) + f" {'abc'[i % 3] * 5}" for i in range(300)]
+    labels = [f"l{i % 3}" for i in range(300)]
+    tracemalloc.start()
+    model = L.fit(texts, labels, landmarks_per_language=100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    full = L.COLUMNS * 300 * 4
+    assert peak < full / 2, (peak, full)
+    got = model.scores(texts).argmax(1)
+    assert sum(model.languages[k] == y for k, y in zip(got, labels, strict=True)) >= 290

@@ -2,6 +2,7 @@ import random
 
 import xxhash
 
+from transitlens.llm import components as C
 from transitlens.llm import simhash as S
 from transitlens.llm.components import roots
 
@@ -104,3 +105,15 @@ def test_the_same_rows_stay_however_files_are_dealt_over_tasks(spark, tmp_path,
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert len(got) == 3 and [r[0] for r in got] == [0, 99, None] and got[0][2] in {f"s{i}" for i in range(0, 60, 7)}
+
+
+def test_a_star_is_planned_once_in_a_round(spark, tmp_path):
+    """The small star reads its edges twice; the large star before it must not be computed each time."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 3)], "u long, v long")
+    assert {r["node"]: r["root"] for r in roots(edges).collect()} == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+    stored = tmp_path / "edges"
+    edges.write.parquet(str(stored))
+    read = spark.read.parquet(str(stored))
+    for star, at_most in ((C._large_star, 3), (C._small_star, 4)):
+        plan = star(read)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") <= at_most, plan

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from transitlens.llm.common import discard, written
 
 
+def _pairs(df: DataFrame, *names: tuple[str, str]) -> DataFrame:
+    """Edges ``u, v`` from several pairs of columns of each row, which is computed once."""
+    return df.select(F.inline(F.array(*[F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in names])))
+
+
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges ``u, v`` with ``m``, the smallest of ``u`` and all its ``v``.
 
@@ -23,15 +28,14 @@ def _with_least(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return (_with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    # repeated edges are no more than the edges read; the small star drops them
+    return _with_least(_pairs(edges, ("u", "v"), ("v", "u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     starred = _with_least(down)
-    moved = starred.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(starred.select("u", F.col("m").alias("v"))).distinct()
+    return _pairs(starred, ("u", "m"), ("v", "m")).where("u != v").distinct()
 
 
 def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -45,7 +49,10 @@ def roots(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node with an edge; ``root`` is its component's smallest node."""
     edges, state = _stored(edges.where("u != v").select("u", "v").distinct())
     while True:
-        after, new_state = _stored(_small_star(_large_star(edges)))
+        # stored between the stars: the small one reads it twice, and would compute the large one each time
+        larger = written(_large_star(edges), "larger")
+        after, new_state = _stored(_small_star(larger))
+        discard(larger)
         discard(edges)
         edges = after
         if new_state == state:

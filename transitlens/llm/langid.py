@@ -38,6 +38,9 @@ SAMPLE_PER_LANGUAGE = 300
 LANDMARKS_PER_LANGUAGE = 64
 MAX_LANGUAGES = 500
 RIDGE = 1e-3
+#: landmarks, or cells of the presence matrix, that a fit holds at once
+BLOCK = 16
+CELLS = 1 << 21
 
 # ASCII bytes other than letters become blanks; bytes of other characters stay.
 _TO_BLANK = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
@@ -87,10 +90,13 @@ def fit(texts: list[str], labels: list[str], landmarks_per_language: int = LANDM
         chosen += [i for i, y in enumerate(labels) if y == lang][:landmarks_per_language]
     seen = np.zeros(COLUMNS, bool)
     sets = [presence(t, seen) for t in texts]
-    marks = np.zeros((COLUMNS, len(chosen)), np.float32)
-    for k, i in enumerate(chosen):
-        marks[sets[i], k] = 1 / np.sqrt(len(sets[i]))
-    kernel = np.array([marks[s].sum(0) / np.sqrt(len(s)) for s in sets], np.float64)
+    kernel = np.empty((len(sets), len(chosen)))
+    for at in range(0, len(chosen), BLOCK):  # the landmarks' presence in full would be columns x landmarks
+        block = [sets[i] for i in chosen[at:at + BLOCK]]
+        marks = np.zeros((COLUMNS, len(block)), np.float32)
+        for k, s in enumerate(block):
+            marks[s, k] = 1 / np.sqrt(len(s))
+        kernel[:, at:at + len(block)] = [marks[s].sum(0) / np.sqrt(len(s)) for s in sets]
     among = kernel[chosen]
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     kept = values > 1e-8 * values[-1]
@@ -101,7 +107,16 @@ def fit(texts: list[str], labels: list[str], landmarks_per_language: int = LANDM
     weight = np.array([1 / labels.count(y) for y in labels])[:, None]
     gram = features.T @ (weight * features) + RIDGE * np.eye(features.shape[1])
     ridge = np.linalg.solve(gram, features.T @ (weight * target))
-    return Model(languages, marks @ (whiten @ ridge).astype(np.float32))
+    parts = (whiten @ ridge).astype(np.float32)
+    weights = np.empty((COLUMNS, len(languages)), np.float32)
+    rows = max(1, CELLS // len(chosen))
+    for at in range(0, COLUMNS, rows):
+        marks = np.zeros((min(rows, COLUMNS - at), len(chosen)), np.float32)
+        for k, i in enumerate(chosen):
+            s = sets[i]
+            marks[s[np.searchsorted(s, at):np.searchsorted(s, at + rows)] - at, k] = 1 / np.sqrt(len(s))
+        weights[at:at + rows] = marks @ parts
+    return Model(languages, weights)
 
 
 def labelled_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, doc_id: str = "doc_id",
