@@ -122,3 +122,12 @@ def test_production_thresholds_add_planted_spans_and_none_in_clean_texts(spark):
     for clean in ["It was on 2021-05-17 10 of them.", "see you (at) noon. Then we go", "order 123456789012 was sent",
                   "ISBN 978-3-16-148410-0 is a book", "sizes 12.50 13.75 14.20 15.10", "card 4111.1111.1111.1112 fails"]:
         assert P.all_spans(clean, model)[1] == [], clean
+
+
+def test_labelled_rows_fit_bytes():
+    """The sample reaches the driver as bytes; a feature beyond the trees' bins would not do."""
+    texts = ["", "call +1 415 555 0100 or 4111 1111 1111 1111 now", "mail me (at) home [dot] example . com, 10.0.0.1 or 1[.]2[.]3[.]4 " * 9,
+             "1 " * 400, "9" * 500 + ".1.2.3 " + "a@" + "b" * 90 + ".com"]
+    rows = [r for t in texts for r in P.labelled(t)]
+    assert len(rows) > 50 and all(0 <= v < boosting.BINS for r in rows for v in r)
+    assert [list(bytes(r)) for r in rows] == rows

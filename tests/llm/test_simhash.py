@@ -117,3 +117,21 @@ def test_a_star_is_planned_once_in_a_round(spark, tmp_path):
     for star, at_most in ((C._large_star, 3), (C._small_star, 4)):
         plan = star(read)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") <= at_most, plan
+
+
+def test_rows_that_stay_take_few_jobs(spark, docs, tmp_path):
+    """Each job and stage costs the driver memory: only the first row of a fingerprint goes on to its group."""
+    near = " ".join(f"word{i}" for i in range(400))
+    rows = [(i, f"{near} end{i % 4}") for i in range(12)] + [(20 + i, f"text {i} of its own {i * 7} words {i * 11}") for i in range(6)]
+    d = docs([*rows, (None, near), (30, None), (31, " ")], tmp_path)
+    spark.sparkContext.setJobGroup("stay", "rows that stay")
+    try:
+        kept = sorted((r["doc_id"] for r in S.one_of_each_group(d, 4, 4).collect()))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("stay"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    smallest = {}
+    for r in S.near_duplicates(d, 4, 4).collect():
+        smallest[r["component_id"]] = smallest.get(r["component_id"], 0) + 1
+    assert kept == sorted(smallest) and sum(smallest.values()) == 21 and len(kept) < 21
+    assert jobs <= 30, jobs  # 37 with a join of all rows and counts of stored tables

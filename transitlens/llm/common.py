@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from transitlens.config import file_system, scratch_path
@@ -35,6 +35,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def written_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``written`` with the number of rows, observed on the write: counting the stored table takes jobs of its own."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, seen.get["n"]
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table of ``written`` that nothing reads any more."""
     fs, p = file_system(df.sparkSession, df.scratch)

@@ -45,8 +45,8 @@ def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return written(observed, "edges"), (seen.get["n"], seen.get["x"])
 
 
-def roots(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node with an edge; ``root`` is its component's smallest node."""
+def stars(edges: DataFrame) -> DataFrame:
+    """``u, v``, stored: every node with an edge but its component's smallest, once, and that smallest node."""
     edges, state = _stored(edges.where("u != v").select("u", "v").distinct())
     while True:
         # stored between the stars: the small one reads it twice, and would compute the large one each time
@@ -56,7 +56,12 @@ def roots(edges: DataFrame) -> DataFrame:
         discard(edges)
         edges = after
         if new_state == state:
-            break
+            return edges
         state = new_state
-    named = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return named.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def roots(edges: DataFrame) -> DataFrame:
+    """``node, root`` for every node with an edge; ``root`` is its component's smallest node."""
+    found = stars(edges)
+    named = found.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return named.unionByName(found.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

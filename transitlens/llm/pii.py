@@ -317,17 +317,17 @@ def train(docs: DataFrame, text: str = "text", n_texts: int = SAMPLE_TEXTS, n_sp
           precision: float = PRECISION) -> dict:
     """Trees and one threshold a kind, from at most ``n_texts`` texts and ``n_spans`` labelled spans."""
 
-    @F.arrow_udf("array<array<int>>")
+    @F.arrow_udf("array<binary>")  # a byte for each feature: all are below boosting.BINS
     def rows(texts: pa.Array) -> pa.Array:
         out = []
         for v in texts:
-            out.append(labelled(v.as_py()))
-        return pa.array(out, pa.list_(pa.list_(pa.int32())))
+            out.append([bytes(r) for r in labelled(v.as_py())])
+        return pa.array(out, pa.list_(pa.binary()))
 
     found = (_sampled(docs, text, n_texts).select("_h", F.posexplode_outer(rows("_text")).alias("_p", "row"))
              .where(F.col("row").isNotNull()).orderBy(F.xxhash64("_h", "_p"), "_h", "_p").limit(n_spans))
     got = found.select("row", (F.pmod("_h", F.lit(5)) == 4).alias("aside")).collect()
-    data = np.array([r["row"] for r in got], np.int64).reshape(-1, len(features("", (0, 0, "ip"))) + 1)
+    data = np.frombuffer(b"".join(r["row"] for r in got), np.uint8).astype(np.int64).reshape(-1, len(features("", (0, 0, "ip"))) + 1)
     x, y, aside = data[:, :-1], data[:, -1], np.array([r["aside"] for r in got], bool)
     model = boosting.fit(x, y, aside=aside)
     of = [x[:, 0] == k for k in range(len(KINDS))]

@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import broadcast_if, fresh, written
-from transitlens.llm.components import roots
+from transitlens.llm.common import fresh, written, written_counted
+from transitlens.llm.components import roots, stars
 
 # Fixed values of the fingerprint.
 SEED = 42
@@ -40,6 +40,8 @@ BITS = 64
 
 SEGMENTS = 3
 DENSE = 256
+#: crowded segment values, or rows that stay, that may be broadcast
+BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint_of(text: bytes | None, shingle: int) -> int:
@@ -138,11 +140,11 @@ def links(nodes: DataFrame, max_bits: int, segments: int = SEGMENTS, dense: int
     near = F.concat(*[_probes(fp, i, *p) for i, p in enumerate(plan)])
     table = nodes.select("fp", F.explode_outer(own).alias("k")).select("fp", "k.seg", "k.value")
     probes = nodes.select("fp", F.explode_outer(near).alias("k")).select("fp", "k.seg", "k.value")
-    crowded = written(table.groupBy("seg", "value").agg(F.count("*").alias("n")).where(F.col("n") > dense)
-                      .select("seg", "value"), "crowded")
+    crowded, n = written_counted(table.groupBy("seg", "value").agg(F.count("*").alias("n")).where(F.col("n") > dense)
+                                 .select("seg", "value"), "crowded")
     starred = None
-    if crowded.limit(1).count():
-        hot = broadcast_if(crowded, 1_000_000)
+    if n:
+        hot = F.broadcast(crowded) if n <= BROADCAST_ROWS else crowded
         members = written(probes.join(hot, ["seg", "value"], "left_semi").select("fp").distinct(), "dense")
         table = table.join(hot, ["seg", "value"], "left_anti")
         starred = _star_links(members, max_bits)
@@ -154,12 +156,12 @@ def links(nodes: DataFrame, max_bits: int, segments: int = SEGMENTS, dense: int
 
 
 def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, doc_id: str = "doc_id", text: str = "text",
-                    segments: int = SEGMENTS, dense: int = DENSE, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: the id, columns in ``carry``, ``fp`` (bigint), ``root`` and ``component_id``, the smallest id of its group.
+                    segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
+    """Per row: the id, ``fp`` (bigint), ``root`` and ``component_id``, the smallest id of its group.
 
     ``root`` names the group by its smallest fingerprint.
     """
-    marked = written(docs.select(F.col(doc_id).alias("doc_id"), *carry, fingerprints(F.col(text), shingle).alias("fp")),
+    marked = written(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")),
                      "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-nodes")
     linked = roots(links(nodes.select("fp"), max_bits, segments, dense)).withColumnRenamed("node", "fp")
@@ -170,7 +172,7 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, doc_id: str =
     named = nodes.join(moved, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
         F.when(F.col("_linked"), F.col("_c")).otherwise(F.col("rep")).alias("component_id"))
-    return marked.join(named, "fp").select("doc_id", *carry, "fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, shingle: int, max_bits: int, doc_id: str = "doc_id",
@@ -178,14 +180,20 @@ def one_of_each_group(docs: DataFrame, shingle: int, max_bits: int, doc_id: str
     """The rows of ``docs`` with one row left of each group: the smallest id's, null ids last, then by position.
 
     Rows are numbered once and stored with their numbers: a number given anew
-    at every reading would depend on how files are dealt over tasks then.
+    at every reading would depend on how files are dealt over tasks then. Only
+    the first row of each fingerprint is carried to its group.
     """
     row = fresh("_row", docs.columns)
-    placed = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(placed, shingle, max_bits, doc_id, text, carry=(row,))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id"), F.col(row).alias("row")))
-    winners = written(found.groupBy("root").agg(first.alias("w")).select(F.col("w.row").alias(row)), "winners")
-    return placed.join(broadcast_if(winners, 1_000_000), row, "left_semi").select(*docs.columns)
+    fp = fresh("_fp", docs.columns)
+    placed = written(docs.withColumns({row: F.monotonically_increasing_id(), fp: fingerprints(F.col(text), shingle)}),
+                     "numbered")
+    first = F.struct(F.col(doc_id).isNull().alias("a"), F.col(doc_id).alias("doc_id"), F.col(row).alias("row"))
+    nodes = written(placed.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")), "fp-nodes")
+    linked = stars(links(nodes.select("fp"), max_bits)).withColumnRenamed("u", "fp")
+    grouped = nodes.join(linked, "fp", "left").groupBy(F.coalesce("v", "fp")).agg(F.min("first").alias("w"))
+    winners, n = written_counted(grouped.select(F.col("w.row").alias(row)), "winners")
+    winners = F.broadcast(winners) if n <= BROADCAST_ROWS else winners
+    return placed.join(winners, row, "left_semi").select(*docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:
