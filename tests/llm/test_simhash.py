@@ -135,3 +135,20 @@ def test_rows_that_stay_take_few_jobs(spark, docs, tmp_path):
         smallest[r["component_id"]] = smallest.get(r["component_id"], 0) + 1
     assert kept == sorted(smallest) and sum(smallest.values()) == 21 and len(kept) < 21
     assert jobs <= 30, jobs  # 37 with a join of all rows and counts of stored tables
+
+
+def test_the_last_round_is_one_large_star(spark, monkeypatch):
+    """Stars are known from the round's grouped minima; a whole round more to see no change costs its jobs again."""
+    real, stored = C.written, []
+    monkeypatch.setattr(C, "written", lambda df, name: stored.append(name) or real(df, name))
+
+    def starred(pairs):
+        stored.clear()
+        return sorted(tuple(r) for r in C.stars(spark.createDataFrame(pairs, "u long, v long")).collect())
+
+    assert starred([(1, 4), (4, 1), (1, 9), (1, 4), (2, 3), (5, 5)]) == [(3, 2), (4, 1), (9, 1)]
+    assert stored == ["larger"]
+    assert starred([(3, 1), (3, 2)]) == [(2, 1), (3, 1)]  # its large star changes nothing, but it is none yet
+    assert starred([(i, i + 1) for i in range(9)]) == [(i, 0) for i in range(1, 10)]
+    assert stored[-1] == "larger" and stored[:-1] == ["larger", "edges"] * (len(stored) // 2)
+    assert starred([(7, 7)]) == [] and stored == []

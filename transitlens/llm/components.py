@@ -1,7 +1,10 @@
 """Connected components of an edge table, by alternating large and small stars.
 
 Every round is two grouped minima and two joins over the edges; nothing is
-collected. Rounds end when the edge set no longer changes.
+collected. Rounds end when a large star finds that every node has either
+larger neighbours only or a single, smaller one: all edges lead to the
+smallest node of their component then. So the last round costs its large star
+alone.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import discard, written
+from transitlens.llm.common import discard, written, written_counted
 
 
 def _pairs(df: DataFrame, *names: tuple[str, str]) -> DataFrame:
@@ -27,9 +30,20 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Each larger neighbour of a node linked to the smallest of that node and its neighbours.
+
+    ``seen`` gets ``open``, how many nodes have a smaller neighbour and another
+    one: none if the edges are stars around their smallest nodes. Repeated edges
+    don't count, and a task that runs again leaves none at none.
+    """
+    both = _pairs(edges, ("u", "v"), ("v", "u"))
+    ends = both.groupBy("u").agg(F.min("v").alias("a"), F.max("v").alias("b"))
+    if seen is not None:
+        ends = ends.observe(seen, F.count_if((F.col("a") < F.col("u")) & (F.col("a") < F.col("b"))).alias("open"))
     # repeated edges are no more than the edges read; the small star drops them
-    return _with_least(_pairs(edges, ("u", "v"), ("v", "u"))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return (ends.select("u", F.least("u", "a").alias("m")).join(both, "u").where("v > u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -38,26 +52,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return _pairs(starred, ("u", "m"), ("v", "m")).where("u != v").distinct()
 
 
-def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges as a stored table, with their number and checksum, observed as they are written."""
-    seen = Observation()
-    observed = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
-    return written(observed, "edges"), (seen.get["n"], seen.get["x"])
-
-
 def stars(edges: DataFrame) -> DataFrame:
     """``u, v``, stored: every node with an edge but its component's smallest, once, and that smallest node."""
-    edges, state = _stored(edges.where("u != v").select("u", "v").distinct())
-    while True:
+    down = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    edges, n = written_counted(down, "edges")
+    while n:
         # stored between the stars: the small one reads it twice, and would compute the large one each time
-        larger = written(_large_star(edges), "larger")
-        after, new_state = _stored(_small_star(larger))
+        seen = Observation()
+        larger = written(_large_star(edges, seen), "larger")
+        if not seen.get["open"]:
+            discard(larger)
+            break
+        after = written(_small_star(larger), "edges")
         discard(larger)
         discard(edges)
         edges = after
-        if new_state == state:
-            return edges
-        state = new_state
+    return edges
 
 
 def roots(edges: DataFrame) -> DataFrame:
