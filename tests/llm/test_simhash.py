@@ -152,3 +152,18 @@ def test_the_last_round_is_one_large_star(spark, monkeypatch):
     assert starred([(i, i + 1) for i in range(9)]) == [(i, 0) for i in range(1, 10)]
     assert stored[-1] == "larger" and stored[:-1] == ["larger", "edges"] * (len(stored) // 2)
     assert starred([(7, 7)]) == [] and stored == []
+
+
+def test_groups_of_all_rows_take_few_jobs(spark, docs, tmp_path):
+    """The smallest id of each group comes from one join of the fingerprints with their roots."""
+    near = " ".join(f"word{i}" for i in range(400))
+    rows = [(i, f"{near} end{i % 4}") for i in range(12)] + [(20 + i, f"text {i} of its own {i * 7} words {i * 11}") for i in range(6)]
+    d = docs([*rows, (None, near), (None, "nothing like it at all"), (30, None), (31, " ")], tmp_path)
+    spark.sparkContext.setJobGroup("groups", "groups of all rows")
+    try:
+        got = {(r["doc_id"], r["component_id"]) for r in S.near_duplicates(d, 4, 4).collect()}
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("groups"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {(i, 0) for i in [*range(12), None]} | {(20 + i, 20 + i) for i in range(6)} | {(None, None), (30, 30), (31, 30)}
+    assert jobs <= 26, jobs  # 30 with a second join of the fingerprints and one round more

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitlens.llm.common import fresh, written, written_counted
-from transitlens.llm.components import roots, stars
+from transitlens.llm.components import stars
 
 # Fixed values of the fingerprint.
 SEED = 42
@@ -164,14 +164,11 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, doc_id: str =
     marked = written(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")),
                      "fingerprints")
     nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-nodes")
-    linked = roots(links(nodes.select("fp"), max_bits, segments, dense)).withColumnRenamed("node", "fp")
-    grouped = nodes.join(linked, "fp")
-    smallest = grouped.groupBy("root").agg(F.min("rep").alias("_c"))
-    moved = grouped.join(smallest, "root").select("fp", "root", "_c", F.lit(True).alias("_linked"))
+    linked = stars(links(nodes.select("fp"), max_bits, segments, dense)).withColumnsRenamed({"u": "fp", "v": "_v"})
+    grouped = nodes.join(linked, "fp", "left").select("fp", "rep", F.coalesce("_v", "fp").alias("root"))
+    smallest = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
     # One row per fingerprint: a fingerprint with very many copies is split by the skew join.
-    named = nodes.join(moved, "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"),
-        F.when(F.col("_linked"), F.col("_c")).otherwise(F.col("rep")).alias("component_id"))
+    named = grouped.select("fp", "root").join(smallest, "root")
     return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
