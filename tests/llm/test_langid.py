@@ -74,3 +74,21 @@ def test_a_fit_holds_no_presence_matrix_of_all_landmarks():
     assert peak < full / 2, (peak, full)
     got = model.scores(texts).argmax(1)
     assert sum(model.languages[k] == y for k, y in zip(got, labels, strict=True)) >= 290
+
+
+def test_a_sample_is_ordered_without_a_sort_in_spark(spark, docs, tmp_path):
+    rows = [(i, f"the cat and thing {i}", "en") for i in range(60)] + [(i, f"der hund und {i}", "dé") for i in range(60, 90)]
+    rows += [(1, "another text of a repeated id", "en"), (1, "der text", "de"), (None, "the thing", "en"), (95, "text", None)]
+    d = docs(rows, tmp_path)
+    hashed = dict(spark.range(100).selectExpr("id", "xxhash64(id)").collect())
+    spark.sparkContext.setJobGroup("sample", "sample of the languages")
+    try:
+        got = L.labelled_sample(d)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("sample"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    least = {}
+    for i, t, lang in sorted(r for r in rows if r[0] is not None and r[2]):
+        least.setdefault((lang, hashed[i], i), t)
+    assert got == [(t, key[0]) for key, t in sorted(least.items())]
+    assert jobs <= 6, jobs  # seven with a global sort

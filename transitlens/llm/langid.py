@@ -135,7 +135,9 @@ def labelled_sample(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, do
     ranked = ranked.join(F.broadcast(langs), "lang").distinct()
     found = (rows.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ranked), ["doc_id", "lang"])
              .groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
-             .orderBy("lang", F.xxhash64("doc_id"), "doc_id").select("text", "lang").collect())
+             .select("text", "lang", F.xxhash64("doc_id").alias("_h"), "doc_id").collect())
+    # sorted here: a global sort would run the join twice for its bounds and shuffle the texts again
+    found.sort(key=lambda r: (r["lang"], r["_h"], r["doc_id"]))
     return list(dict.fromkeys((r["text"], r["lang"]) for r in found))
 
 
