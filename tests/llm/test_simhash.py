@@ -167,3 +167,45 @@ def test_groups_of_all_rows_take_few_jobs(spark, docs, tmp_path):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert got == {(i, 0) for i in [*range(12), None]} | {(20 + i, 20 + i) for i in range(6)} | {(None, None), (30, 30), (31, 30)}
     assert jobs <= 26, jobs  # 30 with a second join of the fingerprints and one round more
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ball_points_are_not_broadcast_by_the_size_of_their_fingerprints(spark, tmp_path):
+    """400 stored fingerprints are a few KB for Spark's estimate; their 800,000 points are the driver's heap."""
+    path = str(tmp_path / "members")
+    spark.range(400).selectExpr("id * 7 AS fp").write.parquet(path)
+    for bits in (3, 4):
+        plan = plan_of(S._star_links(spark.read.parquet(path), bits))
+        assert "Generate explode" in plan and "Broadcast" not in plan, plan
+
+
+def test_many_edges_in_a_small_file_are_not_broadcast(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "edges")
+    spark.range(1, 120_001).selectExpr("0L AS u", "id AS v").write.parquet(path)
+    real, plans = C.written, []
+    monkeypatch.setattr(C, "written", lambda df, name: plans.append(plan_of(df)) or real(df, name))
+    found = C.stars(spark.read.parquet(path))
+    assert found.selectExpr("count(*)", "min(u)", "max(u)", "max(v)").first() == (120_000, 1, 120_000, 0)
+    assert len(plans) == 1 and "Broadcast" not in plans[0], plans
+
+
+def test_dense_near_copies_stay_one_group(spark, tmp_path, monkeypatch):
+    """A large group of near copies takes the path without pairs, whose points are dealt over tasks."""
+    rnd = random.Random(5)
+    prints = sorted({rnd.getrandbits(64) for _ in range(20)}
+                    | {sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 2))) for _ in range(400)})
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(i, p - (p >> 63 << 64)) for i, p in enumerate(prints)], "doc_id long, text long").write.parquet(path)
+    monkeypatch.setattr(S, "fingerprints", lambda text, shingle: text)
+    monkeypatch.setattr(S, "BALLS", 50)
+    expected = brute(prints, 4)
+    smallest = {}
+    for i, root in enumerate(expected):
+        smallest.setdefault(root, i)
+    d = spark.read.parquet(path)
+    got = {r["doc_id"]: r["component_id"] for r in S.near_duplicates(d, 4, 4).collect()}
+    assert got == {i: smallest[root] for i, root in enumerate(expected)}
+    assert sorted(r["doc_id"] for r in S.one_of_each_group(d, 4, 4).collect()) == sorted(smallest.values())

@@ -15,6 +15,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: the white space of the word rules: blank and 0x09 to 0x0D
 BLANKS = " \t\n\x0b\x0c\r"
+#: rows up to which a join is left to Spark's estimate of bytes
+AUTO_ROWS = 100_000
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +44,16 @@ def written_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return out, seen.get["n"]
 
 
+def by_shuffle_beyond(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` for a join that Spark may turn into a broadcast up to ``AUTO_ROWS`` rows only.
+
+    Spark estimates a stored table by the bytes of its files and does not see
+    that a generator multiplies rows, so what it broadcasts as small may be
+    hundreds of times larger in the driver's heap.
+    """
+    return df if rows <= AUTO_ROWS else df.hint("merge")
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table of ``written`` that nothing reads any more."""
     fs, p = file_system(df.sparkSession, df.scratch)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import fresh, written, written_counted
+from transitlens.llm.common import by_shuffle_beyond, fresh, written, written_counted
 from transitlens.llm.components import stars
 
 # Fixed values of the fingerprint.
@@ -42,6 +42,8 @@ SEGMENTS = 3
 DENSE = 256
 #: crowded segment values, or rows that stay, that may be broadcast
 BROADCAST_ROWS = 1_000_000
+#: fingerprints of one task whose ball points are made
+BALLS = 2048
 
 
 def fingerprint_of(text: bytes | None, shingle: int) -> int:
@@ -117,20 +119,24 @@ def _points(members: DataFrame, radius: int) -> DataFrame:
 
 
 def _star_links(members: DataFrame, max_bits: int) -> DataFrame:
-    """Edges through shared ball points: each point's fingerprints to its smallest one."""
+    """Edges through shared ball points: each point's fingerprints to its smallest one.
+
+    Points are some thousand times the fingerprints that Spark's estimate is
+    made of, so their joins are never left to it.
+    """
     points = _points(members, max_bits // 2)
     if max_bits % 2:  # an odd distance: one of the two balls reaches a bit further
-        other = _points(members, max_bits // 2 + 1).withColumnRenamed("fp", "v")
+        other = _points(members, max_bits // 2 + 1).withColumnRenamed("fp", "v").hint("merge")
         return points.join(other, "point").where("fp != v").select(F.col("fp").alias("u"), "v")
     least = points.groupBy("point").agg(F.min("fp").alias("v"), F.max("fp").alias("w")).where("v != w")
-    return (points.join(least.select("point", "v"), "point").where("fp != v")
+    return (points.join(least.select("point", "v").hint("merge"), "point").where("fp != v")
             .select(F.col("fp").alias("u"), "v"))
 
 
-def links(nodes: DataFrame, max_bits: int, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
+def links(nodes: DataFrame, max_bits: int, segments: int = SEGMENTS, dense: int = DENSE, rows: int = 0) -> DataFrame:
     """Edges ``u, v`` that connect exactly the fingerprints linked directly or through others.
 
-    ``nodes`` has distinct ``fp``. Each edge joins two fingerprints within ``max_bits``
+    ``nodes`` has distinct ``fp``, at most ``rows``. Each edge joins two fingerprints within ``max_bits``
     (by the pair check) or sharing a ball point (hence within ``max_bits``).
     """
     plan = segment_plan(segments, max_bits)
@@ -144,12 +150,12 @@ def links(nodes: DataFrame, max_bits: int, segments: int = SEGMENTS, dense: int
                                  .select("seg", "value"), "crowded")
     starred = None
     if n:
-        hot = F.broadcast(crowded) if n <= BROADCAST_ROWS else crowded
-        members = written(probes.join(hot, ["seg", "value"], "left_semi").select("fp").distinct(), "dense")
+        hot = F.broadcast(crowded) if n <= BROADCAST_ROWS else crowded.hint("merge")
+        members, m = written_counted(probes.join(hot, ["seg", "value"], "left_semi").select("fp").distinct(), "dense")
         table = table.join(hot, ["seg", "value"], "left_anti")
-        starred = _star_links(members, max_bits)
+        starred = _star_links(members.repartition(-(-m // BALLS)), max_bits)
     met = (probes.select(F.col("fp").alias("u"), "seg", "value")
-           .join(table.select(F.col("fp").alias("v"), "seg", "value"), ["seg", "value"])
+           .join(by_shuffle_beyond(table.select(F.col("fp").alias("v"), "seg", "value"), len(plan) * rows), ["seg", "value"])
            .where((F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits))
            .select("u", "v"))
     return met if starred is None else met.unionByName(starred)
@@ -182,14 +188,15 @@ def one_of_each_group(docs: DataFrame, shingle: int, max_bits: int, doc_id: str
     """
     row = fresh("_row", docs.columns)
     fp = fresh("_fp", docs.columns)
-    placed = written(docs.withColumns({row: F.monotonically_increasing_id(), fp: fingerprints(F.col(text), shingle)}),
-                     "numbered")
+    placed, n = written_counted(docs.withColumns({row: F.monotonically_increasing_id(),
+                                                  fp: fingerprints(F.col(text), shingle)}), "numbered")
     first = F.struct(F.col(doc_id).isNull().alias("a"), F.col(doc_id).alias("doc_id"), F.col(row).alias("row"))
     nodes = written(placed.groupBy(F.col(fp).alias("fp")).agg(F.min(first).alias("first")), "fp-nodes")
-    linked = stars(links(nodes.select("fp"), max_bits)).withColumnRenamed("u", "fp")
-    grouped = nodes.join(linked, "fp", "left").groupBy(F.coalesce("v", "fp")).agg(F.min("first").alias("w"))
-    winners, n = written_counted(grouped.select(F.col("w.row").alias(row)), "winners")
-    winners = F.broadcast(winners) if n <= BROADCAST_ROWS else winners
+    linked = stars(links(nodes.select("fp"), max_bits, rows=n)).withColumnRenamed("u", "fp")
+    grouped = (nodes.join(by_shuffle_beyond(linked, n), "fp", "left")
+               .groupBy(F.coalesce("v", "fp")).agg(F.min("first").alias("w")))
+    winners, kept = written_counted(grouped.select(F.col("w.row").alias(row)), "winners")
+    winners = F.broadcast(winners) if kept <= BROADCAST_ROWS else winners.hint("merge")
     return placed.join(winners, row, "left_semi").select(*docs.columns)
 
 
