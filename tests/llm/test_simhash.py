@@ -209,3 +209,13 @@ def test_dense_near_copies_stay_one_group(spark, tmp_path, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in S.near_duplicates(d, 4, 4).collect()}
     assert got == {i: smallest[root] for i, root in enumerate(expected)}
     assert sorted(r["doc_id"] for r in S.one_of_each_group(d, 4, 4).collect()) == sorted(smallest.values())
+
+
+def test_rows_with_few_fingerprints_are_not_broadcast(spark):
+    """Many copies compress well; the side with one row per fingerprint is the one that may be broadcast."""
+    docs = spark.range(120_000).selectExpr("id AS doc_id", "concat('text ', id % 5) AS text")
+    got = S.near_duplicates(docs, 4, 4)
+    plan = plan_of(got)
+    join = next(line for line in plan.split("\n") if "Join" in line)
+    assert "BuildLeft" not in join, plan
+    assert {tuple(r) for r in got.selectExpr("doc_id % 5", "component_id").distinct().collect()} == {(i, i) for i in range(5)}

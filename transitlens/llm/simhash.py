@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlens.llm.common import by_shuffle_beyond, fresh, written, written_counted
+from transitlens.llm.common import AUTO_ROWS, by_shuffle_beyond, fresh, written, written_counted
 from transitlens.llm.components import stars
 
 # Fixed values of the fingerprint.
@@ -169,12 +169,15 @@ def near_duplicates(docs: DataFrame, shingle: int, max_bits: int, doc_id: str =
     """
     marked = written(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")),
                      "fingerprints")
-    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-nodes")
-    linked = stars(links(nodes.select("fp"), max_bits, segments, dense)).withColumnsRenamed({"u": "fp", "v": "_v"})
-    grouped = nodes.join(linked, "fp", "left").select("fp", "rep", F.coalesce("_v", "fp").alias("root"))
+    nodes, n = written_counted(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-nodes")
+    linked = stars(links(nodes.select("fp"), max_bits, segments, dense, n)).withColumnsRenamed({"u": "fp", "v": "_v"})
+    grouped = (nodes.join(by_shuffle_beyond(linked, n), "fp", "left")
+               .select("fp", "rep", F.coalesce("_v", "fp").alias("root")))
     smallest = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
-    # One row per fingerprint: a fingerprint with very many copies is split by the skew join.
-    named = grouped.select("fp", "root").join(smallest, "root")
+    # One row per fingerprint: a fingerprint with very many copies is split by the skew join. Left to itself, Spark
+    # could broadcast all rows, whose file is small where copies are many.
+    named = grouped.select("fp", "root").join(by_shuffle_beyond(smallest, n), "root")
+    named = F.broadcast(named) if n <= AUTO_ROWS else named.hint("merge")
     return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
